@@ -39,3 +39,71 @@ def aov_holdout_cells(spark, sf_dir):
 @register("holdout_actuals", osql.sql_holdout_actuals)
 def holdout_actuals(spark, sf_dir):
     return rounded(C.holdout_actuals(C.holdout_orders(order_lines(spark, sf_dir), P), P), MONEY4)
+
+
+# --- fitted model and reports -------------------------------------------------
+
+from custval.oracle import aov_fit as ofit  # noqa: E402
+from custval.plans.aov import fit as FIT  # noqa: E402
+from custval.plans.aov import reports as REP  # noqa: E402
+
+_FITS: dict = {}
+
+
+def production_fit(spark, sf_dir) -> FIT.AovFit:
+    """The production fit, once per application and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, "prod")
+    if key not in _FITS:
+        _FITS[key] = FIT.fit(C.aov_cells(order_lines(spark, sf_dir), P), P)
+    return _FITS[key]
+
+
+def holdout_fit(spark, sf_dir) -> FIT.AovFit:
+    key = (spark.sparkContext.applicationId, sf_dir, "holdout")
+    if key not in _FITS:
+        _FITS[key] = FIT.fit(C.holdout_cells(order_lines(spark, sf_dir), P), P)
+    return _FITS[key]
+
+
+def _report(key, fn, sql, digits=None, holdout=False):
+    def build(spark, sf_dir):
+        f = holdout_fit(spark, sf_dir) if holdout else production_fit(spark, sf_dir)
+        return rounded(fn(f), digits or {})
+    build.__name__ = key
+    register(key, sql)(build)
+
+
+D4 = 4
+_report("cell_moments", REP.cell_moments_report, ofit.cell_moments)
+_report("cell_premiums", REP.cell_premiums, ofit.cell_premiums)
+_report("exotic_premium_by_dept", REP.exotic_premium_by_dept, ofit.exotic_premium_by_dept)
+_report("exotic_within_effect", REP.exotic_within_effect, None)
+_report("exotic_mix", REP.exotic_mix, ofit.exotic_mix)
+_report("sigma_resid", REP.sigma_resid, ofit.sigma_resid)
+_report("theta_raw", REP.theta_raw, ofit.theta_raw)
+_report("fit_prior", REP.fit_prior, ofit.fit_prior)
+_report("shrink_theta", REP.shrink_theta, ofit.shrink_theta)
+_report("smearing", REP.smearing, ofit.smearing)
+_report("value_ladder", REP.value_ladder, ofit.value_ladder, {"usd": D4})
+_report("expected_aov", REP.expected_aov, ofit.expected_aov, {"expected_aov": D4})
+_report("fit_checks", REP.fit_checks, ofit.fit_checks)
+_report("shrinkage_tiers", REP.shrinkage_tiers, ofit.shrinkage_tiers, {"median_expected_aov": D4})
+_report("aov_decomposition", REP.aov_decomposition, ofit.aov_decomposition,
+        {"long_form": D4, "closed_form": D4})
+_report("expected_vs_actual", REP.expected_vs_actual, ofit.expected_vs_actual,
+        {"mean_actual": D4, "mean_expected": D4})
+_report("population_baseline", REP.population_baseline, ofit.population_baseline,
+        {"base_usd": D4, "usd": D4})
+_report("within_customer_variance", REP.within_customer_variance, ofit.within_customer_variance)
+_report("within_variance_histogram", REP.within_variance_histogram, ofit.within_variance_histogram)
+_report("variance_example", REP.variance_example, ofit.variance_example,
+        {"geomean_usd": D4, "cell_mean_usd": D4})
+_report("spend_by_type", REP.spend_by_type, ofit.spend_by_type,
+        {"raw_avg_order_value": D4, "model_expected_aov": D4, "pooled_order_value": D4})
+_report("holdout_error_by_tier", REP.holdout_error_by_tier, ofit.holdout_error_by_tier, holdout=True)
+_report("holdout_calibration", REP.holdout_calibration, ofit.holdout_calibration,
+        {"mean_actual": D4, "mean_pred": D4, "train_level": D4, "test_level": D4}, holdout=True)
+_report("holdout_binned_calibration", REP.holdout_binned_calibration, ofit.holdout_binned_calibration,
+        {"predicted": D4, "realized": D4}, holdout=True)
+_report("holdout_signal", REP.holdout_signal, ofit.holdout_signal, holdout=True)
+_report("mix_shrink_sweep", REP.mix_shrink_sweep, ofit.mix_shrink_sweep, holdout=True)

@@ -45,6 +45,8 @@ def rounded(df: DataFrame, digits: dict | None = None, default: int = 6) -> Data
         elif f.dataType.typeName() == "decimal":
             # exact decimals become doubles at their own scale
             cols.append(rnd(f.name, digits.get(f.name, min(f.dataType.scale, 6))).alias(f.name))
+        elif f.dataType.typeName() in ("integer", "short", "byte"):
+            cols.append(F.col(f.name).cast("bigint").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(cols)
