@@ -23,8 +23,13 @@ def col_or(c) -> Column:
 
 
 def rnd(c, digits: int = 6) -> Column:
-    """Round to ``digits`` decimals as a double (stable output for comparisons)."""
-    return F.round(col_or(c).cast("double"), digits)
+    """Round to ``digits`` decimals as a double: round(x * 10^d) / 10^d.
+
+    Scaling first makes exact decimal ties (x / 8, ...) round the same way in
+    every engine, so outputs compare equal by value hash.
+    """
+    scale = float(10 ** digits)
+    return F.round(col_or(c).cast("double") * F.lit(scale), 0) / F.lit(scale)
 
 
 def safe_div(a, b) -> Column:

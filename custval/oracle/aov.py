@@ -7,7 +7,7 @@ from custval.oracle.fixtures import ORDER_LINES, params_fmt, with_ctes
 
 def R(expr: str, n: int = 6) -> str:
     """Rounded double; '+ 0.0' folds a negative zero into +0.0."""
-    return f"(ROUND(CAST({expr} AS DOUBLE), {n}) + 0.0)"
+    return f"(ROUND(CAST({expr} AS DOUBLE) * 1e{n}) / 1e{n} + 0.0)"
 
 
 def orders_ctes(ceiling_key: str = "ceiling") -> list[str]:

@@ -29,6 +29,10 @@ class Params:
     test_share: float = 0.20
     val_share: float = 0.20
     sweep_m: tuple = field(default=(1, 2, 3, 5, 10))
+    backtest_years: tuple = (1998, 1999)         # calendar years of the projection backtest
+    backtest_stages: tuple = (1, 2, 3, 4, 5)
+    sample_seed: str = "sample_42"
+    sample_size: int = 100
 
     @property
     def maturity_cutoff(self) -> dt.date:
