@@ -57,9 +57,15 @@ def in_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
-def with_ctes(*ctes: str) -> str:
-    """Join CTE bodies ("name AS (...)") into one WITH clause."""
-    return "WITH " + ",\n".join(c.strip() for c in ctes)
+def with_ctes(*ctes: str, recursive: bool = False) -> str:
+    """Join CTE bodies ("name AS (...)") into one WITH clause (repeats dropped)."""
+    seen, parts = set(), []
+    for c in ctes:
+        c = c.strip()
+        if c not in seen:
+            seen.add(c)
+            parts.append(c)
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts)
 
 
 def params_fmt(p: Params = DEFAULT) -> dict:
