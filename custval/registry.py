@@ -68,3 +68,10 @@ def _load() -> None:
 
 
 __all__ = ["register", "rounded", "queries", "oracle_sql", "REGISTRY", "DEFAULT", "order_lines"]
+
+
+def reset_caches() -> None:
+    """Forget memoised fits / curves (used by the benchmark between queries)."""
+    from custval.queries import aov_q, pltv_q
+    aov_q._FITS.clear()
+    pltv_q._CURVES.clear()
