@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from custval.oracle.fixtures import ORDER_LINES, params_fmt, with_ctes
+from custval.params import DEFAULT, Params
 
 
 def R(expr: str, n: int = 6) -> str:
@@ -10,9 +11,9 @@ def R(expr: str, n: int = 6) -> str:
     return f"(ROUND(CAST({expr} AS DOUBLE) * 1e{n}) / 1e{n} + 0.0)"
 
 
-def orders_ctes(ceiling_key: str = "ceiling") -> list[str]:
+def orders_ctes(ceiling_key: str = "ceiling", p: Params = DEFAULT) -> list[str]:
     """order_lines -> cohort -> primary-department positive orders (``aov_orders``)."""
-    f = params_fmt()
+    f = params_fmt(p)
     ceiling = f[ceiling_key]
     return [ORDER_LINES, f"""
 aov_lines AS (
@@ -53,13 +54,13 @@ def cells_cte(src: str = "aov_orders", name: str = "cells") -> str:
   FROM {name}_raw)"""
 
 
-def production_cells() -> list[str]:
-    return orders_ctes("ceiling") + [cells_cte()]
+def production_cells(p: Params = DEFAULT) -> list[str]:
+    return orders_ctes("ceiling", p) + [cells_cte()]
 
 
-def holdout_cells_ctes() -> list[str]:
-    f = params_fmt()
-    return orders_ctes("train_cutoff") + [f"""
+def holdout_cells_ctes(p: Params = DEFAULT) -> list[str]:
+    f = params_fmt(p)
+    return orders_ctes("train_cutoff", p) + [f"""
 train_orders AS (SELECT * FROM aov_orders WHERE order_date <= {f['train_cutoff']})""", f"""
 test_actuals AS (
   SELECT customer_id, COUNT(*) AS test_n_orders, CAST(SUM(order_value) AS DOUBLE) AS test_sum_value,

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from custval.oracle.aov import R, holdout_cells_ctes, production_cells
 from custval.oracle.fixtures import params_fmt, with_ctes
+from custval.params import DEFAULT, Params
 
 DBL = "CAST({} AS DOUBLE)"
 
 
-def fit_ctes(holdout: bool = False) -> list[str]:
+def fit_ctes(holdout: bool = False, p: Params = DEFAULT) -> list[str]:
     """cells -> moments, scalars, premiums, customers, tau^2 grid, fitted customers."""
-    f = params_fmt()
+    f = params_fmt(p)
     M = f["M"]
-    base = holdout_cells_ctes() if holdout else production_cells()
+    base = holdout_cells_ctes(p) if holdout else production_cells(p)
     test_cols = (", MAX(test_n_orders) AS test_n_orders, MAX(test_sum_value) AS test_sum_value"
                  if holdout else "")
     return base + ["""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from custval.oracle.aov import R
 from custval.oracle.fixtures import params_fmt, with_ctes
 from custval.oracle.hazard import PANEL_DIGITS, panel_ctes
+from custval.params import DEFAULT, Params
 
 CAT_COLS = ["this_order_department", "this_order_style", "this_order_channel", "this_order_store",
             "order_month", "entry_department", "first_product_style", "acq_channel", "acq_store",
@@ -26,10 +27,10 @@ def split_case(col: str = "split_rand") -> str:
     return f"CASE WHEN {col} < 0.2 THEN 'test' WHEN {col} < (0.2 + 0.8 * 0.2) THEN 'val' ELSE 'fit' END"
 
 
-def curve_ctes() -> list[str]:
-    f = params_fmt()
+def curve_ctes(p: Params = DEFAULT) -> list[str]:
+    f = params_fmt(p)
     B, H = f["max_bucket"], f["horizon"]
-    return panel_ctes() + [f"""
+    return panel_ctes(True, p) + [f"""
 scored0 AS (SELECT *, {demo()} AS churn_prob FROM panel)""", f"""
 scored AS (SELECT *, 1 - churn_prob AS p_repeat, {split_case()} AS split,
                   LEAST(order_seq, {B}) AS seq_bucket FROM scored0)""", """

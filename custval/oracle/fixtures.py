@@ -68,6 +68,27 @@ def with_ctes(*ctes: str, recursive: bool = False) -> str:
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts)
 
 
+SHARED = ("order_lines", "products", "customers")
+
+
+def prefixed(ctes: list[str], prefix: str, keep=SHARED) -> list[str]:
+    """Rename every CTE defined in ``ctes`` (except ``keep``) to ``prefix + name``,
+    so two dated chains can live in one statement."""
+    import re
+    names = []
+    for c in ctes:
+        for m in re.finditer(r"^\s*(\w+)\s*(\([^)]*\))?\s+AS\s*\(", c, re.M):
+            if m.group(1) not in keep:
+                names.append(m.group(1))
+    if not names:
+        return list(ctes)
+    pat = re.compile(r"\b(" + "|".join(sorted(set(names), key=len, reverse=True)) + r")\b(?!\s*\.\s*\w+\s*\()")
+    out = []
+    for c in ctes:
+        out.append(pat.sub(lambda m: prefix + m.group(1), c))
+    return out
+
+
 def params_fmt(p: Params = DEFAULT) -> dict:
     return {
         "as_of": d(p.as_of), "floor": d(p.order_floor), "maturity": d(p.maturity_cutoff),

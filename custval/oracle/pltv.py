@@ -6,11 +6,12 @@ from custval.oracle.aov import R
 from custval.oracle.aov_fit import fit_ctes
 from custval.oracle.curve import curve_ctes, demo
 from custval.oracle.fixtures import params_fmt, with_ctes
+from custval.params import DEFAULT, Params
 
 
-def score_ctes() -> list[str]:
-    f = params_fmt()
-    return curve_ctes() + fit_ctes(False) + [f"""
+def score_ctes(p: Params = DEFAULT, holdout_aov: bool = False, aov_p: Params | None = None) -> list[str]:
+    f = params_fmt(p)
+    return curve_ctes(p) + fit_ctes(holdout_aov, aov_p or p) + [f"""
 sc0 AS (SELECT customer_id, order_seq, cum_net_spend, {demo()} AS churn_prob FROM latest)""", f"""
 sc1 AS (SELECT *, 1 - churn_prob AS p_repeat,
                CASE WHEN churn_prob >= {f['tier_high']} THEN 'High' WHEN churn_prob >= {f['tier_medium']} THEN 'Medium'

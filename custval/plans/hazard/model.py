@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,9 +82,12 @@ def _learner(feats: list[str], max_iter: int) -> Pipeline:
     low = [c for c in CAT_COLS if c not in HIGH_CARD and c in feats]
     high = [c for c in HIGH_CARD if c in feats]
     nums = [c for c in feats if c not in CAT_COLS]
+    # encoded means are continuous: re-derive them so they lose the nominal tag
+    plain = ", ".join(f"{c}__te + 0.0 AS {c}__tn" for c in high)
     return Pipeline(stages=[
+        SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"),
         Imputer(inputCols=nums, outputCols=[f"{c}__im" for c in nums], strategy="median"),
-        VectorAssembler(inputCols=[f"{c}__ix" for c in low] + [f"{c}__te" for c in high]
+        VectorAssembler(inputCols=[f"{c}__ix" for c in low] + [f"{c}__tn" for c in high]
                         + [f"{c}__im" for c in nums] + [f"{c}__na" for c in nums],
                         outputCol="features", handleInvalid="keep"),
         GBTClassifier(labelCol=LABEL, featuresCol="features", maxDepth=6, stepSize=0.05,

@@ -50,11 +50,11 @@ from custval.plans.aov import reports as REP  # noqa: E402
 _FITS: dict = {}
 
 
-def production_fit(spark, sf_dir) -> FIT.AovFit:
-    """The production fit, once per application and input folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, "prod")
+def production_fit(spark, sf_dir, p=P) -> FIT.AovFit:
+    """The production fit, once per application, input folder and parameters."""
+    key = (spark.sparkContext.applicationId, sf_dir, "prod", p)
     if key not in _FITS:
-        _FITS[key] = FIT.fit(C.aov_cells(order_lines(spark, sf_dir), P), P)
+        _FITS[key] = FIT.fit(C.aov_cells(order_lines(spark, sf_dir), p), p)
     return _FITS[key]
 
 

@@ -11,14 +11,14 @@ from custval.sources.testdata import load_inputs
 DIG = oh.PANEL_DIGITS
 
 
-def matured_panel(spark, sf_dir):
+def matured_panel(spark, sf_dir, p=P):
     i = load_inputs(spark, sf_dir)
-    return PN.build_panel(i.lines, i.products, i.customers, P, matured=True)
+    return PN.build_panel(i.lines, i.products, i.customers, p, matured=True)
 
 
-def scoring_extract(spark, sf_dir):
+def scoring_extract(spark, sf_dir, p=P):
     i = load_inputs(spark, sf_dir)
-    return PN.latest_order_features(i.lines, i.products, i.customers, P)
+    return PN.latest_order_features(i.lines, i.products, i.customers, p)
 
 
 @register("churn_panel", oh.sql_panel)

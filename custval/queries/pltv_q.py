@@ -16,16 +16,16 @@ D4 = 4
 _CURVES: dict = {}
 
 
-def scored_panel(spark, sf_dir):
-    return CV.with_scores(matured_panel(spark, sf_dir), P)
+def scored_panel(spark, sf_dir, p=P):
+    return CV.with_scores(matured_panel(spark, sf_dir, p), p)
 
 
-def curve_and_multipliers(spark, sf_dir):
+def curve_and_multipliers(spark, sf_dir, p=P):
     """The repeat curve values and multipliers (8 + 16 numbers), once per input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, p)
     if key not in _CURVES:
-        r = CV.curve_values(CV.hazard_curve(scored_panel(spark, sf_dir), P))
-        _CURVES[key] = (r, CV.multipliers(r, P.horizon))
+        r = CV.curve_values(CV.hazard_curve(scored_panel(spark, sf_dir, p), p))
+        _CURVES[key] = (r, CV.multipliers(r, p.horizon))
     return _CURVES[key]
 
 
@@ -34,10 +34,10 @@ def projections(spark, sf_dir):
     return CV.chained_projection(scored_panel(spark, sf_dir), r, P)
 
 
-def value_scores(spark, sf_dir):
-    _, m = curve_and_multipliers(spark, sf_dir)
-    aov = production_fit(spark, sf_dir).customers
-    return SC.pltv_scores(scoring_extract(spark, sf_dir), m, aov, P)
+def value_scores(spark, sf_dir, p=P):
+    _, m = curve_and_multipliers(spark, sf_dir, p)
+    aov = production_fit(spark, sf_dir, p).customers
+    return SC.pltv_scores(scoring_extract(spark, sf_dir, p), m, aov, p)
 
 
 def _reg(key, fn, sql, digits=None):
