@@ -25,7 +25,8 @@ from custval.operators.persist import materialize
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], values: Sequence[str] = (),
-                   group: Sequence[str] = (), row_col: str = "row_pos") -> DataFrame:
+                   group: Sequence[str] = (), row_col: str = "row_pos",
+                   total_col: str | None = None) -> DataFrame:
     keys = [F.col(g) for g in group] + list(order)
     ranged = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
                 .withColumn("_pid", F.spark_partition_id()))
@@ -34,7 +35,9 @@ def running_totals(df: DataFrame, order: Sequence[Column], values: Sequence[str]
     tot = ranged.groupBy(*part_keys).agg(F.count(F.lit(1)).alias("_t_n"),
                                          *[F.sum(v).alias(f"_t_{v}") for v in values])
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
     off = tot.select(*part_keys, F.coalesce(F.sum("_t_n").over(before), F.lit(0)).alias("_o_n"),
+                     F.sum("_t_n").over(whole).alias("_all_n"),
                      *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values])
     local_w = Window.partitionBy(*part_keys).orderBy(*order)
     local_run = local_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -44,6 +47,7 @@ def running_totals(df: DataFrame, order: Sequence[Column], values: Sequence[str]
     return out.select(
         *[c for c in df.columns],
         (F.col("_o_n") + F.col("_l_n")).alias(row_col),
+        *([F.col("_all_n").alias(total_col)] if total_col else []),
         *[(F.col(f"_o_{v}") + F.col(f"_l_{v}")).alias(f"cum_{v}") for v in values])
 
 

@@ -114,13 +114,10 @@ def state_codes(customers: DataFrame) -> DataFrame:
     return customers.select("customer_id", clean_state("customer_state").alias("state_code"))
 
 
-def build_panel(lines: DataFrame, products: DataFrame, customers: DataFrame, p: Params,
-                matured: bool = True) -> DataFrame:
-    """C1 (``matured=True``): emitted rows have a fully observed label window.
-
-    ``matured=False`` gives the scoring features (C3 before the latest-row
-    cut): same features, no maturity filter, no label columns.
-    """
+def cohort_panel(lines: DataFrame, products: DataFrame, customers: DataFrame, p: Params) -> DataFrame:
+    """Every purchase-day (up to ``as_of``) of customers acquired on/after the floor,
+    with features and label columns.  The training panel and the scoring rows
+    are both cuts of this one table, so their features cannot drift apart."""
     s = cumulative_state(purchase_days(lines, products, p))
     s = s.join(state_codes(customers), "customer_id", "left")
     since_first, since_prev = _days("order_date", "first_order_date"), _days("order_date", "prev_order_date")
@@ -169,22 +166,36 @@ def build_panel(lines: DataFrame, products: DataFrame, customers: DataFrame, p:
         F.col("state_code").isNull().alias("state_missing"),
         "first_order_date",
     )
-    keep = F.col("first_order_date") >= F.lit(p.order_floor)
-    if matured:
-        keep = keep & (F.col("order_date") <= F.lit(p.maturity_cutoff))
-        cols = PANEL_COLUMNS
-    else:
-        cols = [c for c in PANEL_COLUMNS if c not in LABEL_COLUMNS]
-    return out.where(keep).select(*cols)
+    return out.where(F.col("first_order_date") >= F.lit(p.order_floor)).select(*PANEL_COLUMNS)
 
 
-def latest_order_features(lines: DataFrame, products: DataFrame, customers: DataFrame,
-                          p: Params) -> DataFrame:
-    """The scoring extract -- each customer's latest purchase-day as of ``as_of``.
+def matured_rows(panel_all: DataFrame, p: Params) -> DataFrame:
+    """Rows whose label window is fully observed (filter above the windows)."""
+    return panel_all.where(F.col("order_date") <= F.lit(p.maturity_cutoff))
+
+
+def latest_rows(panel_all: DataFrame) -> DataFrame:
+    """Each customer's latest purchase-day, without label columns.
 
-    The latest day is the row with the highest order_seq; rank-1 filtering on
-    the panel's own partitioning needs no further Exchange.
+    Rank-1 filtering on the panel's own customer partitioning needs no new
+    Exchange (Spark plans it as a WindowGroupLimit).
     """
-    feats = build_panel(lines, products, customers, p, matured=False)
     w = Window.partitionBy("customer_id").orderBy(F.col("order_seq").desc())
-    return feats.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").drop("_rk")
+    feats = [c for c in PANEL_COLUMNS if c not in LABEL_COLUMNS]
+    return panel_all.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").select(*feats)
+
+
+def build_panel(lines: DataFrame, products: DataFrame, customers: DataFrame, p: Params,
+                matured: bool = True) -> DataFrame:
+    """C1 (``matured=True``): emitted rows have a fully observed label window.
+    ``matured=False``: all cohort rows without label columns."""
+    allp = cohort_panel(lines, products, customers, p)
+    if matured:
+        return matured_rows(allp, p)
+    return allp.select(*[c for c in PANEL_COLUMNS if c not in LABEL_COLUMNS])
+
+
+def latest_order_features(lines: DataFrame, products: DataFrame, customers: DataFrame,
+                          p: Params) -> DataFrame:
+    """The scoring extract -- each customer's latest purchase-day as of ``as_of``."""
+    return latest_rows(cohort_panel(lines, products, customers, p))

@@ -98,10 +98,12 @@ def quality_checks(scores: DataFrame, p: Params) -> DataFrame:
     n = scores.count()
     k = int(0.1 * n)
     vals = scores.where(F.col("remaining_pltv").isNotNull()).select("customer_id", "remaining_pltv")
-    top = running_totals(vals, [F.col("remaining_pltv").desc(), F.col("customer_id")], [], row_col="pos")
-    bot = running_totals(vals, [F.col("remaining_pltv").asc(), F.col("customer_id")], [], row_col="pos")
-    top_sum = top.where(F.col("pos") <= k).agg(F.sum("remaining_pltv")).first()[0]
-    bot_sum = bot.where(F.col("pos") <= k).agg(F.sum("remaining_pltv")).first()[0]
+    # one ascending pass: bottom k = first k positions, top k = last k positions
+    run = running_totals(vals, [F.col("remaining_pltv").asc(), F.col("customer_id")], [], row_col="pos",
+                         total_col="m")
+    sums = run.agg(F.sum(F.when(F.col("pos") > F.col("m") - k, F.col("remaining_pltv"))).alias("top"),
+                   F.sum(F.when(F.col("pos") <= k, F.col("remaining_pltv"))).alias("bot")).first()
+    top_sum, bot_sum = sums["top"], sums["bot"]
     hi = F.col("churn_prob") >= p.high_churn_cutoff
     dq = F.percentile("remaining_pltv", [i / 10 for i in range(1, 10)])
     return scores.agg(
@@ -123,9 +125,8 @@ def reportable(scores: DataFrame, loyal: int = 20) -> DataFrame:
 def with_deciles(scores: DataFrame, col: str = "remaining_pltv") -> DataFrame:
     """Decile of the 1-based value rank (ties by total desc, then id)."""
     r = running_totals(scores, [F.col(col).asc(), F.col("total_pltv").desc(), F.col("customer_id")], [],
-                       row_col="value_rank")
-    n = scores.count()
-    return r.withColumn("decile", decile_from_rank(F.col("value_rank"), L(n)))
+                       row_col="value_rank", total_col="_n")
+    return r.withColumn("decile", decile_from_rank(F.col("value_rank"), F.col("_n"))).drop("_n")
 
 
 def decile_concentration(scores: DataFrame) -> DataFrame:

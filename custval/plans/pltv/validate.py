@@ -18,7 +18,6 @@ from custval.operators.ranking import running_totals
 from custval.params import Params
 from custval.plans.aov.fit import AovFit
 from custval.plans.hazard import curve as CV
-from custval.plans.hazard import panel as PN
 from custval.plans.pltv import scores as SC
 
 L = F.lit
@@ -38,13 +37,12 @@ def realized_after(lines: DataFrame, p: Params) -> DataFrame:
         F.countDistinct("order_id").alias("realized_orders"))
 
 
-def holdout_frame(lines, products, customers, p: Params, aov_holdout: AovFit, m: dict | None = None) -> DataFrame:
-    """Scores as of the cutoff joined to forward actuals (one row per scored customer)."""
+def holdout_frame(lines, latest: DataFrame, p: Params, aov_holdout: AovFit, m: dict) -> DataFrame:
+    """Scores as of the cutoff joined to forward actuals (one row per scored customer).
+
+    ``latest`` and ``m`` are the scoring rows and multipliers built as of the cutoff.
+    """
     pc = cutoff_params(p)
-    if m is None:
-        r = CV.curve_values(CV.hazard_curve(CV.with_scores(PN.build_panel(lines, products, customers, pc), pc), pc))
-        m = CV.multipliers(r, pc.horizon)
-    latest = PN.latest_order_features(lines, products, customers, pc)
     scores = SC.pltv_scores(latest, m, aov_holdout.customers, pc)
     seg = latest.select("customer_id", "acq_channel", "entry_department", "customer_state")
     test = aov_holdout.customers.select("customer_id", "test_n_orders", "test_sum_value")
@@ -57,9 +55,8 @@ def holdout_frame(lines, products, customers, p: Params, aov_holdout: AovFit, m:
 
 
 def _ranked_bins(df: DataFrame, col: str, parts: int) -> DataFrame:
-    r = running_totals(df, [F.col(col).asc(), F.col("customer_id")], [], row_col="_r")
-    n = df.count()
-    return r.withColumn("bucket", decile_from_rank(F.col("_r"), L(n), parts)).drop("_r")
+    r = running_totals(df, [F.col(col).asc(), F.col("customer_id")], [], row_col="_r", total_col="_n")
+    return r.withColumn("bucket", decile_from_rank(F.col("_r"), F.col("_n"), parts)).drop("_r", "_n")
 
 
 def frequency_aov_interaction(vf: DataFrame) -> DataFrame:

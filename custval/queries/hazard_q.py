@@ -11,14 +11,22 @@ from custval.sources.testdata import load_inputs
 DIG = oh.PANEL_DIGITS
 
 
-def matured_panel(spark, sf_dir, p=P):
+
+
+def panel_all(spark, sf_dir, p=P):
+    """The cohort panel (the feature extract that training, curve, scoring and
+    reports all cut).  Kept lazy: each query's plan prunes it to the columns
+    that query needs, which beats materialising every feature once."""
     i = load_inputs(spark, sf_dir)
-    return PN.build_panel(i.lines, i.products, i.customers, p, matured=True)
+    return PN.cohort_panel(i.lines, i.products, i.customers, p)
+
+
+def matured_panel(spark, sf_dir, p=P):
+    return PN.matured_rows(panel_all(spark, sf_dir, p), p)
 
 
 def scoring_extract(spark, sf_dir, p=P):
-    i = load_inputs(spark, sf_dir)
-    return PN.latest_order_features(i.lines, i.products, i.customers, p)
+    return PN.latest_rows(panel_all(spark, sf_dir, p))
 
 
 @register("churn_panel", oh.sql_panel)

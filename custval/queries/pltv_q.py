@@ -10,6 +10,7 @@ from custval.plans.hazard import model as MD
 from custval.plans.pltv import scores as SC
 from custval.queries.aov_q import production_fit
 from custval.queries.hazard_q import matured_panel, scoring_extract
+from custval.operators.persist import materialize
 from custval.registry import register, rounded
 
 D4 = 4
@@ -40,6 +41,18 @@ def value_scores(spark, sf_dir, p=P):
     return SC.pltv_scores(scoring_extract(spark, sf_dir, p), m, aov, p)
 
 
+_SCORES: dict = {}
+
+
+def scores_table(spark, sf_dir, p=P):
+    """The score table written once (the reference's scores file) and read back by
+    every report, so report actions do not rerun the scoring lineage."""
+    key = (spark.sparkContext.applicationId, sf_dir, p)
+    if key not in _SCORES:
+        _SCORES[key] = materialize(value_scores(spark, sf_dir, p))
+    return _SCORES[key]
+
+
 def _reg(key, fn, sql, digits=None):
     def build(spark, sf_dir):
         return rounded(fn(spark, sf_dir), digits or {})
@@ -81,16 +94,16 @@ _reg("live_scores", lambda s, d: CV.live_scores(scoring_extract(s, d), P), oc.li
 
 MONEY = {"realized_value": D4, "expected_aov": D4, "remaining_pltv": D4, "total_pltv": D4}
 _reg("pltv_scores", lambda s, d: SC.ranked(value_scores(s, d)), op.pltv_scores, MONEY)
-_reg("pltv_describe", lambda s, d: SC.describe(value_scores(s, d)), op.pltv_describe,
+_reg("pltv_describe", lambda s, d: SC.describe(scores_table(s, d)), op.pltv_describe,
      {k: D4 for k in ("mean", "std", "min", "p10", "p25", "p50", "p75", "p90", "max")})
-_reg("pltv_null_report", lambda s, d: SC.null_report(value_scores(s, d)), op.pltv_null_report)
-_reg("pltv_by_stage", lambda s, d: SC.by_stage(value_scores(s, d)), op.pltv_by_stage, {"mean_remaining": D4})
-_reg("pltv_quality_checks", lambda s, d: SC.quality_checks(value_scores(s, d), P), op.pltv_quality_checks,
+_reg("pltv_null_report", lambda s, d: SC.null_report(scores_table(s, d)), op.pltv_null_report)
+_reg("pltv_by_stage", lambda s, d: SC.by_stage(scores_table(s, d)), op.pltv_by_stage, {"mean_remaining": D4})
+_reg("pltv_quality_checks", lambda s, d: SC.quality_checks(scores_table(s, d), P), op.pltv_quality_checks,
      {**{f"d{i}0": D4 for i in range(1, 10)}, "top_10pct_sum": D4, "bottom_10pct_sum": D4})
-_reg("pltv_decile_concentration", lambda s, d: SC.decile_concentration(value_scores(s, d)),
+_reg("pltv_decile_concentration", lambda s, d: SC.decile_concentration(scores_table(s, d)),
      op.pltv_decile_concentration, {"remaining": D4})
-_reg("pltv_trend", lambda s, d: SC.trend_and_tiers(value_scores(s, d)), op.pltv_trend, {"intercept": D4})
-_reg("pltv_by_tier", lambda s, d: SC.by_tier(value_scores(s, d)), op.pltv_by_tier, {"mean_remaining": D4})
-_reg("pltv_histogram", lambda s, d: SC.histogram(value_scores(s, d), 50), op.pltv_histogram,
+_reg("pltv_trend", lambda s, d: SC.trend_and_tiers(scores_table(s, d)), op.pltv_trend, {"intercept": D4})
+_reg("pltv_by_tier", lambda s, d: SC.by_tier(scores_table(s, d)), op.pltv_by_tier, {"mean_remaining": D4})
+_reg("pltv_histogram", lambda s, d: SC.histogram(scores_table(s, d), 50), op.pltv_histogram,
      {"edge_lo": D4, "edge_hi": D4})
-_reg("pltv_scorecard", lambda s, d: SC.scorecard(value_scores(s, d), P), op.pltv_scorecard, {"value": D4})
+_reg("pltv_scorecard", lambda s, d: SC.scorecard(scores_table(s, d), P), op.pltv_scorecard, {"value": D4})

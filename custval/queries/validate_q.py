@@ -8,7 +8,9 @@ from custval.oracle import validate as ov
 from custval.params import DEFAULT as P
 from custval.plans.pltv import validate as V
 from custval.queries.aov_q import holdout_fit, production_fit
-from custval.queries.pltv_q import curve_and_multipliers, scored_panel, value_scores
+from custval.queries.hazard_q import scoring_extract
+from custval.queries.pltv_q import curve_and_multipliers, scored_panel, scores_table as value_scores
+from custval.operators.persist import materialize
 from custval.registry import register, rounded
 from custval.sources.testdata import load_inputs
 
@@ -17,10 +19,18 @@ BEFORE = replace(P, as_of=P.as_of.fromordinal(P.as_of.toordinal() - 30))
 D4 = 4
 
 
+_FRAMES: dict = {}
+
+
 def frame(spark, sf_dir):
-    i = load_inputs(spark, sf_dir)
-    _, m = curve_and_multipliers(spark, sf_dir, PC)
-    return V.holdout_frame(i.lines, i.products, i.customers, P, holdout_fit(spark, sf_dir), m)
+    """The holdout validation frame, written once per application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FRAMES:
+        i = load_inputs(spark, sf_dir)
+        _, m = curve_and_multipliers(spark, sf_dir, PC)
+        _FRAMES[key] = materialize(
+            V.holdout_frame(i.lines, scoring_extract(spark, sf_dir, PC), P, holdout_fit(spark, sf_dir), m))
+    return _FRAMES[key]
 
 
 def _reg(key, fn, sql, digits=None):

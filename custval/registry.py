@@ -72,7 +72,9 @@ __all__ = ["register", "rounded", "queries", "oracle_sql", "REGISTRY", "DEFAULT"
 
 def reset_caches() -> None:
     """Forget memoised fits / curves (used by the benchmark between queries)."""
-    from custval.queries import aov_q, model_q, pltv_q
+    from custval.queries import aov_q, model_q, pltv_q, validate_q
+    pltv_q._SCORES.clear()
+    validate_q._FRAMES.clear()
     aov_q._FITS.clear()
     model_q._MODELS.clear()
     pltv_q._CURVES.clear()
