@@ -332,3 +332,14 @@ def mix_shrink_sweep() -> str:
                   FROM p GROUP BY m, n_tier)""",
         body=f"""SELECT err.m, n_tier, customers, {R('err')} AS err, {R('calib')} AS calib
 FROM err JOIN cal ON err.m IS NOT DISTINCT FROM cal.m""", holdout=True)
+
+
+def variance_example_curve() -> str:
+    return _with_extra(
+        WITHIN,
+        """pick AS (SELECT customer_id, within_var, mean_log, SQRT(within_var) AS sd FROM wv WHERE n_c BETWEEN 3 AND 8
+                 ORDER BY ABS(within_var - (SELECT AVG(within_var) FROM wv)), customer_id LIMIT 1)""",
+        """grid AS (SELECT customer_id, i, mean_log - 3.2 * sd + i * (6.4 * sd / 79) AS x, mean_log, sd
+                 FROM pick, range(0, 80) r(i))""",
+        body=f"""SELECT customer_id, i, {R('EXP(x)', 4)} AS usd,
+  {R('EXP(-0.5 * POW((x - mean_log) / sd, 2)) / (sd * SQRT(2 * 3.141592653589793))')} AS density FROM grid""")

@@ -376,3 +376,18 @@ def mix_shrink_sweep(f: AovFit) -> DataFrame:
                                         (F.median(_ape(F.col("pred"), F.col("actual_aov"))) * 100).alias("err"))
     calib = calib.withColumn("calib", F.when(F.col("m").isNull(), L(None)).otherwise(F.col("calib")))
     return err.join(calib, err.m.eqNullSafe(calib.m)).select(err.m, "n_tier", "customers", "err", "calib")
+
+
+def variance_example_curve(f: AovFit, points: int = 80) -> DataFrame:
+    """Model-implied lognormal order distribution of the example customer."""
+    w = _within(f)
+    avg = w.agg(F.avg("within_var").alias("a")).first()["a"]
+    pick = w.where(F.col("n_c").between(3, 8)).agg(
+        F.min_by(F.struct("customer_id", "within_var", "mean_log"),
+                 F.struct(F.abs(F.col("within_var") - L(avg)), F.col("customer_id"))).alias("s")).select("s.*")
+    sd = F.sqrt("within_var")
+    x = F.col("mean_log") - 3.2 * sd + F.col("i") * (6.4 * sd / (points - 1))
+    dens = F.exp(-0.5 * ((x - F.col("mean_log")) / sd) ** 2) / (sd * F.sqrt(L(2 * 3.141592653589793)))
+    return (pick.where(F.col("customer_id").isNotNull())
+            .select("*", F.explode(F.sequence(L(0), L(points - 1))).alias("i"))
+            .select("customer_id", "i", F.exp(x).alias("usd"), dens.alias("density")))

@@ -60,9 +60,9 @@ def ranked(scores: DataFrame) -> DataFrame:
 
 
 def write_scores(scores: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write the score table."""
-    w = ranked(scores).write.mode("overwrite")
-    (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
+    """Write the score table in descending value order."""
+    from custval.sources.sinks import write_table
+    write_table(ranked(scores), path, fmt)
 
 
 # --- reports -----------------------------------------------------------------

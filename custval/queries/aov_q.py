@@ -98,6 +98,7 @@ _report("within_customer_variance", REP.within_customer_variance, ofit.within_cu
 _report("within_variance_histogram", REP.within_variance_histogram, ofit.within_variance_histogram)
 _report("variance_example", REP.variance_example, ofit.variance_example,
         {"geomean_usd": D4, "cell_mean_usd": D4})
+_report("variance_example_curve", REP.variance_example_curve, ofit.variance_example_curve, {"usd": D4})
 _report("spend_by_type", REP.spend_by_type, ofit.spend_by_type,
         {"raw_avg_order_value": D4, "model_expected_aov": D4, "pooled_order_value": D4})
 _report("holdout_error_by_tier", REP.holdout_error_by_tier, ofit.holdout_error_by_tier, holdout=True)

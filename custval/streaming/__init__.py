@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference's jobs are full-history batch extracts; there are no streams,
+watermarks, event-time windows or stateful operators to re-express, so this
+package holds no operators (see README, "Not built").
+"""
