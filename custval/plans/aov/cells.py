@@ -23,38 +23,50 @@ def consumer_lines(lines: DataFrame, excluded) -> DataFrame:
     return lines.where((F.col("customer_id") > 0) & ~F.col("channel_type").isin(*excluded))
 
 
-def acquisition_cohort(lines: DataFrame, p: Params, ceiling) -> DataFrame:
-    """A4: first order date over all in-scope lines, kept if in [floor, ceiling]."""
-    first = (consumer_lines(lines, p.aov_excluded)
-             .groupBy("customer_id").agg(F.min("order_date").alias("first_order_date")))
-    return first.where(F.col("first_order_date").between(F.lit(p.order_floor), F.lit(ceiling)))
-
-
-def order_primary(lines: DataFrame, cohort: DataFrame, p: Params) -> DataFrame:
-    """One row per positive order with its primary department.
+def all_orders(lines: DataFrame, p: Params) -> DataFrame:
+    """Every in-scope order with its primary department and value (before the
+    positivity filter).  One scan of the lines: (customer, order, department)
+    -> order, both partial+final aggregates.
 
     Primary department = most lines, then most revenue, then name ascending.
     """
-    base = (consumer_lines(lines, p.aov_excluded)
-            .join(cohort.select("customer_id"), "customer_id", "left_semi")
-            .select("customer_id", "order_id", "order_date",
-                    F.coalesce("department", F.lit("Unassigned")).alias("dept"),
-                    F.coalesce("is_exotic", F.lit(False)).alias("is_exotic"),
-                    "order_value"))
+    base = consumer_lines(lines, p.aov_excluded).select(
+        "customer_id", "order_id", "order_date",
+        F.coalesce("department", F.lit("Unassigned")).alias("dept"),
+        F.coalesce("is_exotic", F.lit(False)).alias("is_exotic"),
+        "order_value")
     per_dept = base.groupBy("customer_id", "order_id", "dept").agg(
         F.min("order_date").alias("order_date"),
         F.count(F.lit(1)).alias("dept_lines"),
         F.sum("order_value").alias("dept_rev"),
         F.bool_or("is_exotic").alias("dept_exotic"))
     rank_key = F.struct(-F.col("dept_lines"), -F.col("dept_rev"), F.col("dept"))
-    orders = per_dept.groupBy("customer_id", "order_id").agg(
+    return per_dept.groupBy("customer_id", "order_id").agg(
         F.min("order_date").alias("order_date"),
         F.min_by("dept", rank_key).alias("order_department"),
         F.bool_or("dept_exotic").alias("order_is_exotic"),
         F.sum("dept_rev").alias("order_value"))
+
+
+def cohort_of(orders: DataFrame, p: Params, ceiling) -> DataFrame:
+    """A4: first order date over all in-scope orders (= lines), kept if in [floor, ceiling]."""
+    first = orders.groupBy("customer_id").agg(F.min("order_date").alias("first_order_date"))
+    return first.where(F.col("first_order_date").between(F.lit(p.order_floor), F.lit(ceiling)))
+
+
+def acquisition_cohort(lines: DataFrame, p: Params, ceiling) -> DataFrame:
+    return cohort_of(all_orders(lines, p), p, ceiling)
+
+
+def positive(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("order_value") > 0)
 
 
+def order_primary(lines: DataFrame, cohort: DataFrame, p: Params) -> DataFrame:
+    """Positive orders of cohort customers (order grain, semi join on customer)."""
+    return positive(all_orders(lines, p)).join(cohort.select("customer_id"), "customer_id", "left_semi")
+
+
 def customer_totals(orders: DataFrame) -> DataFrame:
     """Per customer order count, first positive order date, ever-exotic."""
     return orders.groupBy("customer_id").agg(
@@ -63,8 +75,12 @@ def customer_totals(orders: DataFrame) -> DataFrame:
         F.bool_or("order_is_exotic").alias("buys_exotic"))
 
 
-def cells_from_orders(orders: DataFrame) -> DataFrame:
-    """Cell sufficient statistics plus customer totals (window on the cell grain)."""
+def cells_from_orders(orders: DataFrame, cohort: DataFrame | None = None) -> DataFrame:
+    """Cell sufficient statistics plus customer totals (window on the cell grain).
+
+    The cohort filter is an inner join at the cell grain, which holds at most
+    (departments x 2) rows per customer, so no customer can skew it.
+    """
     lv = F.ln(F.col("order_value").cast("double"))
     cells = orders.groupBy("customer_id", "order_department", "order_is_exotic").agg(
         F.count(F.lit(1)).alias("n_orders"),
@@ -72,6 +88,8 @@ def cells_from_orders(orders: DataFrame) -> DataFrame:
         F.sum(lv * lv).alias("sum_log_value_sq"),
         F.sum("order_value").alias("sum_value_dec"),
         F.min("order_date").alias("cell_first_date"))
+    if cohort is not None:
+        cells = cells.join(cohort.select("customer_id"), "customer_id")
     w = Window.partitionBy("customer_id")
     return cells.select(
         "customer_id", "order_department", "order_is_exotic", "n_orders",
@@ -86,13 +104,60 @@ def aov_orders(lines: DataFrame, p: Params) -> DataFrame:
     return order_primary(lines, acquisition_cohort(lines, p, p.join_ceiling), p)
 
 
+def cell_table(orders: DataFrame, p: Params, ceiling, holdout: bool = False) -> DataFrame:
+    """Cells of cohort customers from ALL in-scope orders, in one aggregate.
+
+    Conditional aggregates keep the positive (and, for the holdout, TRAIN)
+    order statistics per cell together with the earliest date of any order;
+    a window on the cell grain (bounded per customer) then applies the cohort
+    bounds and adds customer totals.  The lines are read once -- no semi join
+    back to the order or line grain.
+    """
+    val, date = F.col("order_value"), F.col("order_date")
+    keep = val > 0
+    if holdout:
+        test = keep & (date > F.lit(p.train_cutoff)) & (date <= F.lit(p.test_end))
+        keep = keep & (date <= F.lit(p.train_cutoff))
+    lv = F.ln(val.cast("double"))
+    aggs = [
+        F.count_if(keep).alias("n_orders"),
+        F.sum(F.when(keep, lv)).alias("sum_log_value"),
+        F.sum(F.when(keep, lv * lv)).alias("sum_log_value_sq"),
+        F.sum(F.when(keep, val)).alias("sum_value_dec"),
+        F.min(F.when(keep, date)).alias("cell_first_date"),
+        F.min(date).alias("any_first_date"),
+    ]
+    if holdout:
+        aggs += [F.count_if(test).alias("cell_test_n"), F.sum(F.when(test, val)).alias("cell_test_sum"),
+                 F.sum(F.when(test, lv)).alias("cell_test_log")]
+    cells = orders.groupBy("customer_id", "order_department", "order_is_exotic").agg(*aggs)
+    w = Window.partitionBy("customer_id")
+    cols = [
+        "customer_id", "order_department", "order_is_exotic", "n_orders",
+        "sum_log_value", "sum_log_value_sq",
+        F.col("sum_value_dec").cast("double").alias("sum_value"),
+        F.sum("n_orders").over(w).alias("cust_total_orders"),
+        F.max(F.when(F.col("n_orders") > 0, F.col("order_is_exotic"))).over(w).alias("buys_exotic"),
+        F.min("cell_first_date").over(w).alias("first_order_date"),
+        F.min("any_first_date").over(w).alias("cohort_first_date"),
+    ]
+    if holdout:
+        cols += [F.sum("cell_test_n").over(w).cast("bigint").alias("test_n_orders"),
+                 F.coalesce(F.sum("cell_test_sum").over(w).cast("double"), F.lit(0.0)).alias("test_sum_value"),
+                 F.sum("cell_test_log").over(w).alias("test_sum_log_value")]
+    t = cells.select(*cols)
+    t = t.where(F.col("cohort_first_date").between(F.lit(p.order_floor), F.lit(ceiling))
+                & (F.col("n_orders") > 0))
+    return t.drop("cohort_first_date")
+
+
 def aov_cells(lines: DataFrame, p: Params) -> DataFrame:
     """A1: production cells for customers acquired in [floor, join ceiling]."""
-    return cells_from_orders(aov_orders(lines, p))
+    return cell_table(all_orders(lines, p), p, p.join_ceiling)
 
 
 def holdout_orders(lines: DataFrame, p: Params) -> DataFrame:
-    """Orders of customers acquired by the train cutoff (holdout cohort)."""
+    """Positive orders of customers acquired by the train cutoff (holdout cohort)."""
     return order_primary(lines, acquisition_cohort(lines, p, p.train_cutoff), p)
 
 
@@ -111,10 +176,4 @@ def holdout_cells(lines: DataFrame, p: Params) -> DataFrame:
 
     Non-returners keep test_n_orders 0, test_sum_value 0.0, test_sum_log_value NULL.
     """
-    orders = holdout_orders(lines, p)
-    train = orders.where(F.col("order_date") <= F.lit(p.train_cutoff))
-    cells = cells_from_orders(train)
-    act = holdout_actuals(orders, p)
-    return (cells.join(act, "customer_id", "left")
-            .withColumn("test_n_orders", F.coalesce("test_n_orders", F.lit(0)).cast("bigint"))
-            .withColumn("test_sum_value", F.coalesce("test_sum_value", F.lit(0.0))))
+    return cell_table(all_orders(lines, p), p, p.train_cutoff, holdout=True)
