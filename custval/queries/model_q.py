@@ -51,3 +51,27 @@ def feature_importance(spark, sf_dir):
     model, feats = trained(spark, sf_dir)
     top = MD.feature_importance(model, feats, 25)
     return rounded(spark.createDataFrame(top, "feature string, importance double"))
+
+
+def model_value_scores(spark, sf_dir):
+    """F1 on the production path: the trained classifier scores the TEST rows
+    (for the repeat curve) and each customer's latest row (for the score)."""
+    from custval.plans.pltv import scores as SC
+    from custval.queries.aov_q import production_fit
+    from custval.queries.hazard_q import scoring_extract
+    model, feats = trained(spark, sf_dir)
+    test = model_scored(spark, sf_dir).withColumn("p_repeat", 1 - F.col("churn_prob")).withColumn(
+        "split", F.lit("test")).withColumn("seq_bucket", F.least(F.col("order_seq").cast("int"), F.lit(P.max_bucket)))
+    r = CV.curve_values(CV.hazard_curve(test, P))
+    m = CV.multipliers(r, P.horizon)
+    latest = scoring_extract(spark, sf_dir)
+    frame = MD.model_frame(latest, keep=("customer_id",))
+    pred = MD.predict(model, frame, feats).select("customer_id", "churn_prob")
+    rows = latest.join(pred, "customer_id")
+    return SC.pltv_scores(rows, m, production_fit(spark, sf_dir).customers, P, score=F.col("churn_prob"))
+
+
+@register("pltv_scores_model")
+def pltv_scores_model(spark, sf_dir):
+    return rounded(model_value_scores(spark, sf_dir), {"realized_value": 4, "expected_aov": 4,
+                                                       "remaining_pltv": 4, "total_pltv": 4})
