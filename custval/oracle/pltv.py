@@ -111,7 +111,7 @@ hist AS (SELECT CAST(s.i AS BIGINT) AS bin, lo + s.i * ((hi - lo) / {bins}) AS e
 
 def pltv_histogram() -> str:
     return _q(f"SELECT bin, {R('edge_lo', 4)} AS edge_lo, {R('edge_hi', 4)} AS edge_hi, customers FROM hist",
-              _hist("scores", 50, None))
+              _hist("rep", 50, None))
 
 
 def pltv_scorecard() -> str:

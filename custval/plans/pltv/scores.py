@@ -153,7 +153,10 @@ def by_tier(scores: DataFrame) -> DataFrame:
 
 
 def histogram(scores: DataFrame, bins: int = 50, upper_q: float | None = None) -> DataFrame:
-    """Equal-width bins over positive remaining value (top capped at a quantile)."""
+    """Equal-width bins over positive remaining value (top capped at a quantile).
+
+    F7b passes the reporting slice (``reportable``); F8 the scored customers.
+    """
     v = scores.where(F.col("remaining_pltv") > 0)
     r = v.agg(F.min("remaining_pltv").alias("lo"), F.max("remaining_pltv").alias("hi"),
               *([F.percentile("remaining_pltv", upper_q).alias("cap")] if upper_q else [])).first()

@@ -104,6 +104,6 @@ _reg("pltv_decile_concentration", lambda s, d: SC.decile_concentration(scores_ta
      op.pltv_decile_concentration, {"remaining": D4})
 _reg("pltv_trend", lambda s, d: SC.trend_and_tiers(scores_table(s, d)), op.pltv_trend, {"intercept": D4})
 _reg("pltv_by_tier", lambda s, d: SC.by_tier(scores_table(s, d)), op.pltv_by_tier, {"mean_remaining": D4})
-_reg("pltv_histogram", lambda s, d: SC.histogram(scores_table(s, d), 50), op.pltv_histogram,
+_reg("pltv_histogram", lambda s, d: SC.histogram(SC.reportable(scores_table(s, d)), 50), op.pltv_histogram,
      {"edge_lo": D4, "edge_hi": D4})
 _reg("pltv_scorecard", lambda s, d: SC.scorecard(scores_table(s, d), P), op.pltv_scorecard, {"value": D4})
