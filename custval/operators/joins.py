@@ -11,12 +11,13 @@ BROADCAST_MAX_ROWS = 100_000
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join ``big`` to a side that is small by construction (a summary table).
+               max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
+    """Join ``big`` to a side expected to be small (a summary table).
 
-    The row count is measured (a cheap action on an aggregate); the hint is
-    applied only under ``max_rows``.
+    The row count is measured (a cheap action on an aggregate) unless the
+    caller passes ``known_rows`` for a side whose size is fixed by
+    construction (a spine of N bins); the hint is applied only under ``max_rows``.
     """
-    n = small.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else small.limit(max_rows + 1).count()
     side = F.broadcast(small) if n <= max_rows else small
     return big.join(side, on, how)

@@ -257,7 +257,7 @@ def within_variance_histogram(f: AovFit, bins: int = 30) -> DataFrame:
     counts = w.select(fixed_bin(capped, L(lo), L(hi), bins).alias("bin")).groupBy("bin").count()
     spine = w.agg(F.count(F.lit(1)).alias("n")).select(F.explode(F.sequence(L(0), L(bins - 1))).alias("bin"))
     step = (hi - lo) / bins
-    return (join_small(spine, counts, "bin", "left")
+    return (join_small(spine, counts, "bin", "left", known_rows=bins)
             .select("bin", (L(lo) + F.col("bin") * L(step)).alias("edge_lo"),
                     (L(lo) + (F.col("bin") + 1) * L(step)).alias("edge_hi"),
                     F.coalesce("count", L(0)).cast("bigint").alias("customers")))
@@ -272,7 +272,7 @@ def variance_example(f: AovFit) -> DataFrame:
                              F.struct(F.abs(F.col("within_var") - L(avg)), F.col("customer_id"))).alias("s")
                     ).select("s.*").where(F.col("customer_id").isNotNull())
     return join_small(f.cells.select("customer_id", "order_department", "order_is_exotic", "n_orders", "sum_value"),
-                      pick, "customer_id", "inner").select(
+                      pick, "customer_id", "inner", known_rows=1).select(
         "customer_id", "n_c", "within_var", F.exp("mean_log").alias("geomean_usd"),
         "order_department", "order_is_exotic", "n_orders",
         (F.col("sum_value") / F.col("n_orders")).alias("cell_mean_usd"))

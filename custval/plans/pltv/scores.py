@@ -166,7 +166,7 @@ def histogram(scores: DataFrame, bins: int = 50, upper_q: float | None = None) -
     c = v.select(fixed_bin(x, L(lo), L(hi), bins).alias("bin")).groupBy("bin").count()
     spine = v.agg(F.count(F.lit(1)).alias("_c")).select(F.explode(F.sequence(L(0), L(bins - 1))).alias("bin"))
     step = (hi - lo) / bins
-    return join_small(spine, c, "bin", "left").select(
+    return join_small(spine, c, "bin", "left", known_rows=bins).select(
         "bin", (L(lo) + F.col("bin") * L(step)).alias("edge_lo"), (L(lo) + (F.col("bin") + 1) * L(step)).alias("edge_hi"),
         F.coalesce("count", L(0)).cast("bigint").alias("customers"))
 
