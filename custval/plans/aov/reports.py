@@ -173,6 +173,7 @@ def fit_checks(f: AovFit) -> DataFrame:
         L(w5).alias("w5"), L(w5 > 0.4).alias("w5_above_0_4"), "customers")
 
 
+# Order-count tiers (right-closed edges, labels) of the shrinkage report.
 N_TIERS = ([0, 1, 4, 10, 10**9], ["1", "2-4", "5-10", "11+"])
 
 
@@ -289,6 +290,7 @@ def spend_by_type(f: AovFit) -> DataFrame:
 
 # --- temporal holdout (fit on TRAIN cells, score TEST actuals) ---------------
 
+# Train order-count tiers of the holdout error report.
 HOLDOUT_TIERS = ([0, 1, 2, 3, 5, 10, 10**9], ["1", "2", "3", "4-5", "6-10", "11+"])
 
 
