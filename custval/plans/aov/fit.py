@@ -132,10 +132,14 @@ def fit(cells: DataFrame, p: Params, persist: bool = True) -> AovFit:
     smear = r["smear_num"] / r["smear_den"]
     rt = smear if p.predictor == "mean" else 1.0
     prem = premiums_table(cm, grand, rt)
-    pr = prem.agg((F.sum(F.col("n_orders") * F.col("a_cell")) / F.sum("n_orders")).alias("abar")).first()
+    # one small job: the population multiplier and the premium table's size,
+    # which decides the broadcast of the (department, exotic) lookup below
+    pr = prem.agg((F.sum(F.col("n_orders") * F.col("a_cell")) / F.sum("n_orders")).alias("abar"),
+                  F.count(F.lit(1)).alias("cells")).first()
     abar = pr["abar"]
 
-    cells_g = join_small(cm, prem.select(*CELL_KEYS, "gamma_cell", "a_cell"), CELL_KEYS, "left")
+    cells_g = join_small(cm, prem.select(*CELL_KEYS, "gamma_cell", "a_cell"), CELL_KEYS, "left",
+                         known_rows=pr["cells"])
     cust = customer_table(cells_g)
     center = cust.agg(F.avg("theta_raw").alias("c")).first()["c"]
     dev = F.col("theta_raw") - F.lit(center)

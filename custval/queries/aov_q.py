@@ -5,7 +5,7 @@ from __future__ import annotations
 from custval.oracle import aov as osql
 from custval.params import DEFAULT as P
 from custval.plans.aov import cells as C
-from custval.registry import register, rounded
+from custval.registry import app_key, register, rounded
 from custval.sources.testdata import order_lines
 
 MONEY4 = {"sum_value": 5, "test_sum_value": 5, "order_value": 5}
@@ -56,14 +56,14 @@ _FITS: dict = {}
 
 def production_fit(spark, sf_dir, p=P) -> FIT.AovFit:
     """The production fit, once per application, input folder and parameters."""
-    key = (spark.sparkContext.applicationId, sf_dir, "prod", p)
+    key = (app_key(spark), sf_dir, "prod", p)
     if key not in _FITS:
         _FITS[key] = FIT.fit(C.aov_cells(order_lines(spark, sf_dir), p), p)
     return _FITS[key]
 
 
 def holdout_fit(spark, sf_dir) -> FIT.AovFit:
-    key = (spark.sparkContext.applicationId, sf_dir, "holdout")
+    key = (app_key(spark), sf_dir, "holdout")
     if key not in _FITS:
         _FITS[key] = FIT.fit(C.holdout_cells(order_lines(spark, sf_dir), P), P)
     return _FITS[key]

@@ -9,14 +9,14 @@ from custval.params import DEFAULT as P
 from custval.plans.hazard import curve as CV
 from custval.plans.hazard import model as MD
 from custval.queries.hazard_q import matured_panel
-from custval.registry import register, rounded
+from custval.registry import app_key, register, rounded
 
 _MODELS: dict = {}
 MAX_ITER = 30
 
 
 def trained(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_key(spark), sf_dir)
     if key not in _MODELS:
         _MODELS[key] = MD.fit_hazard_model(matured_panel(spark, sf_dir), None, P, max_iter=MAX_ITER)
     return _MODELS[key]

@@ -11,7 +11,7 @@ from custval.plans.pltv import scores as SC
 from custval.queries.aov_q import production_fit
 from custval.queries.hazard_q import matured_panel, scoring_extract
 from custval.operators.persist import materialize
-from custval.registry import register, rounded
+from custval.registry import app_key, register, rounded
 
 D4 = 4
 _CURVES: dict = {}
@@ -23,7 +23,7 @@ def scored_panel(spark, sf_dir, p=P):
 
 def curve_and_multipliers(spark, sf_dir, p=P):
     """The repeat curve values and multipliers (8 + 16 numbers), once per input."""
-    key = (spark.sparkContext.applicationId, sf_dir, p)
+    key = (app_key(spark), sf_dir, p)
     if key not in _CURVES:
         r = CV.curve_values(CV.hazard_curve(scored_panel(spark, sf_dir, p), p))
         _CURVES[key] = (r, CV.multipliers(r, p.horizon))
@@ -47,7 +47,7 @@ _SCORES: dict = {}
 def scores_table(spark, sf_dir, p=P):
     """The score table written once (the reference's scores file) and read back by
     every report, so report actions do not rerun the scoring lineage."""
-    key = (spark.sparkContext.applicationId, sf_dir, p)
+    key = (app_key(spark), sf_dir, p)
     if key not in _SCORES:
         _SCORES[key] = materialize(value_scores(spark, sf_dir, p))
     return _SCORES[key]

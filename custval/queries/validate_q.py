@@ -11,7 +11,7 @@ from custval.queries.aov_q import holdout_fit, production_fit
 from custval.queries.hazard_q import scoring_extract
 from custval.queries.pltv_q import curve_and_multipliers, scored_panel, scores_table as value_scores
 from custval.operators.persist import materialize
-from custval.registry import register, rounded
+from custval.registry import app_key, register, rounded
 from custval.sources.testdata import load_inputs
 
 PC = V.cutoff_params(P)
@@ -24,7 +24,7 @@ _FRAMES: dict = {}
 
 def frame(spark, sf_dir):
     """The holdout validation frame, written once per application and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_key(spark), sf_dir)
     if key not in _FRAMES:
         i = load_inputs(spark, sf_dir)
         _, m = curve_and_multipliers(spark, sf_dir, PC)

@@ -52,6 +52,14 @@ def rounded(df: DataFrame, digits: dict | None = None, default: int = 6) -> Data
     return df.select(cols)
 
 
+def app_key(spark: SparkSession):
+    """Identity of the running application, for memoising fitted tables."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 -- sessions without a local context
+        return id(spark)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     _load()
     return {k: q.build for k, q in REGISTRY.items()}

@@ -43,9 +43,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Checkpoint folder: the session's ``spark.checkpoint.dir`` if set."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- remote sessions: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -25,8 +25,12 @@ def spread_narrow_scan(df: DataFrame) -> DataFrame:
     input already has far more splits than cores, so on a cluster this is a
     no-op and adds no shuffle.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no local context: leave the scan as it is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def _dec(c: Column, p: int, s: int) -> Column:
