@@ -68,3 +68,54 @@ def exact_auc(scored: DataFrame, score: str, label: str, group: Sequence[str] =
     return agg.select(*group, "pos", "neg",
                       F.when((F.col("pos") > 0) & (F.col("neg") > 0),
                              F.col("_num") / (F.col("pos") * F.col("neg"))).alias("auc"))
+
+
+def exact_quantiles(df: DataFrame, metrics: dict[str, Column], requests: Sequence[tuple[str, str, float]],
+                    group: Sequence[str] = ()) -> DataFrame:
+    """Exact linear-interpolation quantiles (same definition as ``percentile``
+    / SQL ``quantile_cont``) per group, without gathering a group's values in
+    one buffer.
+
+    ``metrics`` maps a name to a value column; ``requests`` lists
+    (output column, metric name, q).  Values are melted to (group, metric,
+    value), ranked with ``running_totals``, and only the order statistics at
+    floor/ceil of (n - 1) * q survive to the final, tiny aggregate.
+    """
+    melted = df.select(*group, F.explode(F.array(*[
+        F.struct(F.lit(k).alias("_m"), e.cast("double").alias("_v")) for k, e in metrics.items()])).alias("_x")
+    ).select(*group, "_x._m", "_x._v").where(F.col("_v").isNotNull())
+    r = running_totals(melted, [F.col("_v").asc()], [], [*group, "_m"], row_col="_pos", total_col="_n")
+    pos0 = F.col("_pos") - 1
+    parts, keep = [], F.lit(False)
+    for out, metric, q in requests:
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        lo, hi = F.floor(h), F.ceil(h)
+        frac = h - lo
+        mine = F.col("_m") == metric
+        w = (F.when(mine & (lo == hi) & (pos0 == lo), F.lit(1.0))
+              .when(mine & (lo != hi) & (pos0 == lo), 1 - frac)
+              .when(mine & (lo != hi) & (pos0 == hi), frac))
+        keep = keep | (mine & ((pos0 == lo) | (pos0 == hi)))
+        parts.append(F.struct(F.lit(out).alias("o"), w.alias("w")))
+    picked = r.where(keep).select(*group, "_v", F.explode(F.array(*parts)).alias("p")).where(F.col("p.w").isNotNull())
+    outs = [o for o, _, _ in requests]
+    return (picked.groupBy(*group).pivot("p.o", outs).agg(F.sum(F.col("_v") * F.col("p.w")))
+                  .select(*group, *[F.col(o).cast("double").alias(o) for o in outs]))
+
+
+def scalar_quantiles(df: DataFrame, column: Column, qs: Sequence[float]) -> list[float | None]:
+    """A few exact quantiles of one column, as driver values (one small row)."""
+    res = exact_quantiles(df, {"v": column}, [(f"q{i}", "v", q) for i, q in enumerate(qs)]).collect()
+    if not res:
+        return [None] * len(qs)
+    return [res[0][f"q{i}"] for i in range(len(qs))]
+
+
+def attach_quantiles(agg: DataFrame, df: DataFrame, metrics: dict[str, Column],
+                     requests: Sequence[tuple[str, str, float]], group: Sequence[str] = ()) -> DataFrame:
+    """Add exact quantile columns to a per-group aggregate ``agg`` (one row per group)."""
+    q = exact_quantiles(df, metrics, requests, group)
+    if group:
+        return agg.join(q, list(group), "left")
+    # both sides hold exactly one row: join on a constant key, no cross product
+    return agg.withColumn("_k", F.lit(1)).join(q.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from custval.functions.exprs import fixed_bin, right_closed_bucket
 from custval.operators.joins import join_small
+from custval.operators.ranking import attach_quantiles, scalar_quantiles
 from custval.plans.aov.fit import AovFit
 
 L = F.lit
@@ -181,11 +182,11 @@ def shrinkage_tiers(f: AovFit) -> DataFrame:
     """Customers, share, median weight and median expected AOV by order tier."""
     total = f.customers.count()
     t = f.customers.withColumn("n_tier", right_closed_bucket("n_c", *N_TIERS))
-    return t.groupBy("n_tier").agg(
+    agg = t.groupBy("n_tier").agg(
         F.count(F.lit(1)).alias("customers"),
-        (F.count(F.lit(1)) * 100.0 / L(total)).alias("pct_of_base"),
-        F.median("w").alias("median_w"),
-        F.median("expected_aov").alias("median_expected_aov"))
+        (F.count(F.lit(1)) * 100.0 / L(total)).alias("pct_of_base"))
+    return attach_quantiles(agg, t, {"w": F.col("w"), "aov": F.col("expected_aov")},
+                            [("median_w", "w", 0.5), ("median_expected_aov", "aov", 0.5)], ["n_tier"])
 
 
 def aov_decomposition(f: AovFit) -> DataFrame:
@@ -210,10 +211,10 @@ def expected_vs_actual(f: AovFit) -> DataFrame:
     c = (f.customers.where(F.col("n_c").between(1, 5))
          .withColumn("actual_mean", F.col("sum_value") / F.col("n_c"))
          .withColumn("ratio", F.col("expected_aov") / F.col("actual_mean")))
-    return c.groupBy("n_c").agg(
+    agg = c.groupBy("n_c").agg(
         F.count(F.lit(1)).alias("customers"), F.avg("actual_mean").alias("mean_actual"),
-        F.avg("expected_aov").alias("mean_expected"), F.avg("ratio").alias("mean_ratio"),
-        F.median("ratio").alias("median_ratio"))
+        F.avg("expected_aov").alias("mean_expected"), F.avg("ratio").alias("mean_ratio"))
+    return attach_quantiles(agg, c, {"r": F.col("ratio")}, [("median_ratio", "r", 0.5)], ["n_c"])
 
 
 def population_baseline(f: AovFit, points: int = 80) -> DataFrame:
@@ -240,19 +241,18 @@ def _within(f: AovFit) -> DataFrame:
 def within_customer_variance(f: AovFit) -> DataFrame:
     """Within-customer log variance for n >= 2: mean and percentiles."""
     w = _within(f)
-    q = F.percentile("within_var", [0.1, 0.25, 0.5, 0.75, 0.9])
-    return w.agg(F.count(F.lit(1)).alias("customers"), F.avg("within_var").alias("avg_within_var"),
-                 q.alias("q")).select(
+    agg = w.agg(F.count(F.lit(1)).alias("customers"), F.avg("within_var").alias("avg_within_var")).select(
         "customers", "avg_within_var", F.sqrt("avg_within_var").alias("avg_within_sd"),
-        L(f.sigma2).alias("sigma2_cell"),
-        *[F.col("q")[i].alias(n) for i, n in enumerate(["p10", "p25", "p50", "p75", "p90"])])
+        L(f.sigma2).alias("sigma2_cell"))
+    qs = [("p10", 0.1), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p90", 0.9)]
+    return attach_quantiles(agg, w, {"v": F.col("within_var")}, [(n, "v", q) for n, q in qs])
 
 
 def within_variance_histogram(f: AovFit, bins: int = 30) -> DataFrame:
     """30-bin histogram of within-customer variance capped at its p98."""
     w = _within(f)
-    r = w.agg(F.percentile("within_var", 0.98).alias("cap"), F.min("within_var").alias("lo")).first()
-    cap, lo = r["cap"], r["lo"]
+    lo = w.agg(F.min("within_var").alias("lo")).first()["lo"]
+    cap = scalar_quantiles(w, F.col("within_var"), [0.98])[0]
     hi = max(cap, lo)
     capped = F.least(F.col("within_var"), L(cap))
     counts = w.select(fixed_bin(capped, L(lo), L(hi), bins).alias("bin")).groupBy("bin").count()
@@ -309,11 +309,12 @@ def holdout_error_by_tier(f: AovFit) -> DataFrame:
     """Median abs % error of model vs population mean vs raw train mean."""
     v = scorable(f)
     a = F.col("actual_aov")
-    g = v.groupBy("n_tier").agg(
-        F.count(F.lit(1)).alias("customers"),
-        (F.median(_ape(F.col("pop_mean"), a)) * 100).alias("err_pop"),
-        (F.median(_ape(F.col("raw_train_mean"), a)) * 100).alias("err_raw"),
-        (F.median(_ape(F.col("expected_aov"), a)) * 100).alias("err_model"))
+    g = v.groupBy("n_tier").agg(F.count(F.lit(1)).alias("customers"))
+    g = attach_quantiles(g, v, {"pop": _ape(F.col("pop_mean"), a), "raw": _ape(F.col("raw_train_mean"), a),
+                                "model": _ape(F.col("expected_aov"), a)},
+                         [("m_pop", "pop", 0.5), ("m_raw", "raw", 0.5), ("m_model", "model", 0.5)], ["n_tier"])
+    g = g.select("n_tier", "customers", (F.col("m_pop") * 100).alias("err_pop"),
+                 (F.col("m_raw") * 100).alias("err_raw"), (F.col("m_model") * 100).alias("err_model"))
     e1, e2, e3 = F.col("err_pop"), F.col("err_raw"), F.col("err_model")
     winner = (F.when((e1 <= e2) & (e1 <= e3), "pop-mean").when(e2 <= e3, "raw-mean").otherwise("MODEL"))
     return g.withColumn("winner", winner)
@@ -324,15 +325,18 @@ def holdout_calibration(f: AovFit) -> DataFrame:
     v = scorable(f)
     fit_n = f.customers.count()
     ape = _ape(F.col("expected_aov"), F.col("actual_aov"))
-    return v.agg(
+    agg = v.agg(
         F.count(F.lit(1)).alias("scorable"),
         F.avg("actual_aov").alias("mean_actual"), F.avg("expected_aov").alias("mean_pred"),
         (F.avg("expected_aov") / F.avg("actual_aov")).alias("ratio"),
-        (F.median(ape) * 100).alias("median_ape"), (F.avg(ape) * 100).alias("mean_ape"),
+        (F.avg(ape) * 100).alias("mean_ape"),
         (F.sum("sum_value") / F.sum("n_c")).alias("train_level"),
         (F.sum("test_sum_value") / F.sum("test_n_orders")).alias("test_level"),
     ).select("*", L(fit_n).alias("fit_customers"),
              (F.col("test_level") / F.col("train_level")).alias("level_ratio"))
+    out = attach_quantiles(agg, v, {"ape": ape}, [("m_ape", "ape", 0.5)])
+    return out.select("scorable", "mean_actual", "mean_pred", "ratio", (F.col("m_ape") * 100).alias("median_ape"),
+                      "mean_ape", "train_level", "test_level", "fit_customers", "level_ratio")
 
 
 def holdout_binned_calibration(f: AovFit, parts: int = 5) -> DataFrame:
@@ -343,7 +347,7 @@ def holdout_binned_calibration(f: AovFit, parts: int = 5) -> DataFrame:
     """
     v = scorable(f)
     qs = [i / parts for i in range(1, parts)]
-    edges = v.agg(F.percentile("expected_aov", qs).alias("e")).first()["e"]
+    edges = scalar_quantiles(v, F.col("expected_aov"), qs)
     b = F.lit(1)
     for e in edges:
         b = b + (F.col("expected_aov") > L(e)).cast("int")
@@ -358,11 +362,12 @@ def holdout_signal(f: AovFit, ks=(1, 2, 3, 5), min_rows: int = 30) -> DataFrame:
     pred = v.agg(F.avg(L(f.tau2) / (L(f.tau2) + L(f.sigma2) / F.col("test_n_orders"))).alias("p")).first()["p"]
     ex = v.select("*", F.explode(F.array(*[L(k) for k in ks])).alias("k")).where(
         F.col("test_n_orders") >= F.col("k"))
-    g = ex.groupBy("k").agg(
-        F.count(F.lit(1)).alias("customers"),
-        (F.median(_ape(F.col("expected_aov"), F.col("actual_aov"))) * 100).alias("median_ape"),
-        F.corr("expected_aov", "actual_aov").alias("corr"))
-    return g.where(F.col("customers") >= min_rows).withColumn("predictable", L(pred))
+    g = ex.groupBy("k").agg(F.count(F.lit(1)).alias("customers"),
+                            F.corr("expected_aov", "actual_aov").alias("corr"))
+    g = attach_quantiles(g, ex, {"ape": _ape(F.col("expected_aov"), F.col("actual_aov"))},
+                         [("m_ape", "ape", 0.5)], ["k"])
+    return g.where(F.col("customers") >= min_rows).select(
+        "k", "customers", (F.col("m_ape") * 100).alias("median_ape"), "corr", L(pred).alias("predictable"))
 
 
 def mix_shrink_sweep(f: AovFit) -> DataFrame:
@@ -372,12 +377,15 @@ def mix_shrink_sweep(f: AovFit) -> DataFrame:
     ex = v.select("*", F.explode(F.array(*[L(m) for m in ms] + [L(None).cast("double")])).alias("m"))
     pred = F.when(F.col("m").isNull(), F.col("pop_mean")).otherwise(
         F.exp("theta_hat") * (F.col("obs_sum") + F.col("m") * L(f.abar_pop)) / (F.col("n_c") + F.col("m")))
-    ex = ex.withColumn("pred", pred)
-    calib = ex.groupBy("m").agg((F.avg("pred") / F.avg("actual_aov")).alias("calib"))
-    err = ex.groupBy("m", "n_tier").agg(F.count(F.lit(1)).alias("customers"),
-                                        (F.median(_ape(F.col("pred"), F.col("actual_aov"))) * 100).alias("err"))
-    calib = calib.withColumn("calib", F.when(F.col("m").isNull(), L(None)).otherwise(F.col("calib")))
-    return err.join(calib, err.m.eqNullSafe(calib.m)).select(err.m, "n_tier", "customers", "err", "calib")
+    ex = ex.withColumn("pred", pred).withColumn("m_key", F.coalesce(F.col("m").cast("string"), L("pop")))
+    calib = ex.groupBy("m_key").agg(
+        F.when(F.first("m", ignorenulls=True).isNull(), L(None))
+         .otherwise(F.avg("pred") / F.avg("actual_aov")).alias("calib"))
+    err = ex.groupBy("m_key", "n_tier").agg(F.first("m", ignorenulls=True).alias("m"),
+                                            F.count(F.lit(1)).alias("customers"))
+    err = attach_quantiles(err, ex, {"ape": _ape(F.col("pred"), F.col("actual_aov"))},
+                           [("m_ape", "ape", 0.5)], ["m_key", "n_tier"])
+    return err.join(calib, "m_key").select("m", "n_tier", "customers", (F.col("m_ape") * 100).alias("err"), "calib")
 
 
 def variance_example_curve(f: AovFit, points: int = 80) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from custval.functions.exprs import decile_from_rank, fixed_bin, risk_tier, right_closed_bucket
 from custval.operators.joins import join_small
-from custval.operators.ranking import running_totals
+from custval.operators.ranking import attach_quantiles, running_totals, scalar_quantiles
 from custval.params import Params
 from custval.plans.hazard.curve import demo_score, m_of
 
@@ -72,10 +72,11 @@ QS = [0.1, 0.25, 0.5, 0.75, 0.9]
 
 def describe(scores: DataFrame, col: str = "remaining_pltv") -> DataFrame:
     """count, mean, std, min, p10-p90, max (NULLs skipped)."""
-    q = F.percentile(col, QS)
-    return scores.agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
-                      F.min(col).alias("min"), q.alias("q"), F.max(col).alias("max")).select(
-        "count", "mean", "std", "min", *[F.col("q")[i].alias(f"p{int(x * 100)}") for i, x in enumerate(QS)], "max")
+    agg = scores.agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
+                     F.min(col).alias("min"), F.max(col).alias("max"))
+    names = [f"p{int(x * 100)}" for x in QS]
+    out = attach_quantiles(agg, scores, {"v": F.col(col)}, [(n, "v", q) for n, q in zip(names, QS)])
+    return out.select("count", "mean", "std", "min", *names, "max")
 
 
 def null_report(scores: DataFrame) -> DataFrame:
@@ -105,13 +106,16 @@ def quality_checks(scores: DataFrame, p: Params) -> DataFrame:
                    F.sum(F.when(F.col("pos") <= k, F.col("remaining_pltv"))).alias("bot")).first()
     top_sum, bot_sum = sums["top"], sums["bot"]
     hi = F.col("churn_prob") >= p.high_churn_cutoff
-    dq = F.percentile("remaining_pltv", [i / 10 for i in range(1, 10)])
-    return scores.agg(
-        dq.alias("d"), (F.count_if(hi) * 100.0 / F.count(F.lit(1))).alias("high_churn_pct"),
+    agg = scores.agg(
+        (F.count_if(hi) * 100.0 / F.count(F.lit(1))).alias("high_churn_pct"),
         F.count_if(hi).alias("high_churn_customers"),
         F.count_distinct(F.when(hi, F.col("expected_future_orders"))).alias("high_churn_distinct_orders"),
         F.max(F.when(hi, F.col("expected_future_orders"))).alias("high_churn_max_orders"),
-    ).select(*[F.col("d")[i].alias(f"d{i + 1}0") for i in range(9)],
+    )
+    deciles = [f"d{i}0" for i in range(1, 10)]
+    agg = attach_quantiles(agg, vals, {"v": F.col("remaining_pltv")},
+                           [(d, "v", i / 10) for i, d in enumerate(deciles, start=1)])
+    return agg.select(*deciles,
              L(k).cast("bigint").alias("k"), L(top_sum).cast("double").alias("top_10pct_sum"),
              L(bot_sum).cast("double").alias("bottom_10pct_sum"),
              "high_churn_pct", "high_churn_customers", "high_churn_distinct_orders", "high_churn_max_orders")
@@ -158,10 +162,9 @@ def histogram(scores: DataFrame, bins: int = 50, upper_q: float | None = None) -
     F7b passes the reporting slice (``reportable``); F8 the scored customers.
     """
     v = scores.where(F.col("remaining_pltv") > 0)
-    r = v.agg(F.min("remaining_pltv").alias("lo"), F.max("remaining_pltv").alias("hi"),
-              *([F.percentile("remaining_pltv", upper_q).alias("cap")] if upper_q else [])).first()
+    r = v.agg(F.min("remaining_pltv").alias("lo"), F.max("remaining_pltv").alias("hi")).first()
     lo = r["lo"]
-    hi = r["cap"] if upper_q else r["hi"]
+    hi = scalar_quantiles(v, F.col("remaining_pltv"), [upper_q])[0] if upper_q else r["hi"]
     x = F.least(F.col("remaining_pltv"), L(hi)) if upper_q else F.col("remaining_pltv")
     c = v.select(fixed_bin(x, L(lo), L(hi), bins).alias("bin")).groupBy("bin").count()
     spine = v.agg(F.count(F.lit(1)).alias("_c")).select(F.explode(F.sequence(L(0), L(bins - 1))).alias("bin"))
@@ -192,8 +195,8 @@ def scorecard(scores: DataFrame, p: Params) -> DataFrame:
         L("hist").alias("section"), F.col("bin").cast("string").alias("bucket"), "customers",
         F.col("edge_lo").alias("value"))
     tot = scores.agg(F.count(F.lit(1)).alias("n"), F.count("remaining_pltv").alias("scored"),
-                     F.sum("remaining_pltv").alias("remaining"), F.median("remaining_pltv").alias("median"),
-                     F.percentile("remaining_pltv", 0.99).alias("p99"))
+                     F.sum("remaining_pltv").alias("remaining"))
+    tot = attach_quantiles(tot, scores, {"v": F.col("remaining_pltv")}, [("median", "v", 0.5), ("p99", "v", 0.99)])
     def row(bucket, customers, value):
         return F.struct(L(bucket).alias("bucket"), customers.cast("bigint").alias("customers"),
                         value.cast("double").alias("value"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custval.functions.exprs import decile_from_rank, safe_div
-from custval.operators.ranking import running_totals
+from custval.operators.ranking import attach_quantiles, running_totals
 from custval.params import Params
 from custval.plans.aov.fit import AovFit
 from custval.plans.hazard import curve as CV
@@ -73,10 +73,11 @@ def frequency_aov_interaction(vf: DataFrame) -> DataFrame:
 def orders_per_purchase_day(vf: DataFrame) -> DataFrame:
     """V2: order ids per purchase-day in the forward window; the grain correction."""
     v = vf.where(F.col("realized_days") > 0).withColumn("ratio", F.col("realized_orders") / F.col("realized_days"))
-    return v.agg(F.count(F.lit(1)).alias("customers"), F.avg("ratio").alias("mean_ratio"),
-                 F.median("ratio").alias("median_ratio"), F.percentile("ratio", 0.9).alias("p90_ratio"),
-                 F.max("ratio").alias("max_ratio"), F.avg((F.col("ratio") == 1).cast("double")).alias("share_one"),
-                 (F.sum("realized_orders") / F.sum("realized_days")).alias("correction"))
+    agg = v.agg(F.count(F.lit(1)).alias("customers"), F.avg("ratio").alias("mean_ratio"),
+                F.max("ratio").alias("max_ratio"), F.avg((F.col("ratio") == 1).cast("double")).alias("share_one"),
+                (F.sum("realized_orders") / F.sum("realized_days")).alias("correction"))
+    out = attach_quantiles(agg, v, {"r": F.col("ratio")}, [("median_ratio", "r", 0.5), ("p90_ratio", "r", 0.9)])
+    return out.select("customers", "mean_ratio", "median_ratio", "p90_ratio", "max_ratio", "share_one", "correction")
 
 
 def _scored(vf: DataFrame) -> DataFrame:
@@ -202,12 +203,12 @@ def score_stability(now: DataFrame, before: DataFrame) -> DataFrame:
         before.select("customer_id", F.col("remaining_pltv").alias("before")), "customer_id").where(
         F.col("now").isNotNull() & F.col("before").isNotNull())
     d = F.col("now") - F.col("before")
-    return j.agg(F.count(F.lit(1)).alias("customers"), F.avg(d).alias("mean_delta"),
-                 F.percentile(d, [0.1, 0.5, 0.9]).alias("q"),
-                 F.avg((F.abs(d) <= 0.1 * F.abs(F.col("before"))).cast("double")).alias("share_within_10pct"),
-                 F.corr("now", "before").alias("corr")).select(
-        "customers", "mean_delta", F.col("q")[0].alias("p10_delta"), F.col("q")[1].alias("p50_delta"),
-        F.col("q")[2].alias("p90_delta"), "share_within_10pct", "corr")
+    agg = j.agg(F.count(F.lit(1)).alias("customers"), F.avg(d).alias("mean_delta"),
+                F.avg((F.abs(d) <= 0.1 * F.abs(F.col("before"))).cast("double")).alias("share_within_10pct"),
+                F.corr("now", "before").alias("corr"))
+    out = attach_quantiles(agg, j, {"d": d}, [("p10_delta", "d", 0.1), ("p50_delta", "d", 0.5),
+                                             ("p90_delta", "d", 0.9)])
+    return out.select("customers", "mean_delta", "p10_delta", "p50_delta", "p90_delta", "share_within_10pct", "corr")
 
 
 def pass_criteria(fit: AovFit, aov_holdout: AovFit, vf: DataFrame, scores: DataFrame,
