@@ -84,7 +84,11 @@ def exact_quantiles(df: DataFrame, metrics: dict[str, Column], requests: Sequenc
     melted = df.select(*group, F.explode(F.array(*[
         F.struct(F.lit(k).alias("_m"), e.cast("double").alias("_v")) for k, e in metrics.items()])).alias("_x")
     ).select(*group, "_x._m", "_x._v").where(F.col("_v").isNotNull())
-    r = running_totals(melted, [F.col("_v").asc()], [], [*group, "_m"], row_col="_pos", total_col="_n")
+    # a row tie-breaker lets equal values (say a third of all customers at 0)
+    # spread over many range partitions; positions among ties do not matter
+    melted = melted.withColumn("_tb", F.monotonically_increasing_id())
+    r = running_totals(melted, [F.col("_v").asc(), F.col("_tb").asc()], [], [*group, "_m"],
+                       row_col="_pos", total_col="_n")
     pos0 = F.col("_pos") - 1
     parts, keep = [], F.lit(False)
     for out, metric, q in requests:

@@ -136,9 +136,12 @@ def feature_importance(model: PipelineModel, feats: list[str], top: int = 25) ->
 
 
 def save_artifact(model: PipelineModel, feats: list[str], curve: DataFrame, multipliers: DataFrame,
-                  path: str, p: Params) -> None:
-    """Model, feature list, curve, multipliers and tier thresholds side by side."""
+                  path: str, p: Params, vocab: DataFrame | None = None) -> None:
+    """Model, feature list, category vocabulary, curve, multipliers and tier
+    thresholds side by side (one folder, each part a table)."""
     model.write().overwrite().save(f"{path}/model")
+    if vocab is not None:
+        vocab.write.mode("overwrite").parquet(f"{path}/vocab")
     spark = curve.sparkSession
     spark.createDataFrame([(i, c) for i, c in enumerate(feats)], "pos int, feature string") \
         .write.mode("overwrite").parquet(f"{path}/features")

@@ -29,7 +29,9 @@ def test_fit_predict_and_artifact(spark):
 
     curve = CV.hazard_curve(CV.with_scores(panel, P), P)
     d = tempfile.mkdtemp(prefix="custval-art-")
-    MD.save_artifact(model, feats, curve, CV.forward_multiplier(curve, P), d, P)
+    MD.save_artifact(model, feats, curve, CV.forward_multiplier(curve, P), d, P,
+                     vocab=MD.category_vocab(MD.model_frame(panel)))
+    assert spark.read.parquet(f"{d}/vocab").count() > 0
     back = PipelineModel.load(f"{d}/model")
     again = MD.predict(back, test, feats).select("churn_prob").toPandas().churn_prob
     first = scored.select("churn_prob").toPandas().churn_prob

@@ -43,3 +43,12 @@ def test_exact_auc_matches_pairwise_definition(spark):
     pos, neg = s[y == 1], s[y == 0]
     want = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
     assert got == pytest.approx(want, abs=1e-12)
+
+
+def test_exact_quantiles_with_a_third_of_rows_tied(spark):
+    x = np.concatenate([np.zeros(3000), np.linspace(1, 100, 6000)])
+    df = spark.createDataFrame(pd.DataFrame({"x": x})).repartition(8)
+    qs = [0.1, 0.33, 0.34, 0.5, 0.99]
+    got = exact_quantiles(df, {"x": F.col("x")}, [(f"q{i}", "x", q) for i, q in enumerate(qs)]).first()
+    want = np.quantile(x, qs, method="linear")
+    assert [got[f"q{i}"] for i in range(len(qs))] == pytest.approx(list(want), abs=1e-9)
