@@ -22,9 +22,10 @@ def demo(src: str = "") -> str:
     return R(f"1 / (1 + EXP(-{z}))")
 
 
-def split_case(col: str = "split_rand") -> str:
-    p = params_fmt()
-    return f"CASE WHEN {col} < 0.2 THEN 'test' WHEN {col} < (0.2 + 0.8 * 0.2) THEN 'val' ELSE 'fit' END"
+def split_case(col: str = "split_rand", p: Params = DEFAULT) -> str:
+    test_cut = p.test_share
+    val_cut = p.test_share + (1 - p.test_share) * p.val_share
+    return f"CASE WHEN {col} < {test_cut!r} THEN 'test' WHEN {col} < {val_cut!r} THEN 'val' ELSE 'fit' END"
 
 
 def curve_ctes(p: Params = DEFAULT) -> list[str]:
@@ -32,7 +33,7 @@ def curve_ctes(p: Params = DEFAULT) -> list[str]:
     B, H = f["max_bucket"], f["horizon"]
     return panel_ctes(True, p) + [f"""
 scored0 AS (SELECT *, {demo()} AS churn_prob FROM panel)""", f"""
-scored AS (SELECT *, 1 - churn_prob AS p_repeat, {split_case()} AS split,
+scored AS (SELECT *, 1 - churn_prob AS p_repeat, {split_case(p=p)} AS split,
                   LEAST(order_seq, {B}) AS seq_bucket FROM scored0)""", """
 test_rows AS (SELECT * FROM scored WHERE split = 'test')""", """
 curve_obs AS (SELECT seq_bucket AS k, COUNT(*) AS n, AVG(p_repeat) AS r_obs FROM test_rows GROUP BY seq_bucket)""", f"""

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custval.functions.exprs import decile_from_rank, fixed_bin, risk_tier, right_closed_bucket
+from custval.functions.exprs import decile_from_rank, fixed_bin, risk_tier
 from custval.operators.joins import join_small
 from custval.operators.ranking import attach_quantiles, running_totals, scalar_quantiles
 from custval.params import Params
