@@ -31,22 +31,28 @@ def running_totals(df: DataFrame, order: Sequence[Column], values: Sequence[str]
     ranged = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
                 .withColumn("_pid", F.spark_partition_id()))
     ranged = materialize(ranged)
+    # Reading the checkpoint returns each partition in its sorted order, and
+    # monotonically_increasing_id numbers a partition's rows consecutively, so
+    # a row's place inside its (partition, group) needs no further shuffle.
+    ranged = ranged.withColumn("_mid", F.monotonically_increasing_id())
     part_keys = ["_pid", *group]
-    tot = ranged.groupBy(*part_keys).agg(F.count(F.lit(1)).alias("_t_n"),
+    tot = ranged.groupBy(*part_keys).agg(F.count(F.lit(1)).alias("_t_n"), F.min("_mid").alias("_first"),
                                          *[F.sum(v).alias(f"_t_{v}") for v in values])
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
-    off = tot.select(*part_keys, F.coalesce(F.sum("_t_n").over(before), F.lit(0)).alias("_o_n"),
+    off = tot.select(*part_keys, "_first", F.coalesce(F.sum("_t_n").over(before), F.lit(0)).alias("_o_n"),
                      F.sum("_t_n").over(whole).alias("_all_n"),
                      *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values])
-    local_w = Window.partitionBy(*part_keys).orderBy(*order)
-    local_run = local_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select("*", F.row_number().over(local_w).alias("_l_n"),
-                          *[F.sum(v).over(local_run).alias(f"_l_{v}") for v in values])
+    if values:
+        local_run = Window.partitionBy(*part_keys).orderBy(*order).rowsBetween(Window.unboundedPreceding,
+                                                                                Window.currentRow)
+        local = ranged.select("*", *[F.sum(v).over(local_run).alias(f"_l_{v}") for v in values])
+    else:
+        local = ranged
     out = join_small(local, off, part_keys, "inner")
     return out.select(
         *[c for c in df.columns],
-        (F.col("_o_n") + F.col("_l_n")).alias(row_col),
+        (F.col("_o_n") + (F.col("_mid") - F.col("_first")) + 1).alias(row_col),
         *([F.col("_all_n").alias(total_col)] if total_col else []),
         *[(F.col(f"_o_{v}") + F.col(f"_l_{v}")).alias(f"cum_{v}") for v in values])
 
