@@ -49,7 +49,13 @@ def running_totals(df: DataFrame, order: Sequence[Column], values: Sequence[str]
         local = ranged.select("*", *[F.sum(v).over(local_run).alias(f"_l_{v}") for v in values])
     else:
         local = ranged
-    out = join_small(local, off, part_keys, "inner")
+    known = None
+    if not group:   # one offset row per partition: the size is the partition count
+        try:
+            known = ranged.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 -- no local context: measure instead
+            known = None
+    out = join_small(local, off, part_keys, "inner", known_rows=known)
     return out.select(
         *[c for c in df.columns],
         (F.col("_o_n") + (F.col("_mid") - F.col("_first")) + 1).alias(row_col),
