@@ -240,7 +240,7 @@ def within_variance_histogram() -> str:
         """bins AS (SELECT CASE WHEN hi = lo THEN 0 ELSE LEAST(CAST(FLOOR((LEAST(within_var, cap) - lo) * 30 / (hi - lo)) AS INTEGER), 29) END AS bin
                  FROM wv, lim2)""",
         "cnt AS (SELECT bin, COUNT(*) AS n FROM bins GROUP BY bin)",
-        body=f"""SELECT CAST(s.i AS INTEGER) AS bin, {R('lo + s.i * ((hi - lo) / 30)')} AS edge_lo,
+        body=f"""SELECT CAST(s.i AS BIGINT) AS bin, {R('lo + s.i * ((hi - lo) / 30)')} AS edge_lo,
   {R('lo + (s.i + 1) * ((hi - lo) / 30)')} AS edge_hi, CAST(COALESCE(n, 0) AS BIGINT) AS customers
 FROM range(0, 30) s(i) CROSS JOIN lim2 LEFT JOIN cnt ON cnt.bin = s.i""")
 
@@ -315,7 +315,7 @@ def holdout_signal() -> str:
         "ks AS (SELECT UNNEST([1, 2, 3, 5]) AS k)",
         """g AS (SELECT k, COUNT(*) AS customers, MEDIAN(ABS(expected_aov / actual_aov - 1)) * 100 AS median_ape,
                  CORR(expected_aov, actual_aov) AS corr FROM val JOIN ks ON test_n_orders >= k GROUP BY k)""",
-        body=f"""SELECT k, customers, {R('median_ape')} AS median_ape, {R('corr')} AS corr,
+        body=f"""SELECT CAST(k AS BIGINT) AS k, customers, {R('median_ape')} AS median_ape, {R('corr')} AS corr,
   {R('(SELECT AVG(f.tau2 / (f.tau2 + f.sigma2 / test_n_orders)) FROM val, fitp f)')} AS predictable
 FROM g WHERE customers >= 30""", holdout=True)
 
@@ -330,7 +330,7 @@ def mix_shrink_sweep() -> str:
         """cal AS (SELECT m, CASE WHEN m IS NULL THEN NULL ELSE AVG(pred) / AVG(actual_aov) END AS calib FROM p GROUP BY m)""",
         """err AS (SELECT m, n_tier, COUNT(*) AS customers, MEDIAN(ABS(pred / actual_aov - 1)) * 100 AS err
                   FROM p GROUP BY m, n_tier)""",
-        body=f"""SELECT err.m, n_tier, customers, {R('err')} AS err, {R('calib')} AS calib
+        body=f"""SELECT CAST(err.m AS DOUBLE) AS m, n_tier, customers, {R('err')} AS err, {R('calib')} AS calib
 FROM err JOIN cal ON err.m IS NOT DISTINCT FROM cal.m""", holdout=True)
 
 

@@ -156,7 +156,7 @@ def pass_criteria() -> str:
     f = params_fmt(DEFAULT)
     v = prefixed(vf_ctes(), "v_")
     return _prod(f"""
-SELECT 'tau2_positive' AS criterion, {R('tau2')} AS value, 0.0 AS threshold, tau2 > 0 AS passed FROM fitp
+SELECT 'tau2_positive' AS criterion, {R('tau2')} AS value, CAST(0.0 AS DOUBLE) AS threshold, tau2 > 0 AS passed FROM fitp
 UNION ALL SELECT 'w5_above_0_4', {R('CASE WHEN tau2 > 0 THEN 5 / (5 + k) ELSE 0 END')}, 0.4,
                  CASE WHEN tau2 > 0 THEN 5 / (5 + k) ELSE 0 END > 0.4 FROM fitp
 UNION ALL SELECT 'aov_holdout_calibration', {R('x')}, 1.0, ABS(x - 1) <= 0.1

@@ -17,9 +17,9 @@ from custval.sources.testdata import order_lines
 
 def _sql() -> str:
     return with_ctes(*osql.production_cells()) + f"""
-SELECT customer_id, order_department, CAST(order_is_exotic AS INTEGER) AS order_is_exotic, n_orders,
+SELECT customer_id, order_department, CAST(order_is_exotic AS BIGINT) AS order_is_exotic, n_orders,
        {osql.R('sum_log_value')} AS sum_log_value, {osql.R('sum_log_value_sq')} AS sum_log_value_sq,
-       {osql.R('sum_value', 5)} AS sum_value, cust_total_orders, CAST(buys_exotic AS INTEGER) AS buys_exotic,
+       {osql.R('sum_value', 5)} AS sum_value, cust_total_orders, CAST(buys_exotic AS BIGINT) AS buys_exotic,
        first_order_date FROM cells"""
 
 

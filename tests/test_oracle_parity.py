@@ -17,9 +17,17 @@ def test_every_query_has_an_oracle_or_is_listed_rows_only():
                          "churn_model_metrics", "pltv_scores_model", "report_payloads"}, rows_only
 
 
+TYPE_NAMES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_matches_oracle(spark, duck, key):
-    s = _norm(E.queries()[key](spark, SF_SMALL).toPandas())
+    sdf = E.queries()[key](spark, SF_SMALL)
+    rel = duck.sql(SQL[key])
+    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    for f in sdf.schema.fields:
+        assert TYPE_NAMES.get(f.dataType.simpleString()) == duck_types.get(f.name), (f.name, f.dataType)
+    s = _norm(sdf.toPandas())
     o = _norm(duck.execute(SQL[key]).df())
     assert list(s.columns) == list(o.columns)
     assert len(s) == len(o)
