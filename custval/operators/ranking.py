@@ -133,5 +133,7 @@ def attach_quantiles(agg: DataFrame, df: DataFrame, metrics: dict[str, Column],
     q = exact_quantiles(df, metrics, requests, group)
     if group:
         return agg.join(q, list(group), "left")
-    # both sides hold exactly one row: join on a constant key, no cross product
-    return agg.withColumn("_k", F.lit(1)).join(q.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
+    # ungrouped: the result is one small row -- attach its values as literals
+    row = q.first()
+    return agg.select("*", *[F.lit(row[o] if row is not None else None).cast("double").alias(o)
+                             for o, _, _ in requests])
