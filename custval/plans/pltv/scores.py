@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from custval.functions.exprs import decile_from_rank, fixed_bin, risk_tier
 from custval.operators.joins import join_small
-from custval.operators.ranking import attach_quantiles, running_totals, scalar_quantiles
+from custval.operators.ranking import attach_quantiles, exact_quantiles, running_totals, scalar_quantiles
 from custval.params import Params
 from custval.plans.hazard.curve import demo_score, m_of
 
@@ -156,7 +156,8 @@ def by_tier(scores: DataFrame) -> DataFrame:
                                                        F.count(F.lit(1)).alias("customers"))
 
 
-def histogram(scores: DataFrame, bins: int = 50, upper_q: float | None = None) -> DataFrame:
+def histogram(scores: DataFrame, bins: int = 50, upper_q: float | None = None,
+              cap: float | None = None) -> DataFrame:
     """Equal-width bins over positive remaining value (top capped at a quantile).
 
     F7b passes the reporting slice (``reportable``); F8 the scored customers.
@@ -164,7 +165,9 @@ def histogram(scores: DataFrame, bins: int = 50, upper_q: float | None = None) -
     v = scores.where(F.col("remaining_pltv") > 0)
     r = v.agg(F.min("remaining_pltv").alias("lo"), F.max("remaining_pltv").alias("hi")).first()
     lo = r["lo"]
-    hi = scalar_quantiles(v, F.col("remaining_pltv"), [upper_q])[0] if upper_q else r["hi"]
+    if upper_q and cap is None:
+        cap = scalar_quantiles(v, F.col("remaining_pltv"), [upper_q])[0]
+    hi = cap if upper_q else r["hi"]
     x = F.least(F.col("remaining_pltv"), L(hi)) if upper_q else F.col("remaining_pltv")
     c = v.select(fixed_bin(x, L(lo), L(hi), bins).alias("bin")).groupBy("bin").count()
     spine = v.agg(F.count(F.lit(1)).alias("_c")).select(F.explode(F.sequence(L(0), L(bins - 1))).alias("bin"))
@@ -191,12 +194,17 @@ def scorecard(scores: DataFrame, p: Params) -> DataFrame:
     dec = (d.groupBy("decile").agg(F.count(F.lit(1)).alias("customers"),
                                    (F.sum("remaining_pltv") * 100.0 / L(total)).alias("value"))
            .select(L("dec_pct").alias("section"), F.col("decile").cast("string").alias("bucket"), "customers", "value"))
-    h = histogram(scored, 30, upper_q=0.99).select(
+    # one ranking pass for the totals' median / p99 and the histogram cap
+    rem = F.col("remaining_pltv")
+    qv = exact_quantiles(scores, {"v": rem, "pos": F.when(rem > 0, rem)},
+                         [("median", "v", 0.5), ("p99", "v", 0.99), ("cap", "pos", 0.99)]).first()
+    qv = qv.asDict() if qv is not None else {"median": None, "p99": None, "cap": None}
+    h = histogram(scored, 30, upper_q=0.99, cap=qv["cap"]).select(
         L("hist").alias("section"), F.col("bin").cast("string").alias("bucket"), "customers",
         F.col("edge_lo").alias("value"))
     tot = scores.agg(F.count(F.lit(1)).alias("n"), F.count("remaining_pltv").alias("scored"),
                      F.sum("remaining_pltv").alias("remaining"))
-    tot = attach_quantiles(tot, scores, {"v": F.col("remaining_pltv")}, [("median", "v", 0.5), ("p99", "v", 0.99)])
+    tot = tot.select("*", L(qv["median"]).cast("double").alias("median"), L(qv["p99"]).cast("double").alias("p99"))
     def row(bucket, customers, value):
         return F.struct(L(bucket).alias("bucket"), customers.cast("bigint").alias("customers"),
                         value.cast("double").alias("value"))
