@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,19 @@ from pyspark.sql import functions as F
 from custval.llm.simhash import near_duplicates
 from custval.llm.substring_dedup import remove_repeated_windows
 from custval.llm.suffix_dedup import remove_repeated_bytes
+from custval.llm.warc import deduplicated_records, read_archives, write_archives
+from custval.session import ensure_checkpoint_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, where all executors can read and write."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_windows(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -25,6 +33,14 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _shared_folder(spark, "warc")
+    write_archives(deduplicated_records(_table(spark, sf_dir, "pages")), path)
+    read = read_archives(spark, path, payloads=False).where("kind = 'record'")
+    return read.select(F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_bytes(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -33,6 +49,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_substring_dedup,
     op2_simhash_dedup,
+    op3_warc,
     op5_suffix_dedup,
 )}
 
