@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from custval.llm.simhash import near_duplicates
 from custval.llm.substring_dedup import remove_repeated_windows
 from custval.llm.suffix_dedup import remove_repeated_bytes
+from custval.llm.url_filter import apply_rules
 from custval.llm.warc import deduplicated_records, read_archives, write_archives
 from custval.session import ensure_checkpoint_dir
 
@@ -41,6 +42,16 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
+#: fixed values: the rules of the query
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return apply_rules(_table(spark, sf_dir, "pages"), rules)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_bytes(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -50,10 +61,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_substring_dedup,
     op2_simhash_dedup,
     op3_warc,
+    op4_url_filter,
     op5_suffix_dedup,
 )}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_url_filter": f"""
+        WITH rules(rule_host, rule_path, action) AS (VALUES {', '.join(str(r) for r in URL_RULES)}),
+        parts AS (
+            SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+            FROM pages),
+        ranked AS (
+            SELECT p.*, rule_host || rule_path AS rule, action,
+                   row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host) + length(rule_path) DESC NULLS LAST) AS k
+            FROM parts p LEFT JOIN rules r
+              ON (p.host = r.rule_host OR ends_with(p.host, '.' || r.rule_host)) AND starts_with(p.path, r.rule_path))
+        SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM ranked WHERE k = 1""",
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
