@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from custval.llm.bpe import round_trip
 from custval.llm.simhash import near_duplicates
 from custval.llm.substring_dedup import remove_repeated_windows
 from custval.llm.suffix_dedup import remove_repeated_bytes
@@ -57,12 +58,23 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def byte_bpe_path() -> str:
+    """The vocabulary file of the byte-level BPE queries."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "documents"), byte_bpe_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_substring_dedup,
     op2_simhash_dedup,
     op3_warc,
     op4_url_filter,
     op5_suffix_dedup,
+    op7_byte_bpe,
 )}
 
 ORACLES: dict[str, str] = {
