@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custval.llm.bpe import round_trip
+from custval.llm.line_dedup import without_boilerplate
 from custval.llm.quality_rules import quality_rules
 from custval.llm.simhash import near_duplicates
 from custval.llm.substring_dedup import remove_repeated_windows
@@ -69,6 +70,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = without_boilerplate(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -80,10 +86,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op4_url_filter,
     op5_suffix_dedup,
     op7_byte_bpe,
+    op9_line_dedup,
     op10_quality_rules,
 )}
 
 ORACLES: dict[str, str] = {
+    "op9_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS line_no
+            FROM documents),
+        plain AS (
+            SELECT *, trim(regexp_replace(line, '[ \t\n\x0B\f\r]+', ' ', 'g')) AS p FROM lines),
+        spread AS (
+            SELECT p, min({'d': doc_id, 'n': line_no}) AS first FROM plain WHERE p <> ''
+            GROUP BY p HAVING count(DISTINCT site) >= 5),
+        judged AS (
+            SELECT doc_id, line_no, line, coalesce({'d': doc_id, 'n': line_no} <> first, false) AS gone
+            FROM plain LEFT JOIN spread USING (p))
+        SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id""",
     "op4_url_filter": f"""
         WITH rules(rule_host, rule_path, action) AS (VALUES {', '.join(str(r) for r in URL_RULES)}),
         parts AS (
