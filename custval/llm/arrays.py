@@ -69,11 +69,15 @@ def blocks(data: np.ndarray, offsets: np.ndarray, size: int = BLOCK_BYTES) -> It
 
 
 class Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a block: start and end bytes, the text each is in, and a 64-bit hash."""
+    """Words of a block: start and end bytes, the text each is in, and a 64-bit hash.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, hashed: bool = True):
+    ``values`` has a number per byte, zero for what separates words (by default
+    white space ``[\\x20\\x09-\\x0D]``); words are equal if their numbers are.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, values: np.ndarray = WORD_VALUES):
         n = len(data)
-        word = ~_IS_SPACE[data]
+        word = (values != 0)[data]
         inner = np.zeros(n + 1, bool)          # position i continues the word of position i - 1
         inner[1:n] = word[1:] & word[:-1]
         cut = offsets[1:-1]
@@ -83,8 +87,6 @@ class Words:
         #: words of text i are first[i] .. first[i + 1]
         self.first = np.searchsorted(self.starts, offsets)
         self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
-        if not hashed:
-            return
         if len(self.starts) == 0:
             self.hash = np.empty(0, _U)
             return
@@ -93,8 +95,8 @@ class Words:
         rel = np.arange(lead, n) - np.repeat(self.starts, nexts - self.starts)
         longest = int((self.ends - self.starts).max())
         table = powers(longest)
-        np.minimum(rel, longest - 1, out=rel)   # what lies behind is white space, of value zero
-        self.hash = mix64(np.add.reduceat(WORD_VALUES[data[lead:]] * table[rel], self.starts - lead))
+        np.minimum(rel, longest - 1, out=rel)   # what lies behind separates words, of value zero
+        self.hash = mix64(np.add.reduceat(values[data[lead:]] * table[rel], self.starts - lead))
 
 
 def window_hashes(words: Words, size: int, base: np.uint64 = _U(0xD1342543DE82EF95)) -> tuple[np.ndarray, np.ndarray]:

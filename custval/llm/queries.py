@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custval.llm.bpe import round_trip
+from custval.llm.decontaminate import contaminated
 from custval.llm.line_dedup import without_boilerplate
 from custval.llm.quality_rules import quality_rules
 from custval.llm.simhash import near_duplicates
@@ -70,6 +71,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = without_boilerplate(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op4_url_filter,
     op5_suffix_dedup,
     op7_byte_bpe,
+    op8_decontaminate,
     op9_line_dedup,
     op10_quality_rules,
 )}
