@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from custval.llm.bpe import round_trip
 from custval.llm.decontaminate import contaminated
 from custval.llm.line_dedup import without_boilerplate
+from custval.llm.passage_classifier import quality_scores
 from custval.llm.quality_rules import quality_rules
 from custval.llm.simhash import near_duplicates
 from custval.llm.substring_dedup import remove_repeated_windows
@@ -61,6 +62,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_passage_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def byte_bpe_path() -> str:
     """The vocabulary file of the byte-level BPE queries."""
     import public_tokenizers
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op3_warc,
     op4_url_filter,
     op5_suffix_dedup,
+    op6_passage_classifier,
     op7_byte_bpe,
     op8_decontaminate,
     op9_line_dedup,
