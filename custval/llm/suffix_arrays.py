@@ -161,11 +161,11 @@ def permuted_prefixes(t: np.ndarray, sa: np.ndarray, depth: int) -> np.ndarray:
     one position to the next, a large one settles those that follow it.
     """
     n = len(t)
-    before = np.empty(n, np.int64)
+    before = np.empty(n, np.int32)
     before[sa[1:]] = sa[:-1]
     before[sa[0]] = -1
     step = 16
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.int32)
     probe = np.arange(0, n, step)
     probe = probe[before[probe] >= 0]
     far = common_prefix(t, probe, before[probe], depth + step)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custval.llm import chunks as C
-from custval.llm.arrays import BYTE_VALUES, binary_buffers, blocks
+from custval.llm.arrays import BYTE_VALUES, binary_buffers, blocks, mix64
 from custval.llm.substring_dedup import intervals
 from custval.llm.suffix_arrays import permuted_prefixes, suffix_array
 
@@ -78,7 +78,8 @@ class Anchors:
             tails = np.append(heads[1:], len(at)) - 1
             found.append((h[at[heads]], starts[heads] + offsets[row], starts[tails[:len(heads)]] + offsets[row]))
         empty = np.empty(0, np.int64)
-        self.hash = np.concatenate([f[0] for f in found]) if found else np.empty(0, _U)
+        # mixed once more: as minima they are small numbers, and buckets are ranges
+        self.hash = mix64(np.concatenate([f[0] for f in found])) if found else np.empty(0, _U)
         self.first = np.concatenate([f[1] for f in found]) if found else empty
         self.last = np.concatenate([f[2] for f in found]) if found else empty
 
@@ -207,7 +208,7 @@ def _cut(table: pa.Table, replies: pa.Table, min_bytes: int, gram: int, n_bucket
 
 
 def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 100,
-                          chunk_bytes: int = 8 << 20, buckets_per_chunk: float = 0.75) -> DataFrame:
+                          chunk_bytes: int = 4 << 20, buckets_per_chunk: float = 1.0) -> DataFrame:
     """Remove each byte covered by a ``min_bytes``-byte string that also starts earlier.
 
     Earlier means a smaller id, or the same document and an earlier start.
