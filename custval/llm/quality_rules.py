@@ -1,10 +1,9 @@
 """Quality rules: counted base rules and a calibrated hashed n-gram classifier.
 
 The classifier is a logistic regression over hashed word and character n-gram
-features, fitted on a bounded sample of labelled documents; Platt scaling on a
-part of the sample that the fit has not seen turns its margin into a
-probability.  All documents are scored in Arrow batches against fixed
-thresholds.
+features, fitted on a bounded sample of labelled documents; Platt scaling on
+the margins of folds that a fit has not seen turns them into probabilities.
+All documents are scored in Arrow batches against fixed thresholds.
 """
 
 from __future__ import annotations
@@ -101,38 +100,45 @@ def _parts(data: np.ndarray, offsets: np.ndarray):
             yield a + r, a + r + len(own) - 1, bytes_, own, Words(bytes_, own)
 
 
-def fit(x: np.ndarray, y: np.ndarray, unseen: np.ndarray, ridge: float = 1e-4, steps: int = 400, rate: float = 4.0) -> Model | None:
-    """Balanced logistic regression by accelerated gradient steps, Platt-scaled on ``unseen`` rows; None without both labels."""
-    if len(np.unique(y[~unseen])) < 2:
-        return None
-    xs, ys = x[~unseen], y[~unseen].astype(np.float32)
-    weight = np.where(ys == 1, 0.5 / (ys == 1).sum(), 0.5 / (ys == 0).sum()).astype(np.float32)
+def _weights(x: np.ndarray, y: np.ndarray, ridge: float, steps: int, rate: float) -> np.ndarray:
+    """Balanced logistic regression by accelerated gradient steps."""
+    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())).astype(np.float32)
     w = np.zeros(x.shape[1], np.float32)
     ahead = w.copy()
     for k in range(steps):
-        p = _sigmoid(xs @ ahead).astype(np.float32)
-        new = ahead - rate * (xs.T @ (weight * (p - ys)) + ridge * ahead)
+        p = _sigmoid(x @ ahead).astype(np.float32)
+        new = ahead - rate * (x.T @ (weight * (p - y)) + ridge * ahead)
         ahead = new + k / (k + 3) * (new - w)
         w = new
-    held = unseen if len(np.unique(y[unseen])) == 2 else ~unseen
-    margin, target = (x[held] @ w).astype(np.float64), y[held]
+    return w
+
+
+def fit(x: np.ndarray, y: np.ndarray, fold: np.ndarray, ridge: float = 1e-4, steps: int = 300, rate: float = 4.0) -> Model | None:
+    """Weights from all rows, Platt-scaled on margins of folds that a fit has not seen; None without both labels."""
+    if len(np.unique(y)) < 2:
+        return None
+    y = y.astype(np.float32)
+    margin = np.zeros(len(y))
+    for k in np.unique(fold):
+        out = fold == k
+        margin[out] = x[out] @ _weights(x[~out], y[~out], ridge, steps, rate)
     # Platt's targets, then Newton steps on scale and shift
-    pos, neg = (target == 1).sum(), (target == 0).sum()
-    t = np.where(target == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
+    pos, neg = (y == 1).sum(), (y == 0).sum()
+    target = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
     design, ab = np.stack([margin, np.ones_like(margin)], 1), np.array([1.0, 0.0])
     for _ in range(50):
         p = _sigmoid(design @ ab)
         hess = design.T @ (design * (p * (1 - p))[:, None]) + 1e-6 * np.eye(2)
-        move = np.linalg.solve(hess, design.T @ (p - t))
+        move = np.linalg.solve(hess, design.T @ (p - target))
         ab = ab - move * min(1.0, 2.0 / max(1e-9, np.abs(move).max()))
         if np.abs(move).max() < 1e-8:
             break
-    return Model(w, float(ab[0]), float(ab[1]))
+    return Model(_weights(x, y, ridge, steps, rate), float(ab[0]), float(ab[1]))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           sample_rows: int = 3000) -> Model | None:
-    """Fit on at most ``sample_rows`` labelled documents; every fifth of them (by id hash) only calibrates."""
+    """Fit and calibrate (in three folds by id hash) on at most ``sample_rows`` labelled documents."""
     def run(batches):
         for batch in batches:
             for a, b, data, cut, words in _parts(*binary_buffers(batch["data"])):
@@ -142,12 +148,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     sample = labelled_sample(docs, labels, sample_rows, id_col, text_col, label_col)
     rows = (sample.mapInArrow(run, "doc_id long, label int, x binary")
-            .withColumn("unseen", F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0)
+            .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(3)).cast("int"))
             .orderBy("doc_id", "x").toArrow())
     if rows.num_rows == 0:
         return None
     x = np.stack([np.frombuffer(r, np.float16) for r in rows["x"].to_pylist()]).astype(np.float32)
-    return fit(x, rows["label"].to_numpy(), rows["unseen"].to_numpy(zero_copy_only=False))
+    return fit(x, rows["label"].to_numpy(), rows["fold"].to_numpy())
 
 
 def judge(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", limits: Thresholds = Thresholds()) -> DataFrame:
