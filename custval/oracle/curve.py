@@ -213,11 +213,11 @@ WHERE YEAR(order_date) IN ({years}) AND order_seq IN (1, 2, 3, 4, 5)
 GROUP BY order_seq""")
 
 
-GAPS = """CASE WHEN avg_gap_so_far > 0 AND avg_gap_so_far <= 30 THEN '0-30'
-     WHEN avg_gap_so_far > 30 AND avg_gap_so_far <= 60 THEN '31-60'
-     WHEN avg_gap_so_far > 60 AND avg_gap_so_far <= 120 THEN '61-120'
-     WHEN avg_gap_so_far > 120 AND avg_gap_so_far <= 240 THEN '121-240'
-     WHEN avg_gap_so_far > 240 AND avg_gap_so_far <= 400 THEN '241-400'
+GAPS = """CASE WHEN avg_gap_so_far > 0 AND avg_gap_so_far <= 30 THEN '0–30'
+     WHEN avg_gap_so_far > 30 AND avg_gap_so_far <= 60 THEN '31–60'
+     WHEN avg_gap_so_far > 60 AND avg_gap_so_far <= 120 THEN '61–120'
+     WHEN avg_gap_so_far > 120 AND avg_gap_so_far <= 240 THEN '121–240'
+     WHEN avg_gap_so_far > 240 AND avg_gap_so_far <= 400 THEN '241–400'
      WHEN avg_gap_so_far > 400 AND avg_gap_so_far <= 1e9 THEN '400+' END"""
 
 
