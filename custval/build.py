@@ -65,7 +65,7 @@ def build(spark: SparkSession, input_dir: str, out: str, p: Params = DEFAULT,
     payloads = (sinks.json_payload(SC.describe(written), "describe")
                 .unionByName(sinks.json_payload(SC.null_report(written), "null_report"))
                 .unionByName(sinks.json_payload(SC.by_stage(written), "by_stage"))
-                .unionByName(sinks.json_payload(SC.scorecard(written, p), "scorecard")))
+                .unionByName(SC.scorecard_json(SC.scorecard(written, p)).select(F.lit("scorecard").alias("payload"), "json")))
     sinks.write_table(payloads, f"{out}/reports")
     return {"customers": written.count(), "curve": r, "tau2": aov.tau2, "sigma2": aov.sigma2}
 

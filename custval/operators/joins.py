@@ -1,23 +1,21 @@
-"""Joins against small sides, broadcast only behind a size check."""
+"""Joins against summary tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only if it has at most this many rows; past it the
-# join stays a shuffle join and AQE re-plans it from runtime statistics.
-BROADCAST_MAX_ROWS = 100_000
+#: rows of a side whose size is fixed by construction that may be broadcast without a look at its bytes
+FIXED_ROWS_MAX = 10_000
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Join ``big`` to a side expected to be small (a summary table).
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", known_rows: int | None = None) -> DataFrame:
+    """Join ``big`` to a summary table.
 
-    The row count is measured (a cheap action on an aggregate) unless the
-    caller passes ``known_rows`` for a side whose size is fixed by
-    construction (a spine of N bins); the hint is applied only under ``max_rows``.
+    Whether the summary is broadcast is left to Spark, which knows its bytes
+    from the shuffle (``spark.sql.autoBroadcastJoinThreshold``) and splits
+    skewed partitions otherwise.  Only a side of ``known_rows`` fixed by
+    construction (a spine of N bins) is hinted.
     """
-    n = known_rows if known_rows is not None else small.limit(max_rows + 1).count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on, how)
+    fixed = known_rows is not None and known_rows <= FIXED_ROWS_MAX
+    return big.join(F.broadcast(small) if fixed else small, on, how)

@@ -100,7 +100,7 @@ FROM rep GROUP BY risk_tier""")
 def _hist(src: str, bins: int, cap_q: float | None) -> list[str]:
     hi = f"QUANTILE_CONT(remaining_pltv, {cap_q})" if cap_q else "MAX(remaining_pltv)"
     return [f"""
-hv AS (SELECT * FROM {src} WHERE remaining_pltv > 0)""", f"""
+hv AS (SELECT * FROM {src} WHERE remaining_pltv IS NOT NULL)""", f"""
 hlim AS (SELECT MIN(remaining_pltv) AS lo, {hi} AS hi FROM hv)""", f"""
 hb AS (SELECT CASE WHEN hi = lo THEN 0 ELSE LEAST(CAST(FLOOR((LEAST(remaining_pltv, hi) - lo) * {bins} / (hi - lo)) AS BIGINT), {bins - 1}) END AS bin
        FROM hv, hlim)""", f"""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from custval.functions.exprs import decile_from_rank, fixed_bin, risk_tier
 from custval.operators.joins import join_small
-from custval.operators.ranking import attach_quantiles, exact_quantiles, running_totals, scalar_quantiles
+from custval.operators.ranking import at_quantile, attach_quantiles, running_totals
 from custval.params import Params
 from custval.plans.hazard.curve import demo_score, m_of
 
@@ -96,15 +96,15 @@ def by_stage(scores: DataFrame) -> DataFrame:
 
 def quality_checks(scores: DataFrame, p: Params) -> DataFrame:
     """deciles, top vs bottom 10% sums, high-churn share and their orders."""
-    n = scores.count()
-    k = int(0.1 * n)
+    k = int(0.1 * scores.count())
     vals = scores.where(F.col("remaining_pltv").isNotNull()).select("customer_id", "remaining_pltv")
-    # one ascending pass: bottom k = first k positions, top k = last k positions
+    # one ascending ranking: bottom k = first k positions, top k = last k, deciles by place
     run = running_totals(vals, [F.col("remaining_pltv").asc(), F.col("customer_id")], [], row_col="pos",
                          total_col="m")
-    sums = run.agg(F.sum(F.when(F.col("pos") > F.col("m") - k, F.col("remaining_pltv"))).alias("top"),
-                   F.sum(F.when(F.col("pos") <= k, F.col("remaining_pltv"))).alias("bot")).first()
-    top_sum, bot_sum = sums["top"], sums["bot"]
+    pos, m, v = F.col("pos"), F.col("m"), F.col("remaining_pltv")
+    deciles = {f"d{i}0": i / 10 for i in range(1, 10)}
+    ranked_row = run.agg(F.sum(F.when(pos > m - k, v)).alias("top_10pct_sum"), F.sum(F.when(pos <= k, v)).alias("bottom_10pct_sum"),
+                         *[at_quantile(pos, m, v, q).alias(d) for d, q in deciles.items()]).first()
     hi = F.col("churn_prob") >= p.high_churn_cutoff
     agg = scores.agg(
         (F.count_if(hi) * 100.0 / F.count(F.lit(1))).alias("high_churn_pct"),
@@ -112,13 +112,9 @@ def quality_checks(scores: DataFrame, p: Params) -> DataFrame:
         F.count_distinct(F.when(hi, F.col("expected_future_orders"))).alias("high_churn_distinct_orders"),
         F.max(F.when(hi, F.col("expected_future_orders"))).alias("high_churn_max_orders"),
     )
-    deciles = [f"d{i}0" for i in range(1, 10)]
-    agg = attach_quantiles(agg, vals, {"v": F.col("remaining_pltv")},
-                           [(d, "v", i / 10) for i, d in enumerate(deciles, start=1)])
-    return agg.select(*deciles,
-             L(k).cast("bigint").alias("k"), L(top_sum).cast("double").alias("top_10pct_sum"),
-             L(bot_sum).cast("double").alias("bottom_10pct_sum"),
-             "high_churn_pct", "high_churn_customers", "high_churn_distinct_orders", "high_churn_max_orders")
+    return agg.select(*[L(ranked_row[d]).cast("double").alias(d) for d in deciles], L(k).cast("bigint").alias("k"),
+                      *[L(ranked_row[c]).cast("double").alias(c) for c in ("top_10pct_sum", "bottom_10pct_sum")],
+                      "high_churn_pct", "high_churn_customers", "high_churn_distinct_orders", "high_churn_max_orders")
 
 
 def reportable(scores: DataFrame, loyal: int = 20) -> DataFrame:
@@ -130,7 +126,7 @@ def with_deciles(scores: DataFrame, col: str = "remaining_pltv") -> DataFrame:
     """Decile of the 1-based value rank (ties by total desc, then id)."""
     r = running_totals(scores, [F.col(col).asc(), F.col("total_pltv").desc(), F.col("customer_id")], [],
                        row_col="value_rank", total_col="_n")
-    return r.withColumn("decile", decile_from_rank(F.col("value_rank"), F.col("_n"))).drop("_n")
+    return r.withColumn("decile", decile_from_rank(F.col("value_rank"), F.col("_n")))
 
 
 def decile_concentration(scores: DataFrame) -> DataFrame:
@@ -156,19 +152,17 @@ def by_tier(scores: DataFrame) -> DataFrame:
                                                        F.count(F.lit(1)).alias("customers"))
 
 
-def histogram(scores: DataFrame, bins: int = 50, upper_q: float | None = None,
-              cap: float | None = None) -> DataFrame:
-    """Equal-width bins over positive remaining value (top capped at a quantile).
+def histogram(scores: DataFrame, bins: int = 50, cap: float | None = None) -> DataFrame:
+    """Equal-width bins of the remaining value of every row that has one; with ``cap``, larger values fall in the last bin.
 
     F7b passes the reporting slice (``reportable``); F8 the scored customers.
     """
-    v = scores.where(F.col("remaining_pltv") > 0)
+    v = scores.where(F.col("remaining_pltv").isNotNull())
     r = v.agg(F.min("remaining_pltv").alias("lo"), F.max("remaining_pltv").alias("hi")).first()
-    lo = r["lo"]
-    if upper_q and cap is None:
-        cap = scalar_quantiles(v, F.col("remaining_pltv"), [upper_q])[0]
-    hi = cap if upper_q else r["hi"]
-    x = F.least(F.col("remaining_pltv"), L(hi)) if upper_q else F.col("remaining_pltv")
+    lo, hi = r["lo"], r["hi"] if cap is None else cap
+    if lo is None:
+        return v.select(L(0).alias("bin"), L(0.0).alias("edge_lo"), L(0.0).alias("edge_hi"), L(0).cast("bigint").alias("customers")).where("false")
+    x = F.col("remaining_pltv") if cap is None else F.least(F.col("remaining_pltv"), L(hi))
     c = v.select(fixed_bin(x, L(lo), L(hi), bins).alias("bin")).groupBy("bin").count()
     spine = v.agg(F.count(F.lit(1)).alias("_c")).select(F.explode(F.sequence(L(0), L(bins - 1))).alias("bin"))
     step = (hi - lo) / bins
@@ -181,7 +175,8 @@ def scorecard(scores: DataFrame, p: Params) -> DataFrame:
     """F8: the published aggregate file's shape, as long-form rows.
 
     sections: seq (stage 1..8+ customers and mean), risk (customers and total),
-    dec_pct (share by decile), hist (30 bins, top capped at p99), totals.
+    dec_pct (share by decile), hist (30 bins, top capped at p99), totals.  The
+    first four each count every scored customer once.
     """
     scored = scores.where(F.col("remaining_pltv").isNotNull())
     seq = (scored.withColumn("b", F.least(F.col("order_seq"), L(p.max_bucket)).cast("string"))
@@ -194,12 +189,10 @@ def scorecard(scores: DataFrame, p: Params) -> DataFrame:
     dec = (d.groupBy("decile").agg(F.count(F.lit(1)).alias("customers"),
                                    (F.sum("remaining_pltv") * 100.0 / L(total)).alias("value"))
            .select(L("dec_pct").alias("section"), F.col("decile").cast("string").alias("bucket"), "customers", "value"))
-    # one ranking pass for the totals' median / p99 and the histogram cap
-    rem = F.col("remaining_pltv")
-    qv = exact_quantiles(scores, {"v": rem, "pos": F.when(rem > 0, rem)},
-                         [("median", "v", 0.5), ("p99", "v", 0.99), ("cap", "pos", 0.99)]).first()
-    qv = qv.asDict() if qv is not None else {"median": None, "p99": None, "cap": None}
-    h = histogram(scored, 30, upper_q=0.99, cap=qv["cap"]).select(
+    # the deciles' ranking also places the totals' median and p99, which caps the histogram
+    rank, n, rem = F.col("value_rank"), F.col("_n"), F.col("remaining_pltv")
+    qv = d.agg(at_quantile(rank, n, rem, 0.5).alias("median"), at_quantile(rank, n, rem, 0.99).alias("p99")).first()
+    h = histogram(scored, 30, cap=qv["p99"]).select(
         L("hist").alias("section"), F.col("bin").cast("string").alias("bucket"), "customers",
         F.col("edge_lo").alias("value"))
     tot = scores.agg(F.count(F.lit(1)).alias("n"), F.count("remaining_pltv").alias("scored"),
@@ -218,6 +211,21 @@ def scorecard(scores: DataFrame, p: Params) -> DataFrame:
 
 
 def scorecard_json(card: DataFrame) -> DataFrame:
-    """The scorecard as one JSON document per section."""
-    return card.groupBy("section").agg(
-        F.to_json(F.sort_array(F.collect_list(F.struct("bucket", "customers", "value")))).alias("json"))
+    """The scorecard as the published nested document, one row (buckets in order)."""
+    def part(section, *cols):
+        row = F.struct(F.try_to_number(F.col("bucket"), L("99")).alias("o"), F.col("bucket"), *cols)
+        return F.sort_array(F.collect_list(F.when(F.col("section") == section, row)))
+
+    def total(bucket, col):
+        return F.max(F.when((F.col("section") == "totals") & (F.col("bucket") == bucket), F.col(col))).alias(bucket)
+
+    row = card.agg(part("seq", "customers", "value").alias("seq"), part("risk", "customers", "value").alias("risk"),
+                   part("dec_pct", "value").alias("dec"), part("hist", "customers", "value").alias("hist"),
+                   F.struct(total("n", "customers"), total("scored", "customers"), total("na", "customers"), total("remaining", "value"),
+                            total("median_remaining", "value"), total("p99", "value")).alias("totals"))
+    return row.select(F.to_json(F.struct(
+        F.transform("seq", lambda x: F.struct(x.bucket.cast("int").alias("seq_b"), x.customers.alias("customers"), x.value.alias("mean_remaining"))).alias("seq"),
+        F.transform("risk", lambda x: F.struct(x.bucket.alias("tier"), x.customers.alias("customers"), x.value.alias("total"))).alias("risk"),
+        F.transform("dec", lambda x: x.value).alias("dec_pct"),
+        F.struct(F.transform("hist", lambda x: x.customers).alias("counts"), F.transform("hist", lambda x: x.value).alias("edges")).alias("hist"),
+        "totals")).alias("json"))

@@ -3,6 +3,8 @@ differs between engines, so no value-hash oracle)."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from custval.params import DEFAULT as P
 from custval.plans.aov import reports as REP
 from custval.plans.pltv import scores as SC
@@ -21,7 +23,7 @@ def report_payloads(spark, sf_dir):
         json_payload(REP.within_customer_variance(f), "within_variance"),
         json_payload(REP.within_variance_histogram(f), "within_variance_histogram"),
         json_payload(REP.spend_by_type(f), "spend_by_type"),
-        json_payload(SC.scorecard(scores_table(spark, sf_dir), P), "scorecard"),
+        SC.scorecard_json(SC.scorecard(scores_table(spark, sf_dir), P)).select(F.lit("scorecard").alias("payload"), "json"),
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -34,7 +34,7 @@ def json_payload(df: DataFrame, name: str) -> DataFrame:
     """A small report as one JSON document (array of row objects).
 
     Only for report-sized tables (bins, tiers, stages): the rows are gathered
-    into one value by a single aggregate.
+    into one value by a single aggregate, ordered by their columns from the left.
     """
-    return df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("json")).select(
+    return df.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*df.columns)))).alias("json")).select(
         F.lit(name).alias("payload"), "json")

@@ -17,22 +17,6 @@ def _read(spark: SparkSession, sf_dir: str, name: str, cols) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
 
-def spread_narrow_scan(df: DataFrame) -> DataFrame:
-    """Give a scan at least the cluster's default parallelism.
-
-    A small file with one row group is read by a single task, which then does
-    all the per-line work.  Only then is it round-robin repartitioned; a large
-    input already has far more splits than cores, so on a cluster this is a
-    no-op and adds no shuffle.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no local context: leave the scan as it is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def _dec(c: Column, p: int, s: int) -> Column:
     return c.cast(f"decimal({p},{s})")
 
@@ -41,7 +25,6 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus"])
-    li = spread_narrow_scan(li)
     od = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
     pt = _read(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type", "p_size"])
     j = (li.join(od, li.l_orderkey == od.o_orderkey)
