@@ -19,7 +19,7 @@ def orders_ctes(ceiling_key: str = "ceiling", p: Params = DEFAULT) -> list[str]:
 aov_lines AS (
   SELECT customer_id, order_id, order_date, COALESCE(department, 'Unassigned') AS dept,
          COALESCE(is_exotic, FALSE) AS is_exotic, order_value
-  FROM order_lines WHERE customer_id > 0 AND channel_type NOT IN ({f['aov_excl']}))""", f"""
+  FROM order_lines WHERE customer_id > 0 AND channel_type NOT IN ({f['aov_excl']}) AND order_date <= {f['as_of']})""", f"""
 aov_first AS (SELECT customer_id, MIN(order_date) AS first_order_date FROM aov_lines GROUP BY customer_id)""", f"""
 aov_cohort AS (SELECT customer_id, first_order_date FROM aov_first
                WHERE first_order_date >= {f['floor']} AND first_order_date <= {ceiling})""", """

@@ -24,13 +24,13 @@ def consumer_lines(lines: DataFrame, excluded) -> DataFrame:
 
 
 def all_orders(lines: DataFrame, p: Params) -> DataFrame:
-    """Every in-scope order with its primary department and value (before the
-    positivity filter).  One scan of the lines: (customer, order, department)
+    """Every in-scope order up to ``as_of`` with its primary department and value
+    (before the positivity filter).  One scan of the lines: (customer, order, department)
     -> order, both partial+final aggregates.
 
     Primary department = most lines, then most revenue, then name ascending.
     """
-    base = consumer_lines(lines, p.aov_excluded).select(
+    base = consumer_lines(lines, p.aov_excluded).where(F.col("order_date") <= F.lit(p.as_of)).select(
         "customer_id", "order_id", "order_date",
         F.coalesce("department", F.lit("Unassigned")).alias("dept"),
         F.coalesce("is_exotic", F.lit(False)).alias("is_exotic"),

@@ -8,7 +8,7 @@ from custval.oracle import validate as ov
 from custval.params import DEFAULT as P
 from custval.plans.pltv import validate as V
 from custval.queries.aov_q import holdout_fit, production_fit
-from custval.queries.hazard_q import scoring_extract
+from custval.queries.hazard_q import matured_panel, scoring_extract
 from custval.queries.pltv_q import curve_and_multipliers, scored_panel, scores_table as value_scores
 from custval.operators.persist import materialize
 from custval.registry import app_key, register, rounded
@@ -27,9 +27,10 @@ def frame(spark, sf_dir):
     key = (app_key(spark), sf_dir)
     if key not in _FRAMES:
         i = load_inputs(spark, sf_dir)
-        _, m = curve_and_multipliers(spark, sf_dir, PC)
+        r, m = curve_and_multipliers(spark, sf_dir, PC)
+        n = V.orders_in_window(matured_panel(spark, sf_dir, PC), P)
         _FRAMES[key] = materialize(
-            V.holdout_frame(i.lines, scoring_extract(spark, sf_dir, PC), P, holdout_fit(spark, sf_dir), m))
+            V.holdout_frame(i.lines, scoring_extract(spark, sf_dir, PC), P, holdout_fit(spark, sf_dir), r, m, n))
     return _FRAMES[key]
 
 
@@ -63,5 +64,5 @@ _reg("val_score_stability", lambda s, d: V.score_stability(value_scores(s, d), v
      ov.score_stability, {"mean_delta": D4, "p10_delta": D4, "p50_delta": D4, "p90_delta": D4})
 _reg("val_pass_criteria",
      lambda s, d: V.pass_criteria(production_fit(s, d), holdout_fit(s, d), frame(s, d), value_scores(s, d),
-                                  scored_panel(s, d), P),
+                                  value_scores(s, d, BEFORE), scored_panel(s, d), curve_and_multipliers(s, d, PC)[0], P),
      ov.pass_criteria)
