@@ -37,6 +37,16 @@ def pltv_scores() -> str:
   {R('total_pltv', 4)} AS total_pltv FROM scores""")
 
 
+def pltv_scores_fallback() -> str:
+    aov = f"COALESCE(a.expected_aov, {DEFAULT.flat_aov})"
+    value = f"s.expected_future_orders * {aov}"
+    return _q(f"""SELECT customer_id, order_seq, {R('churn_prob')} AS churn_prob, {R('p_repeat')} AS p_repeat, risk_tier,
+  {R('expected_future_orders')} AS expected_future_orders, {R('realized_value', 4)} AS realized_value,
+  {R(aov, 4)} AS expected_aov, {R(value, 4)} AS remaining_pltv,
+  {R(f'COALESCE(realized_value, 0) + {value}', 4)} AS total_pltv
+FROM sc2 s LEFT JOIN custfit a USING (customer_id)""")
+
+
 def pltv_describe() -> str:
     q = {10: 0.1, 25: 0.25, 50: 0.5, 75: 0.75, 90: 0.9}
     qs = ", ".join(f"{R(f'QUANTILE_CONT(remaining_pltv, {v})', 4)} AS p{k}" for k, v in q.items())

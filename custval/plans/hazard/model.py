@@ -4,19 +4,23 @@ The classifier is a Spark ML pipeline: low-cardinality categoricals are
 indexed, high-cardinality ones (style, store) are target-encoded with the
 encoder fitted on the FIT split only, NULL numerics are imputed with an
 explicit missing indicator, and a gradient-boosted tree model is trained
-with early stopping on the VAL split.  Scores will not equal another
+to the round that is best on the VAL split.  Scores will not equal another
 library's boosting output; checks on them are rows-only.
 """
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from custval.operators.persist import materialize
 from custval.params import Params
 
 ID_COLS = ["customer_id", "split_rand", "order_date", "next_order_date"]
@@ -26,6 +30,7 @@ CAT_COLS = ["this_order_department", "this_order_style", "this_order_channel", "
             "order_month", "entry_department", "first_product_style", "acq_channel", "acq_store",
             "customer_state"]
 HIGH_CARD = ["this_order_style", "first_product_style", "this_order_store", "acq_store"]
+# The columns above and below must carry the published names.
 BOOL_COLS = ["paid_full_price", "cum_bought_cross_gender", "cum_footwear_plus_nonfootwear",
              "cum_ever_ecomm", "cum_ever_retail", "cum_both_channels", "state_missing"]
 
@@ -78,7 +83,7 @@ def _encoders(feats: list[str]) -> Pipeline:
     ])
 
 
-def _learner(feats: list[str], max_iter: int) -> Pipeline:
+def _learner(feats: list[str], rounds: int, bins: int) -> Pipeline:
     low = [c for c in CAT_COLS if c not in HIGH_CARD and c in feats]
     high = [c for c in HIGH_CARD if c in feats]
     nums = [c for c in feats if c not in CAT_COLS]
@@ -90,33 +95,53 @@ def _learner(feats: list[str], max_iter: int) -> Pipeline:
         VectorAssembler(inputCols=[f"{c}__ix" for c in low] + [f"{c}__tn" for c in high]
                         + [f"{c}__im" for c in nums] + [f"{c}__na" for c in nums],
                         outputCol="features", handleInvalid="keep"),
-        GBTClassifier(labelCol=LABEL, featuresCol="features", maxDepth=6, stepSize=0.05,
-                      maxIter=max_iter, maxBins=64, seed=42, validationIndicatorCol="is_val",
-                      validationTol=0.0),
+        GBTClassifier(labelCol=LABEL, featuresCol="features", maxDepth=6, stepSize=0.1,
+                      maxIter=rounds, maxBins=bins, seed=42),
     ])
 
 
+def _bins(encoders: PipelineModel, feats: list[str]) -> int:
+    """Split bins: at least one per value (and the unseen one) of the widest indexed categorical."""
+    indexer = encoders.stages[0]
+    low = {c for c in CAT_COLS if c not in HIGH_CARD and c in feats}
+    return max([64, *(len(v) + 1 for c, v in zip(indexer.getInputCols(), indexer.labelsArray) if c in low)])
+
+
 def _prepare(frame: DataFrame, feats: list[str]) -> DataFrame:
     nums = [c for c in feats if c not in CAT_COLS]
     return frame.select("*", *[F.col(c).isNull().cast("double").alias(f"{c}__na") for c in nums])
 
 
-def fit_hazard_model(panel: DataFrame, split: DataFrame | None, p: Params,
-                     max_iter: int = 50) -> tuple[PipelineModel, list[str]]:
-    """Train on FIT rows, stop early on VAL rows (TEST rows never seen).
+def fit_hazard_model(panel: DataFrame, p: Params, max_iter: int = 1000, first: int = 32) -> tuple[PipelineModel, list[str]]:
+    """Train on FIT rows, keep the round with the smallest VAL loss (TEST rows never seen).
 
-    The target encoder sees only FIT rows, so category means never leak from
-    VAL or TEST.
+    Rounds double from ``first`` until the best one lies well inside (or
+    ``max_iter`` is reached); boosting is sequential, so the final fit with the
+    best number of rounds is a prefix of the last.  The target encoder sees
+    only FIT rows, so category means never leak from VAL or TEST.
     """
     from custval.plans.hazard.curve import split_of
     frame = model_frame(panel, keep=("customer_id", "order_date", "split_rand"))
     frame = frame.withColumn(LABEL, F.col(LABEL).cast("double"))
     frame = frame.withColumn("split", split_of(F.col("split_rand"), p))
     feats = feature_columns(panel.columns)
-    train = _prepare(frame.where(F.col("split") != "test"), feats).withColumn(
-        "is_val", F.col("split") == "val")
-    enc = _encoders(feats).fit(train.where(~F.col("is_val")))
-    learner = _learner(feats, max_iter).fit(enc.transform(train))
+    # written once: every encoder, imputer and boosting round reads this table, not the panel's lineage
+    train = materialize(_prepare(frame.where(F.col("split") != "test"), feats))
+    fit_rows = train.where(F.col("split") == "fit")
+    enc = _encoders(feats).fit(fit_rows)
+    encoded = materialize(enc.transform(train))
+    fit_rows, val_rows = encoded.where(F.col("split") == "fit"), encoded.where(F.col("split") == "val")
+    bins, rounds = _bins(enc, feats), min(first, max_iter)
+    while True:
+        learner = _learner(feats, rounds, bins).fit(fit_rows)
+        prepared = PipelineModel(learner.stages[:-1]).transform(val_rows)
+        loss = learner.stages[-1].evaluateEachIteration(prepared)
+        best = min(range(len(loss)), key=lambda i: loss[i]) + 1
+        if best <= 0.8 * rounds or rounds >= max_iter:
+            break
+        rounds = min(2 * rounds, max_iter)
+    if best < rounds:
+        learner = _learner(feats, best, bins).fit(fit_rows)
     return PipelineModel(stages=enc.stages + learner.stages), feats
 
 
@@ -135,18 +160,58 @@ def feature_importance(model: PipelineModel, feats: list[str], top: int = 25) ->
     return [(n.split("__")[0] + ("(missing)" if n.endswith("__na") else ""), float(v)) for n, v in ranked]
 
 
-def save_artifact(model: PipelineModel, feats: list[str], curve: DataFrame, multipliers: DataFrame,
-                  path: str, p: Params, vocab: DataFrame | None = None) -> None:
-    """Model, feature list, category vocabulary, curve, multipliers and tier
-    thresholds side by side (one folder, each part a table)."""
+#: what a saved artifact must name
+ARTIFACT_KEYS = ("version", "features", "categorical", "id_columns", "leakage_columns", "label", "group_column", "window_days",
+                 "max_bucket", "horizon", "tiers", "high_churn_cutoff", "r_k", "multipliers")
+ARTIFACT_VERSION = 1
+
+
+@dataclass
+class Artifact:
+    model: PipelineModel
+    meta: dict
+    vocab: DataFrame
+
+    @property
+    def features(self) -> list[str]:
+        return self.meta["features"]
+
+    @property
+    def multipliers(self) -> dict[int, float]:
+        return {int(k): v for k, v in self.meta["multipliers"].items()}
+
+
+def save_artifact(model: PipelineModel, feats: list[str], r: list[float], m: dict[int, float], path: str, p: Params, vocab: DataFrame) -> None:
+    """The fitted pipeline, the category vocabulary, and everything a scoring run needs to know, in one folder."""
     model.write().overwrite().save(f"{path}/model")
-    if vocab is not None:
-        vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    spark = curve.sparkSession
-    spark.createDataFrame([(i, c) for i, c in enumerate(feats)], "pos int, feature string") \
-        .write.mode("overwrite").parquet(f"{path}/features")
-    curve.write.mode("overwrite").parquet(f"{path}/curve")
-    multipliers.write.mode("overwrite").parquet(f"{path}/multipliers")
-    spark.createDataFrame([(p.tier_high, p.tier_medium, p.max_bucket, p.horizon)],
-                          "high double, medium double, max_bucket int, horizon int") \
-        .write.mode("overwrite").parquet(f"{path}/config")
+    vocab.write.mode("overwrite").parquet(f"{path}/vocab")
+    meta = {"version": ARTIFACT_VERSION, "features": feats, "categorical": [c for c in CAT_COLS if c in feats], "id_columns": ID_COLS,
+            "leakage_columns": LEAKAGE_COLS, "label": LABEL, "group_column": "customer_id", "window_days": p.window_days,
+            "max_bucket": p.max_bucket, "horizon": p.horizon, "tiers": {"High": p.tier_high, "Medium": p.tier_medium},
+            "high_churn_cutoff": p.high_churn_cutoff, "r_k": list(r), "multipliers": {str(k): v for k, v in m.items()},
+            "as_of": p.as_of.isoformat()}
+    vocab.sparkSession.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+
+
+def load_artifact(spark: SparkSession, path: str) -> Artifact:
+    """Read a saved artifact; a missing key or another version is an error before any scoring."""
+    meta = json.loads(spark.read.option("wholetext", True).text(f"{path}/meta").first()["value"])
+    missing = [k for k in ARTIFACT_KEYS if k not in meta]
+    if missing:
+        raise ValueError(f"{path} lacks {missing}")
+    if meta["version"] != ARTIFACT_VERSION:
+        raise ValueError(f"{path} has version {meta['version']}, not {ARTIFACT_VERSION}")
+    return Artifact(PipelineModel.load(f"{path}/model"), meta, spark.read.parquet(f"{path}/vocab"))
+
+
+def score_from_artifact(artifact: Artifact, latest: DataFrame) -> DataFrame:
+    """``latest`` (customer_id, order_seq, ... scoring features) with ``model_prob`` by the saved model."""
+    scored = predict(artifact.model, model_frame(latest, keep=("customer_id",)), artifact.features)
+    return latest.join(scored.select("customer_id", F.col("churn_prob").alias("model_prob")), "customer_id")
+
+
+def unseen_categories(artifact: Artifact, latest: DataFrame) -> DataFrame:
+    """Values of categorical features that the saved vocabulary does not have, with their rows."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in artifact.meta["categorical"]]))
+    counted = model_frame(latest, keep=()).select(pairs.alias("p")).groupBy("p.feature", "p.value").agg(F.count(F.lit(1)).alias("rows"))
+    return counted.join(artifact.vocab, ["feature", "value"], "left_anti")

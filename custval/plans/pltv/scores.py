@@ -38,7 +38,11 @@ def zero_high_churn(scored: DataFrame, cutoff: float) -> DataFrame:
 
 
 def combine(scored: DataFrame, aov: DataFrame, fallback_aov: float | None = None) -> DataFrame:
-    out = scored.join(aov.select("customer_id", "expected_aov"), "customer_id", "left")
+    return with_fallback(scored.join(aov.select("customer_id", "expected_aov"), "customer_id", "left"), fallback_aov)
+
+
+def with_fallback(out: DataFrame, fallback_aov: float | None) -> DataFrame:
+    """Customers without an order value of their own get the fallback, if one is given; then remaining and total value."""
     if fallback_aov is not None:
         out = out.withColumn("expected_aov", F.coalesce("expected_aov", L(float(fallback_aov))))
     remaining = F.col("expected_future_orders") * F.col("expected_aov")

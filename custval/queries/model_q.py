@@ -12,13 +12,12 @@ from custval.queries.hazard_q import matured_panel
 from custval.registry import app_key, register, rounded
 
 _MODELS: dict = {}
-MAX_ITER = 30
 
 
 def trained(spark, sf_dir):
     key = (app_key(spark), sf_dir)
     if key not in _MODELS:
-        _MODELS[key] = MD.fit_hazard_model(matured_panel(spark, sf_dir), None, P, max_iter=MAX_ITER)
+        _MODELS[key] = MD.fit_hazard_model(matured_panel(spark, sf_dir), P)
     return _MODELS[key]
 
 
@@ -42,8 +41,9 @@ def churn_model_metrics(spark, sf_dir):
     by = exact_auc(s, "churn_prob", "churned_400d", ["seq_bucket"])
     n = s.groupBy("seq_bucket").agg(F.count(F.lit(1)).alias("n"), F.avg("churned_400d").alias("churn_rate"))
     overall = exact_auc(s, "churn_prob", "churned_400d").first()["auc"]
+    ap = CV.ranking_metrics(s.withColumn("split", F.lit("test"))).first()["average_precision"]
     return rounded(n.join(by.select("seq_bucket", "auc"), "seq_bucket", "left")
-                   .withColumn("overall_auc", F.lit(overall)))
+                   .withColumn("overall_auc", F.lit(overall)).withColumn("average_precision", F.lit(ap)))
 
 
 @register("feature_importance")
@@ -53,6 +53,24 @@ def feature_importance(spark, sf_dir):
     return rounded(spark.createDataFrame(top, "feature string, importance double"))
 
 
+def model_test_rows(spark, sf_dir):
+    """The TEST rows with the trained model's score, shaped like the curve's input."""
+    return model_scored(spark, sf_dir).withColumn("p_repeat", 1 - F.col("churn_prob")).withColumn(
+        "split", F.lit("test")).withColumn("seq_bucket", F.least(F.col("order_seq").cast("int"), F.lit(P.max_bucket)))
+
+
+@register("model_hazard_curve")
+def model_hazard_curve(spark, sf_dir):
+    """C8 on the trained model."""
+    return rounded(CV.hazard_curve(model_test_rows(spark, sf_dir), P))
+
+
+@register("model_calibration_by_stage")
+def model_calibration_by_stage(spark, sf_dir):
+    """C7 on the trained model."""
+    return rounded(CV.calibration_by_stage(model_test_rows(spark, sf_dir)))
+
+
 def model_value_scores(spark, sf_dir):
     """F1 on the production path: the trained classifier scores the TEST rows
     (for the repeat curve) and each customer's latest row (for the score)."""
@@ -60,9 +78,7 @@ def model_value_scores(spark, sf_dir):
     from custval.queries.aov_q import production_fit
     from custval.queries.hazard_q import scoring_extract
     model, feats = trained(spark, sf_dir)
-    test = model_scored(spark, sf_dir).withColumn("p_repeat", 1 - F.col("churn_prob")).withColumn(
-        "split", F.lit("test")).withColumn("seq_bucket", F.least(F.col("order_seq").cast("int"), F.lit(P.max_bucket)))
-    r = CV.curve_values(CV.hazard_curve(test, P))
+    r = CV.curve_values(CV.hazard_curve(model_test_rows(spark, sf_dir), P))
     m = CV.multipliers(r, P.horizon)
     latest = scoring_extract(spark, sf_dir)
     frame = MD.model_frame(latest, keep=("customer_id",))

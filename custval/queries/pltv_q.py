@@ -94,6 +94,7 @@ _reg("live_scores", lambda s, d: CV.live_scores(scoring_extract(s, d), P), oc.li
 
 MONEY = {"realized_value": D4, "expected_aov": D4, "remaining_pltv": D4, "total_pltv": D4}
 _reg("pltv_scores", lambda s, d: SC.ranked(value_scores(s, d)), op.pltv_scores, MONEY)
+_reg("pltv_scores_fallback", lambda s, d: SC.with_fallback(scores_table(s, d), P.flat_aov), op.pltv_scores_fallback, MONEY)
 _reg("pltv_describe", lambda s, d: SC.describe(scores_table(s, d)), op.pltv_describe,
      {k: D4 for k in ("mean", "std", "min", "p10", "p25", "p50", "p75", "p90", "max")})
 _reg("pltv_null_report", lambda s, d: SC.null_report(scores_table(s, d)), op.pltv_null_report)

@@ -2,7 +2,7 @@
 
 On a cluster the session comes from the launcher; we only fill in settings
 that are unset.  The checkpoint folder is read from ``spark.checkpoint.dir``;
-a scratch folder is created only when nothing is configured (local tests).
+a scratch folder is created only for a local master with nothing configured.
 """
 
 from __future__ import annotations
@@ -37,6 +37,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def current_session(app: str = "custval") -> SparkSession:
+    """The launcher's session (or a plain new one) with our unset defaults filled in."""
+    return configure(SparkSession.builder.appName(app).getOrCreate())
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in _DEFAULTS.items():
         if spark.conf.get(key, None) is None:
@@ -57,7 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # only for local runs and tests, where no shared folder is named
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="custval-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -1,21 +1,23 @@
 """Trained hazard classifier: fit on FIT rows, score TEST rows, artifact round trip."""
 
+import json
 import tempfile
 
-from pyspark.ml import PipelineModel
+import pytest
+
 from pyspark.sql import functions as F
 
 from custval.params import DEFAULT as P
 from custval.plans.hazard import curve as CV
 from custval.plans.hazard import model as MD
-from custval.queries.hazard_q import matured_panel
+from custval.queries.hazard_q import matured_panel, scoring_extract
 
 from conftest import SF_SMALL
 
 
 def test_fit_predict_and_artifact(spark):
     panel = matured_panel(spark, SF_SMALL)
-    model, feats = MD.fit_hazard_model(panel, None, P, max_iter=5)
+    model, feats = MD.fit_hazard_model(panel, P, max_iter=5)
     frame = MD.model_frame(panel, keep=("customer_id", "order_date", "split_rand"))
     test = frame.where(CV.split_of(F.col("split_rand"), P) == "test")
     scored = MD.predict(model, test, feats)
@@ -28,12 +30,30 @@ def test_fit_predict_and_artifact(spark):
     assert len(imp) == 5 and all(v >= 0 for _, v in imp)
 
     curve = CV.hazard_curve(CV.with_scores(panel, P), P)
+    r = CV.curve_values(curve)
+    d = tempfile.mkdtemp(prefix="custval-art-")
+    MD.save_artifact(model, feats, r, CV.multipliers(r, P.horizon), d, P, MD.category_vocab(MD.model_frame(panel)))
+    back = MD.load_artifact(spark, d)
+    assert back.features == feats and back.meta["r_k"] == r and back.multipliers == CV.multipliers(r, P.horizon)
+    latest = scoring_extract(spark, SF_SMALL)
+    direct = MD.predict(model, MD.model_frame(latest, keep=("customer_id",)), feats)
+    saved = MD.score_from_artifact(back, latest)
+    assert (sorted((x.customer_id, x.churn_prob) for x in direct.select("customer_id", "churn_prob").collect())
+            == sorted((x.customer_id, x.model_prob) for x in saved.select("customer_id", "model_prob").collect()))
+    odd = latest.withColumn("customer_state", F.lit("NOWHERE"))
+    assert [(x.feature, x.value) for x in MD.unseen_categories(back, odd).where("value = 'NOWHERE'").collect()] == [("customer_state", "NOWHERE")]
+
+
+def test_artifact_without_a_key_or_of_another_version_is_refused(spark):
     d = tempfile.mkdtemp(prefix="custval-art-")
-    MD.save_artifact(model, feats, curve, CV.forward_multiplier(curve, P), d, P,
-                     vocab=MD.category_vocab(MD.model_frame(panel)))
-    assert spark.read.parquet(f"{d}/vocab").count() > 0
-    back = PipelineModel.load(f"{d}/model")
-    again = MD.predict(back, test, feats).select("churn_prob").toPandas().churn_prob
-    first = scored.select("churn_prob").toPandas().churn_prob
-    assert (abs(again.sort_values().to_numpy() - first.sort_values().to_numpy()) < 1e-12).all()
-    assert spark.read.parquet(f"{d}/multipliers").count() == P.horizon + 1
+    meta = {k: 0 for k in MD.ARTIFACT_KEYS} | {"version": 99}
+    for bad, message in (({"version": 1}, "lacks"), (meta, "version 99")):
+        spark.createDataFrame([(json.dumps(bad),)], "value string").write.mode("overwrite").text(f"{d}/meta")
+        with pytest.raises(ValueError, match=message):
+            MD.load_artifact(spark, d)
+
+
+def test_more_categories_than_the_default_bins(spark):
+    panel = matured_panel(spark, SF_SMALL).withColumn("customer_state", F.concat(F.lit("S"), F.pmod(F.hash("customer_id", "order_seq"), F.lit(130)).cast("string")))
+    model, feats = MD.fit_hazard_model(panel, P, max_iter=1)
+    assert model.stages[-1].getMaxBins() > 64

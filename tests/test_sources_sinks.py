@@ -7,7 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from custval.sources.extracts import drop_empty, load_aov_cells
+from custval.sources.extracts import EXTRACTS, drop_empty, load_aov_cells, read_extract
 from custval.sources.sinks import json_payload, write_expected_aov, write_table
 from custval.sources.tables import MissingColumns, ORDER_LINE_SCHEMA, read_table, require_columns
 
@@ -55,3 +55,35 @@ def test_sinks_write_and_json_payload(spark):
     assert spark.read.option("header", True).csv(d + "/csv").count() == 2
     payload = json_payload(df, "aov").first()
     assert payload.payload == "aov" and len(json.loads(payload.json)) == 2
+
+
+HEADER = "sum_log_value_sq,sum_log_value,customer_id,order_department,order_is_exotic,n_orders"
+
+
+def _csv(*lines):
+    path = os.path.join(tempfile.mkdtemp(prefix="custval-test-"), "cells.csv")
+    with open(path, "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    return path
+
+
+def test_columns_are_read_by_name(spark):
+    row = load_aov_cells(spark, _csv(HEADER, "50.0,10.0,1,Kids,t,2")).first()
+    assert (row.sum_log_value, row.sum_log_value_sq, row.customer_id, row.n_orders) == (10.0, 50.0, 1, 2)
+
+
+def test_a_missing_column_and_a_bad_value_fail(spark):
+    with pytest.raises(MissingColumns):
+        load_aov_cells(spark, _csv(HEADER.replace("n_orders", "orders"), "50.0,10.0,1,Kids,t,2"))
+    with pytest.raises(Exception, match="not a bigint in column n_orders: x2"):
+        load_aov_cells(spark, _csv(HEADER, "50.0,10.0,1,Kids,t,x2")).collect()
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        load_aov_cells(spark, _csv(HEADER, "50.0,10.0,1,Kids,t,2,9,9")).collect()
+
+
+def test_every_extract_reads_what_it_names(spark):
+    for name, e in EXTRACTS.items():
+        values = {"date": "2001-01-02", "string": "true", "bigint": "7", "double": "1.5"}
+        path = _csv(",".join(e.schema.fieldNames()), ",".join(values[f.dataType.simpleString()] for f in e.schema.fields))
+        df = read_extract(spark, path, name)
+        assert df.columns == e.schema.fieldNames() and df.count() == 1, name
