@@ -280,6 +280,19 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``encode`` and ``decode`` with digests: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    return decode(encode(docs, path, id_col, text_col), path).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """``encode`` and ``decode`` in one pass, with digests: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    file = _file(docs, path)
+
+    def run(batches):
+        vocabulary = Vocabulary.of(file.value)
+        for batch in batches:
+            data, offsets = binary_buffers(batch["data"])
+            for a, b, part, cut in blocks(data, offsets):
+                ids = vocabulary.encode(part, cut)
+                decoded = [vocabulary.decode(i, vocabulary.places(i)) for i in (np.frombuffer(x, "<u4") for x in ids)]
+                yield pa.record_batch({"doc_id": batch["doc_id"].slice(a, b - a), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+                                       "ids": pa.array(ids, pa.binary()), "decoded": pa.array(decoded, pa.binary())})
+
+    out = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("data")).mapInArrow(
+        run, "doc_id long, n_tokens long, ids binary, decoded binary")
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
