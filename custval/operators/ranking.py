@@ -114,6 +114,11 @@ def exact_auc(scored: DataFrame, score: str, label: str, group: Sequence[str] =
     counts = scored.groupBy(*group, score).agg(
         F.coalesce(F.sum(F.col(label).cast("long")), F.lit(0)).alias("pos"),
         F.coalesce(F.sum((1 - F.col(label)).cast("long")), F.lit(0)).alias("neg"))
+    return auc_of_counts(counts, score, group)
+
+
+def auc_of_counts(counts: DataFrame, score: str, group: Sequence[str] = ()) -> DataFrame:
+    """``exact_auc`` of rows that are already counted: (group, score, pos, neg), one per score."""
     run = running_totals(counts, [F.col(score).asc()], ["neg"], group)
     below = F.col("cum_neg") - F.col("neg")
     # products of counts pass 2**63 at about 3e9 of each label: doubles

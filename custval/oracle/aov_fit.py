@@ -200,6 +200,26 @@ def aov_decomposition() -> str:
 FROM dec, fitp fp""")
 
 
+def aov_decomposition_cells() -> str:
+    M = params_fmt()["M"]
+    return _with_extra(
+        f"""parts AS (
+          SELECT customer_id, g.order_department AS part, g.order_is_exotic, g.n_orders / (c.n_c + {M}) AS weight,
+                 fp.smear * EXP(c.theta_hat + g.gamma_cell) AS value FROM custfit c JOIN cg g USING (customer_id), fitp fp
+          UNION ALL
+          SELECT customer_id, '(population)', NULL, {M} / (n_c + {M}), fp.abar_pop * EXP(theta_hat) FROM custfit, fitp fp)""",
+        body=f"""SELECT customer_id, part, order_is_exotic, {R('weight')} AS weight, {R('value', 4)} AS value,
+  {R('weight * value', 4)} AS contribution FROM parts""")
+
+
+def spend_type_ratio() -> str:
+    pairs = {"raw_avg_order_value": "AVG(sum_value / n_c)", "model_expected_aov": "AVG(expected_aov)",
+             "pooled_order_value": "SUM(sum_value) / SUM(n_c)"}
+    return _q("SELECT " + ", ".join(
+        f"{R(f'(SELECT {e} FROM custfit WHERE buys_exotic) / (SELECT {e} FROM custfit WHERE NOT buys_exotic)')} AS {k}_ratio"
+        for k, e in pairs.items()))
+
+
 def expected_vs_actual() -> str:
     return _with_extra(
         """ea AS (SELECT *, sum_value / n_c AS actual_mean, expected_aov / (sum_value / n_c) AS ratio
@@ -289,22 +309,22 @@ def holdout_calibration() -> str:
         """a AS (SELECT COUNT(*) AS scorable, AVG(actual_aov) AS mean_actual, AVG(expected_aov) AS mean_pred,
                  MEDIAN(ABS(expected_aov / actual_aov - 1)) * 100 AS median_ape,
                  AVG(ABS(expected_aov / actual_aov - 1)) * 100 AS mean_ape,
-                 SUM(sum_value) / SUM(n_c) AS train_level, SUM(test_sum_value) / SUM(test_n_orders) AS test_level
+                 SUM(sum_value) / SUM(n_c) AS train_level, SUM(test_sum_value) / SUM(test_n_orders) AS test_level,
+                 MEDIAN(test_n_orders) AS median_test_orders
           FROM val)""",
-        body=f"""SELECT scorable, {R('mean_actual', 4)} AS mean_actual, {R('mean_pred', 4)} AS mean_pred,
+        body=f"""SELECT scorable, {R('median_test_orders')} AS median_test_orders, {R('mean_actual', 4)} AS mean_actual, {R('mean_pred', 4)} AS mean_pred,
   {R('mean_pred / mean_actual')} AS ratio, {R('median_ape')} AS median_ape, {R('mean_ape')} AS mean_ape,
   {R('train_level', 4)} AS train_level, {R('test_level', 4)} AS test_level,
   (SELECT COUNT(*) FROM custfit) AS fit_customers, {R('test_level / train_level')} AS level_ratio FROM a""",
         holdout=True)
 
 
-def holdout_binned_calibration() -> str:
+def holdout_binned_calibration(parts: int = 5) -> str:
+    above = " + ".join(f"CAST(expected_aov > q[{i}] AS INTEGER)" for i in range(1, parts))
     return _with_extra(
         SCORABLE,
-        "e AS (SELECT QUANTILE_CONT(expected_aov, [0.2, 0.4, 0.6, 0.8]) AS q FROM val)",
-        """b AS (SELECT val.*, 'Q' || CAST(1 + CAST(expected_aov > q[1] AS INTEGER) + CAST(expected_aov > q[2] AS INTEGER)
-                         + CAST(expected_aov > q[3] AS INTEGER) + CAST(expected_aov > q[4] AS INTEGER) AS VARCHAR) AS bin
-                FROM val, e)""",
+        f"e AS (SELECT QUANTILE_CONT(expected_aov, {[i / parts for i in range(1, parts)]}) AS q FROM val)",
+        f"b AS (SELECT val.*, 'Q' || CAST(1 + {above} AS VARCHAR) AS bin FROM val, e)",
         body=f"""SELECT bin, {R('AVG(expected_aov)', 4)} AS predicted, {R('AVG(actual_aov)', 4)} AS realized,
   COUNT(*) AS customers FROM b GROUP BY bin""", holdout=True)
 

@@ -247,6 +247,16 @@ def sample_ltv() -> str:
 FROM proj ORDER BY {h}, customer_id LIMIT 100""")
 
 
+def sample_ltv_medians() -> str:
+    flat = params_fmt()["flat_aov"]
+    h = "CAST(('0x' || SUBSTR(MD5(CAST(customer_id AS VARCHAR) || 'sample_42'), 1, 8)) AS BIGINT) % 100000 / 100000.0"
+    return _q(f"""SELECT COUNT(*) AS customers, {R('MEDIAN(order_seq)')} AS median_orders_so_far,
+  {R('MEDIAN(proj_additional_orders)')} AS median_proj_future_orders,
+  {R(f'MEDIAN(proj_additional_orders * {flat})', 4)} AS median_pred_remaining_value,
+  {R(f'MEDIAN((order_seq + proj_additional_orders) * {flat})', 4)} AS median_pred_total_ltv
+FROM (SELECT * FROM proj ORDER BY {h}, customer_id LIMIT 100)""")
+
+
 def live_scores() -> str:
     f = params_fmt()
     return _q(f"""SELECT customer_id, order_seq, {R('churn_prob')} AS churn_prob, {R('1 - churn_prob')} AS p_repeat,

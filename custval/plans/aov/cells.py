@@ -75,31 +75,6 @@ def customer_totals(orders: DataFrame) -> DataFrame:
         F.bool_or("order_is_exotic").alias("buys_exotic"))
 
 
-def cells_from_orders(orders: DataFrame, cohort: DataFrame | None = None) -> DataFrame:
-    """Cell sufficient statistics plus customer totals (window on the cell grain).
-
-    The cohort filter is an inner join at the cell grain, which holds at most
-    (departments x 2) rows per customer, so no customer can skew it.
-    """
-    lv = F.ln(F.col("order_value").cast("double"))
-    cells = orders.groupBy("customer_id", "order_department", "order_is_exotic").agg(
-        F.count(F.lit(1)).alias("n_orders"),
-        F.sum(lv).alias("sum_log_value"),
-        F.sum(lv * lv).alias("sum_log_value_sq"),
-        F.sum("order_value").alias("sum_value_dec"),
-        F.min("order_date").alias("cell_first_date"))
-    if cohort is not None:
-        cells = cells.join(cohort.select("customer_id"), "customer_id")
-    w = Window.partitionBy("customer_id")
-    return cells.select(
-        "customer_id", "order_department", "order_is_exotic", "n_orders",
-        "sum_log_value", "sum_log_value_sq",
-        F.col("sum_value_dec").cast("double").alias("sum_value"),
-        F.sum("n_orders").over(w).alias("cust_total_orders"),
-        F.max("order_is_exotic").over(w).alias("buys_exotic"),
-        F.min("cell_first_date").over(w).alias("first_order_date"))
-
-
 def aov_orders(lines: DataFrame, p: Params) -> DataFrame:
     return order_primary(lines, acquisition_cohort(lines, p, p.join_ceiling), p)
 

@@ -76,7 +76,6 @@ def customer_table(cells: DataFrame) -> DataFrame:
         F.sum(F.col("n_orders") * F.col("a_cell")).alias("obs_sum"),
         F.sum("sum_value").alias("sum_value"),
         F.count(F.lit(1)).alias("n_cells"),
-        F.countDistinct("order_department").alias("n_dept"),
         F.max("buys_exotic").alias("buys_exotic"),
         *extra)
     return (t.withColumn("cust_mean_log", F.col("sum_log") / F.col("n_c"))
@@ -91,7 +90,7 @@ def _profile_nll(t: np.ndarray, n, cnt, s1, s2, sigma2: float):
     ``t`` is a vector of candidates; rows of (n, cnt, s1, s2) are the
     per-order-count sums of (theta_raw - centre) and its square.
     """
-    v = t[:, None] + sigma2 / n[None, :]
+    v = np.maximum(t[:, None] + sigma2 / n[None, :], 1e-12)
     mu = (s1 / v).sum(axis=1) / (cnt / v).sum(axis=1)
     nll = 0.5 * (cnt * np.log(v) + (s2 - 2 * mu[:, None] * s1 + (mu * mu)[:, None] * cnt) / v).sum(axis=1)
     return nll, mu
@@ -127,9 +126,12 @@ def fit(cells: DataFrame, p: Params, persist: bool = True) -> AovFit:
         F.sum(F.when(multi, F.col("sum_value") / F.exp("cell_mean_log"))).alias("smear_num"),
         F.sum(F.when(multi, F.col("n_orders"))).alias("smear_den"),
     ).first()
+    if not r["n"]:
+        raise ValueError("no order-value cells to fit")
     grand = r["sl"] / r["n"]
-    sigma2 = r["ss"] / r["dof"]
-    smear = r["smear_num"] / r["smear_den"]
+    # without a cell of two orders there is no residual variance: no noise, and no smearing
+    sigma2 = r["ss"] / r["dof"] if r["dof"] else 0.0
+    smear = r["smear_num"] / r["smear_den"] if r["smear_den"] else 1.0
     rt = smear if p.predictor == "mean" else 1.0
     prem = premiums_table(cm, grand, rt)
     # one small job: the population multiplier and the premium table's size,
@@ -140,7 +142,9 @@ def fit(cells: DataFrame, p: Params, persist: bool = True) -> AovFit:
 
     cells_g = join_small(cm, prem.select(*CELL_KEYS, "gamma_cell", "a_cell"), CELL_KEYS, "left",
                          known_rows=pr["cells"])
+    # one row per customer, written once: every report and score reads it
     cust = customer_table(cells_g)
+    cust = materialize(cust) if persist else cust
     center = cust.agg(F.avg("theta_raw").alias("c")).first()["c"]
     dev = F.col("theta_raw") - F.lit(center)
     table = (cust.groupBy("n_c").agg(F.count(F.lit(1)).alias("cnt"), F.sum(dev).alias("s1"),

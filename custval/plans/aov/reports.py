@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custval.functions.exprs import fixed_bin, right_closed_bucket
+from custval.functions.exprs import fixed_bin, right_closed_bucket, safe_div
 from custval.operators.joins import join_small
 from custval.operators.ranking import attach_quantiles, scalar_quantiles
 from custval.plans.aov.fit import AovFit
@@ -206,6 +206,19 @@ def aov_decomposition(f: AovFit) -> DataFrame:
                     (F.abs(long_form - F.col("expected_aov")) <= 1e-9 * F.col("expected_aov")).alias("matches"))
 
 
+def aov_decomposition_cells(f: AovFit) -> DataFrame:
+    """The parts of each customer's expected AOV -- own cells and the population row: weight, value, contribution."""
+    M = float(f.p.mix_shrink_m)
+    cust = f.customers.select("customer_id", "n_c", "theta_hat")
+    whole = F.col("n_c") + L(M)
+    own = f.cells.select("customer_id", "order_department", "order_is_exotic", "n_orders", "gamma_cell").join(cust, "customer_id").select(
+        "customer_id", F.col("order_department").alias("part"), "order_is_exotic", (F.col("n_orders") / whole).alias("weight"),
+        (F.exp(F.col("theta_hat") + F.col("gamma_cell")) * L(f.rt)).alias("value"))
+    population = cust.select("customer_id", L("(population)").alias("part"), L(None).cast("boolean").alias("order_is_exotic"),
+                             (L(M) / whole).alias("weight"), (F.exp("theta_hat") * L(f.abar_pop)).alias("value"))
+    return own.unionByName(population).withColumn("contribution", F.col("weight") * F.col("value"))
+
+
 def expected_vs_actual(f: AovFit) -> DataFrame:
     """In-sample expected AOV vs the raw arithmetic mean, 1-5 order customers."""
     c = (f.customers.where(F.col("n_c").between(1, 5))
@@ -217,14 +230,19 @@ def expected_vs_actual(f: AovFit) -> DataFrame:
     return attach_quantiles(agg, c, {"r": F.col("ratio")}, [("median_ratio", "r", 0.5)], ["n_c"])
 
 
+def _normal_density(distance, sd):
+    """Density of a normal at a distance from its mean; NULL without spread."""
+    return safe_div(F.exp(-0.5 * safe_div(distance, sd) ** 2), sd * F.sqrt(L(2 * 3.141592653589793)))
+
+
 def population_baseline(f: AovFit, points: int = 80) -> DataFrame:
-    """The featureless prior in dollars and its density on mu +/- 3 tau."""
+    """The featureless prior in dollars and its density on mu +/- 3 tau (NULL where tau is 0: a point mass)."""
     tau = f.tau2 ** 0.5
     base = f.customers.agg(F.var_pop("prior_mean").alias("var_prior"),
                            F.avg("prior_mean").alias("mu_log"))
     i = F.col("i")
     x = F.col("mu_log") - 3 * L(tau) + i * (6 * L(tau) / (points - 1))
-    dens = F.exp(-0.5 * ((x - F.col("mu_log")) / L(tau)) ** 2) / (L(tau) * F.sqrt(L(2 * 3.141592653589793)))
+    dens = _normal_density(x - F.col("mu_log"), L(tau))
     return (base.select("*", F.explode(F.sequence(L(0), L(points - 1))).alias("i"))
             .select("i", "mu_log", L(tau).alias("tau"),
                     (F.exp("mu_log") * L(f.rt)).alias("base_usd"), "var_prior",
@@ -279,6 +297,14 @@ def variance_example(f: AovFit) -> DataFrame:
         (F.col("sum_value") / F.col("n_orders")).alias("cell_mean_usd"))
 
 
+def spend_type_ratio(f: AovFit) -> DataFrame:
+    """Exotic buyers' figures over the other customers'."""
+    t = spend_by_type(f).groupBy().pivot("buys_exotic", [True, False]).agg(
+        *[F.max(c).alias(c) for c in ("raw_avg_order_value", "model_expected_aov", "pooled_order_value")])
+    return t.select(*[safe_div(F.col(f"true_{c}"), F.col(f"false_{c}")).alias(f"{c}_ratio")
+                      for c in ("raw_avg_order_value", "model_expected_aov", "pooled_order_value")])
+
+
 def spend_by_type(f: AovFit) -> DataFrame:
     """Exotic vs other buyers: raw and model order value."""
     c = f.customers.withColumn("raw_aov", F.col("sum_value") / F.col("n_c"))
@@ -334,8 +360,8 @@ def holdout_calibration(f: AovFit) -> DataFrame:
         (F.sum("test_sum_value") / F.sum("test_n_orders")).alias("test_level"),
     ).select("*", L(fit_n).alias("fit_customers"),
              (F.col("test_level") / F.col("train_level")).alias("level_ratio"))
-    out = attach_quantiles(agg, v, {"ape": ape}, [("m_ape", "ape", 0.5)])
-    return out.select("scorable", "mean_actual", "mean_pred", "ratio", (F.col("m_ape") * 100).alias("median_ape"),
+    out = attach_quantiles(agg, v, {"ape": ape, "t": F.col("test_n_orders")}, [("m_ape", "ape", 0.5), ("median_test_orders", "t", 0.5)])
+    return out.select("scorable", "median_test_orders", "mean_actual", "mean_pred", "ratio", (F.col("m_ape") * 100).alias("median_ape"),
                       "mean_ape", "train_level", "test_level", "fit_customers", "level_ratio")
 
 
@@ -397,7 +423,7 @@ def variance_example_curve(f: AovFit, points: int = 80) -> DataFrame:
                  F.struct(F.abs(F.col("within_var") - L(avg)), F.col("customer_id"))).alias("s")).select("s.*")
     sd = F.sqrt("within_var")
     x = F.col("mean_log") - 3.2 * sd + F.col("i") * (6.4 * sd / (points - 1))
-    dens = F.exp(-0.5 * ((x - F.col("mean_log")) / sd) ** 2) / (sd * F.sqrt(L(2 * 3.141592653589793)))
+    dens = _normal_density(x - F.col("mean_log"), sd)
     return (pick.where(F.col("customer_id").isNotNull())
             .select("*", F.explode(F.sequence(L(0), L(points - 1))).alias("i"))
             .select("customer_id", "i", F.exp(x).alias("usd"), dens.alias("density")))

@@ -94,6 +94,7 @@ _report("fit_checks", REP.fit_checks, ofit.fit_checks)
 _report("shrinkage_tiers", REP.shrinkage_tiers, ofit.shrinkage_tiers, {"median_expected_aov": D4})
 _report("aov_decomposition", REP.aov_decomposition, ofit.aov_decomposition,
         {"long_form": D4, "closed_form": D4})
+_report("aov_decomposition_cells", REP.aov_decomposition_cells, ofit.aov_decomposition_cells, {"value": D4, "contribution": D4})
 _report("expected_vs_actual", REP.expected_vs_actual, ofit.expected_vs_actual,
         {"mean_actual": D4, "mean_expected": D4})
 _report("population_baseline", REP.population_baseline, ofit.population_baseline,
@@ -105,10 +106,13 @@ _report("variance_example", REP.variance_example, ofit.variance_example,
 _report("variance_example_curve", REP.variance_example_curve, ofit.variance_example_curve, {"usd": D4})
 _report("spend_by_type", REP.spend_by_type, ofit.spend_by_type,
         {"raw_avg_order_value": D4, "model_expected_aov": D4, "pooled_order_value": D4})
+_report("spend_type_ratio", REP.spend_type_ratio, ofit.spend_type_ratio)
 _report("holdout_error_by_tier", REP.holdout_error_by_tier, ofit.holdout_error_by_tier, holdout=True)
 _report("holdout_calibration", REP.holdout_calibration, ofit.holdout_calibration,
         {"mean_actual": D4, "mean_pred": D4, "train_level": D4, "test_level": D4}, holdout=True)
 _report("holdout_binned_calibration", REP.holdout_binned_calibration, ofit.holdout_binned_calibration,
         {"predicted": D4, "realized": D4}, holdout=True)
+_report("holdout_decile_calibration", lambda f: REP.holdout_binned_calibration(f, 10),
+        lambda: ofit.holdout_binned_calibration(10), {"predicted": D4, "realized": D4}, holdout=True)
 _report("holdout_signal", REP.holdout_signal, ofit.holdout_signal, holdout=True)
 _report("mix_shrink_sweep", REP.mix_shrink_sweep, ofit.mix_shrink_sweep, holdout=True)

@@ -90,6 +90,8 @@ _reg("cadence_vs_churn", lambda s, d: CV.cadence_vs_churn(matured_panel(s, d)),
 _reg("cadence_by_stage", lambda s, d: CV.cadence_by_stage(matured_panel(s, d)), oc.cadence_by_stage)
 _reg("sample_ltv", lambda s, d: CV.sample_ltv(projections(s, d), P), oc.sample_ltv,
      {"pred_remaining_value": D4, "pred_total_ltv": D4})
+_reg("sample_ltv_medians", lambda s, d: CV.sample_ltv_medians(CV.sample_ltv(projections(s, d), P)), oc.sample_ltv_medians,
+     {"median_pred_remaining_value": D4, "median_pred_total_ltv": D4})
 _reg("live_scores", lambda s, d: CV.live_scores(scoring_extract(s, d), P), oc.live_scores)
 
 MONEY = {"realized_value": D4, "expected_aov": D4, "remaining_pltv": D4, "total_pltv": D4}

@@ -1,6 +1,7 @@
 """Hand-made edge cases (FIXTURES.md section 8) on tiny frames."""
 
 import datetime as dt
+import json
 from decimal import Decimal
 
 import numpy as np
@@ -120,7 +121,7 @@ def test_non_positive_orders_drop_but_first_date_uses_all_lines(spark):
     lines = frame(spark, rows)
     coh = C.acquisition_cohort(lines, P, P.join_ceiling).toPandas()
     assert coh.first_order_date.iloc[0] == D0
-    cells = C.cells_from_orders(C.order_primary(lines, coh.pipe(lambda d: spark.createDataFrame(d)), P)).toPandas()
+    cells = C.aov_cells(lines, P).toPandas()
     assert cells.first_order_date.iloc[0] == D0 + dt.timedelta(days=20)
     assert int(cells.n_orders.sum()) == 1
 
@@ -174,3 +175,18 @@ def test_right_closed_bins_exclude_lowest_edge(spark):
     got = [r.b for r in df.select(right_closed_bucket("x", [0, 30, 60, 120, 240, 400, 1e9],
                                                       ["a", "b", "c", "d", "e", "f"]).alias("b")).collect()]
     assert got == [None, "a", "b", "e", "f"]
+
+
+def test_scorecard_sections_count_every_scored_customer(spark):
+    """Zeros and missing values: the four sections count the scored customers, the totals all."""
+    from custval.plans.pltv import scores as SC
+    rows = [(i, 1 + i % 11, "High" if i % 3 else "Low", None if i % 10 == 0 else (0.0 if i % 4 == 0 else float(i)), float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "customer_id long, order_seq long, risk_tier string, remaining_pltv double, total_pltv double")
+    card = SC.scorecard(df, P)
+    per = {r.section: r.n for r in card.where("section <> 'totals'").groupBy("section").agg(F.sum("customers").alias("n")).collect()}
+    assert per == {s: 180 for s in ("seq", "risk", "dec_pct", "hist")}
+    totals = {r.bucket: r.customers for r in card.where("section = 'totals' and customers is not null").collect()}
+    assert totals == {"n": 200, "scored": 180, "na": 20}
+    doc = json.loads(SC.scorecard_json(card).first()["json"])
+    assert sum(doc["hist"]["counts"]) == 180 and len(doc["dec_pct"]) == 10 and doc["totals"]["scored"] == 180
+    assert [x["seq_b"] for x in doc["seq"]] == list(range(1, 9))

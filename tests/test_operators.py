@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from custval.operators.ranking import exact_auc, exact_quantiles, running_totals
+from custval.operators.ranking import auc_of_counts, exact_auc, exact_quantiles, running_totals, scalar_quantiles
+from custval.plans.pltv.validate import spearman
 
 
 def test_exact_quantiles_match_numpy_linear(spark):
@@ -52,3 +53,34 @@ def test_exact_quantiles_with_a_third_of_rows_tied(spark):
     got = exact_quantiles(df, {"x": F.col("x")}, [(f"q{i}", "x", q) for i, q in enumerate(qs)]).first()
     want = np.quantile(x, qs, method="linear")
     assert [got[f"q{i}"] for i in range(len(qs))] == pytest.approx(list(want), abs=1e-9)
+
+
+def test_half_of_the_values_tied(spark):
+    """Ties are counted before they are ranked: quantiles and rank correlations stay exact."""
+    rng = np.random.default_rng(2)
+    a = np.where(rng.random(600) < 0.5, 0.0, rng.integers(1, 40, 600)).astype(float)
+    b = np.where(a == 0, 0.0, a + rng.integers(0, 20, 600))
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(zip(a, b))], "i long, a double, b double").repartition(7)
+    assert scalar_quantiles(df, F.col("a"), [0.1, 0.5, 0.77, 0.99]) == pytest.approx(np.quantile(a, [0.1, 0.5, 0.77, 0.99]))
+    rho, same = spearman(df, "a", "b", "a")
+    pdf = pd.DataFrame({"a": a, "b": b}).rank()
+    assert rho == pytest.approx(pdf.a.corr(pdf.b)) and same == 1.0
+
+
+def test_auc_of_more_pairs_than_a_long_holds(spark):
+    n = 3_100_000_000
+    df = spark.createDataFrame([(0.2, n, 2 * n), (0.7, 2 * n, n)], "s double, pos long, neg long")
+    r = auc_of_counts(df, "s").first()
+    assert (r.pos, r.neg) == (3 * n, 3 * n) and r.auc == pytest.approx((1 * (2 / 2) + 2 * (2 + 1 / 2)) / 9)
+
+
+def test_running_sums_cross_partitions_and_groups(spark):
+    rows = [(g, v, (v * 7 + ord(g)) % 5) for g in "abc" for v in range(200)] + [(None, 1, 3), (None, 0, 2)]
+    df = spark.createDataFrame(rows, "g string, v long, w long").repartition(6)
+    got = {(r.g, r.v): (r.p, r.cum_w, r.all_w) for r in running_totals(df, [F.col("v").asc()], ["w"], ["g"], row_col="p").collect()}
+    for g in ("a", "b", "c", None):
+        mine = sorted((v, w) for x, v, w in rows if x == g)
+        total = 0
+        for k, (v, w) in enumerate(mine, start=1):
+            total += w
+            assert got[(g, v)] == (k, total, sum(x for _, x in mine))
