@@ -10,9 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from custval.operators.persist import materialize
+
 #: sketches of 2**12 registers: three standard errors are 4.9 per cent
 LG_K, MARGIN = 12, 0.05
-_BLANK = r"[ \t\n\x0B\f\r]+"
+#: white space other than single spaces
+_BLANK = r"[ \t\n\x0B\f\r]{2,}|[\t\n\x0B\f\r]"
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
@@ -23,28 +26,30 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> Data
     # white space at the ends and runs of it inside do not tell lines apart
     plain = F.trim(F.regexp_replace("line", _BLANK, " "))
     return (lines.select("id", "site", "line_no", plain.alias("line")).where("line <> ''")
-            .select("id", "site", "line_no", F.xxhash64("line").alias("k1"), F.xxhash64(F.reverse("line"), F.length("line")).alias("k2")))
+            .select("id", "site", "line_no", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2")))
+
+
+def candidate_lines(lines: DataFrame, min_sites: int) -> DataFrame:
+    """``lines`` whose key's sketch of sites estimates ``min_sites`` or nearly, with the estimate; written once.
+
+    Each task sketches its own lines, so a line that a third of the documents
+    have costs one small sketch per task.
+    """
+    sketched = (lines.groupBy("k1", "k2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("sites"))
+                .where(F.col("sites") >= min_sites * (1 - MARGIN)))
+    return materialize(lines.join(sketched, ["k1", "k2"]))
 
 
-def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
+def spread_of(candidates: DataFrame, min_sites: int) -> DataFrame:
     """(k1, k2, first_id, first_line, sites) of the lines that ``min_sites`` or more distinct sites have.
 
-    Estimates above the margin are taken, those below it dropped, and those
-    within it replaced by exact counts of distinct (line, site) pairs.
+    Estimates above the margin are taken, those within it replaced by exact
+    counts of distinct sites.
     """
-    low, high = min_sites * (1 - MARGIN), min_sites * (1 + MARGIN)
-    # one row per line and site first: its sketch input and first place, whatever the number of copies
-    pairs = lines.groupBy("k1", "k2", "site").agg(F.min(F.struct("id", "line_no")).alias("first"))
-    # a line that one site alone has needs no sketch
-    several = (pairs.groupBy("k1", "k2").agg(F.min("site").alias("a"), F.max("site").alias("b"))
-               .where("a <> b").select("k1", "k2") if min_sites > 1 else pairs.select("k1", "k2").distinct())
-    wide = pairs.join(several, ["k1", "k2"])
-    sketched = (wide.groupBy("k1", "k2")
-                .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("sites"), F.min("first").alias("first"))
-                .where(F.col("sites") >= low))
-    near = sketched.where(F.col("sites") <= high).select("k1", "k2")
-    exact = wide.join(near, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.count("*").alias("exact"))
-    counted = sketched.join(exact, ["k1", "k2"], "left").withColumn("sites", F.coalesce("exact", "sites"))
+    near = candidates.where(F.col("sites") <= min_sites * (1 + MARGIN))
+    exact = near.groupBy("k1", "k2").agg(F.count_distinct("site").alias("exact"))
+    keys = candidates.groupBy("k1", "k2").agg(F.min(F.struct("id", "line_no")).alias("first"), F.max("sites").alias("sites"))
+    counted = keys.join(exact, ["k1", "k2"], "left").withColumn("sites", F.coalesce("exact", "sites"))
     return counted.where(F.col("sites") >= min_sites).select(
         "k1", "k2", F.col("first.id").alias("first_id"), F.col("first.line_no").alias("first_line"), F.col("sites").cast("long").alias("sites"))
 
@@ -52,9 +57,9 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
 def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
                       min_sites: int = 5) -> DataFrame:
     """(id, removed): the line numbers to cut from each document that has any."""
-    lines = lines_of(docs, id_col, text_col, site_col)
-    spread = spread_lines(lines, min_sites)
-    return (lines.join(spread, ["k1", "k2"])
+    candidates = candidate_lines(lines_of(docs, id_col, text_col, site_col), min_sites)
+    spread = spread_of(candidates, min_sites)
+    return (candidates.select("k1", "k2", "id", "line_no").join(spread, ["k1", "k2"])
             .where((F.col("id") != F.col("first_id")) | (F.col("line_no") != F.col("first_line")))
             .groupBy("id").agg(F.collect_set("line_no").alias("removed")))
 

@@ -4,7 +4,7 @@ import re
 import pytest
 
 from custval.llm.decontaminate import clean, contaminated
-from custval.llm.line_dedup import lines_of, spread_lines, without_boilerplate
+from custval.llm.line_dedup import candidate_lines, lines_of, spread_of, without_boilerplate
 from tests.llm.conftest import EDGE_DOCS
 
 
@@ -49,7 +49,7 @@ def test_near_threshold_lines_are_counted_exactly(spark):
     """Sketches err by some per cent at 200 sites; the counts around the threshold must be exact."""
     rows = [(i, f"line{n}", f"site{i}") for n in range(190, 211) for i in range(n)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = spread_lines(lines_of(df, "doc_id", "text", "source"), 200).collect()
+    got = spread_of(candidate_lines(lines_of(df, "doc_id", "text", "source"), 200), 200).collect()
     assert len(got) == 11 and {r.sites for r in got if r.sites <= 209} >= set(range(200, 208))
 
 
