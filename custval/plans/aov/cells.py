@@ -67,12 +67,20 @@ def order_primary(lines: DataFrame, cohort: DataFrame, p: Params) -> DataFrame:
     return positive(all_orders(lines, p)).join(cohort.select("customer_id"), "customer_id", "left_semi")
 
 
-def customer_totals(orders: DataFrame) -> DataFrame:
-    """Per customer order count, first positive order date, ever-exotic."""
-    return orders.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("cust_total_orders"),
-        F.min("order_date").alias("first_order_date"),
-        F.bool_or("order_is_exotic").alias("buys_exotic"))
+def _in_cohort(first_any, p: Params, ceiling):
+    """A4 on a customer's first in-scope order date."""
+    return first_any.between(F.lit(p.order_floor), F.lit(ceiling))
+
+
+def customer_totals(orders: DataFrame, p: Params, ceiling) -> DataFrame:
+    """Per cohort customer positive orders, first positive order date, ever-exotic -- one pass over all in-scope orders."""
+    pos = F.col("order_value") > 0
+    t = orders.groupBy("customer_id").agg(
+        F.min("order_date").alias("first_any"),
+        F.count_if(pos).alias("cust_total_orders"),
+        F.min(F.when(pos, F.col("order_date"))).alias("first_order_date"),
+        F.bool_or(F.when(pos, F.col("order_is_exotic"))).alias("buys_exotic"))
+    return t.where(_in_cohort(F.col("first_any"), p, ceiling) & (F.col("cust_total_orders") > 0)).drop("first_any")
 
 
 def aov_orders(lines: DataFrame, p: Params) -> DataFrame:
@@ -137,13 +145,15 @@ def holdout_orders(lines: DataFrame, p: Params) -> DataFrame:
 
 
 def holdout_actuals(orders: DataFrame, p: Params) -> DataFrame:
-    """A5: per customer TEST-window actuals (cutoff, end]."""
-    test = orders.where((F.col("order_date") > F.lit(p.train_cutoff)) &
-                        (F.col("order_date") <= F.lit(p.test_end)))
-    return test.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("test_n_orders"),
-        F.sum("order_value").cast("double").alias("test_sum_value"),
-        F.sum(F.ln(F.col("order_value").cast("double"))).alias("test_sum_log_value"))
+    """A5: per cohort customer TEST-window actuals (cutoff, end] -- one pass over all in-scope orders."""
+    test = ((F.col("order_value") > 0) & (F.col("order_date") > F.lit(p.train_cutoff)) & (F.col("order_date") <= F.lit(p.test_end)))
+    value = F.when(test, F.col("order_value"))
+    t = orders.groupBy("customer_id").agg(
+        F.min("order_date").alias("first_any"),
+        F.count_if(test).alias("test_n_orders"),
+        F.sum(value).cast("double").alias("test_sum_value"),
+        F.sum(F.ln(value.cast("double"))).alias("test_sum_log_value"))
+    return t.where(_in_cohort(F.col("first_any"), p, p.train_cutoff) & (F.col("test_n_orders") > 0)).drop("first_any")
 
 
 def holdout_cells(lines: DataFrame, p: Params) -> DataFrame:

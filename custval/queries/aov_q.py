@@ -23,9 +23,7 @@ def order_primary(spark, sf_dir):
 
 @register("customer_totals", osql.sql_customer_totals)
 def customer_totals(spark, sf_dir):
-    orders = C.all_orders(order_lines(spark, sf_dir), P)
-    cohort = C.cohort_of(orders, P, P.join_ceiling).select("customer_id")
-    return C.customer_totals(C.positive(orders)).join(cohort, "customer_id")
+    return C.customer_totals(C.all_orders(order_lines(spark, sf_dir), P), P, P.join_ceiling)
 
 
 @register("acquisition_cohort", osql.sql_acquisition_cohort)
@@ -40,9 +38,7 @@ def aov_holdout_cells(spark, sf_dir):
 
 @register("holdout_actuals", osql.sql_holdout_actuals)
 def holdout_actuals(spark, sf_dir):
-    orders = C.all_orders(order_lines(spark, sf_dir), P)
-    cohort = C.cohort_of(orders, P, P.train_cutoff).select("customer_id")
-    return rounded(C.holdout_actuals(C.positive(orders), P).join(cohort, "customer_id"), MONEY4)
+    return rounded(C.holdout_actuals(C.all_orders(order_lines(spark, sf_dir), P), P), MONEY4)
 
 
 # --- fitted model and reports -------------------------------------------------
