@@ -1,9 +1,11 @@
+import itertools
+import math
 import random
 import re
 
 import pytest
 
-from custval.llm.decontaminate import clean, contaminated
+from custval.llm.decontaminate import SIMILARITY, STRETCH, clean, contaminated, covering_masks
 from custval.llm.line_dedup import candidate_lines, lines_of, spread_of, without_boilerplate
 from tests.llm.conftest import EDGE_DOCS
 
@@ -105,3 +107,52 @@ def test_hits_against_brute_force(spark):
     text = lambda rows: [(k, " ".join(r)) for k, r in enumerate(rows)]
     out = contaminated(spark.createDataFrame(text(docs), "doc_id long, text string"), spark.createDataFrame(text(items), "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in out.collect()} == expected and len(expected) >= 6
+
+
+def test_every_allowed_replacement_leaves_a_seed():
+    for words in range(1, STRETCH + 1):
+        replaced = words - math.ceil(SIMILARITY * words)
+        masks = covering_masks(words, replaced)
+        assert all(m[0] == m[-1] == "1" and len(m) <= words for m in masks)
+        for n in range(replaced + 1):
+            for gone in itertools.combinations(range(words), n):
+                assert any(all(at + k not in gone for k, m in enumerate(mask) if m == "1")
+                           for mask in masks for at in range(words - len(mask) + 1)), (words, gone)
+    for words, replaced in ((20, 4), (9, 3), (3, 2), (30, 2)):
+        for gone in itertools.combinations(range(words), replaced):
+            assert any(all(at + k not in gone for k, m in enumerate(mask) if m == "1")
+                       for mask in covering_masks(words, replaced) for at in range(words - len(mask) + 1)), (words, gone)
+
+
+def agreeing_pairs(docs, items):
+    """(document, item) with an alignment in which 11 of 13 words agree, for short items four fifths of all."""
+    out = set()
+    for (a, d), (b, item) in itertools.product(enumerate(docs), enumerate(items)):
+        need = math.ceil(0.8 * min(13, len(item)))
+        for shift in range(-len(item), len(d)):
+            same = [0 <= shift + q < len(d) and d[shift + q] == w for q, w in enumerate(item)] + [False] * 12
+            if max(sum(same[q:q + 13]) for q in range(len(item))) >= need:
+                out.add((a, b))
+    return out
+
+
+def pairs_of(spark, docs, items):
+    text = lambda rows: [(k, " ".join(r)) for k, r in enumerate(rows)]
+    out = contaminated(spark.createDataFrame(text(docs), "doc_id long, text string"), spark.createDataFrame(text(items), "item_id long, text string"))
+    return {(r.doc_id, r.item_id) for r in out.collect()}
+
+
+def test_every_pair_of_replaced_words_and_every_agreeing_stretch(spark):
+    """Two replaced words anywhere in 13, 15 and 20 words, pairs of neighbours all along a passage, random texts."""
+    swap = lambda words, gone: [f"other{k}" if k in gone else w for k, w in enumerate(words)]
+    items = [[f"i{n}w{k}" for k in range(n)] for n in (13, 15, 20, 60)]
+    docs = [["lead"] + swap(item, gone) + ["tail"] for item in items[:3] for gone in itertools.combinations(range(len(item)), 2)]
+    docs += [swap(items[3], {k for k in range(60) if (k + at) % period < 2}) for period in (8, 9, 10, 11) for at in range(period)]
+    random.seed(9)
+    vocabulary = [f"v{k}" for k in range(6)]
+    drawn = [[random.choice(vocabulary) for _ in range(random.randrange(13, 30))] for _ in range(6)]
+    docs += [[random.choice(vocabulary) for _ in range(random.randrange(20))] + swap(random.choice(drawn), random.sample(range(25), random.randrange(6)))
+             for _ in range(60)]
+    expected = agreeing_pairs(docs, items + drawn)
+    assert pairs_of(spark, docs, items + drawn) == expected
+    assert all(any(a == k for a, _ in expected) for k in range(78 + 105 + 190))
