@@ -130,18 +130,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     A hit counts if, of ``stretch`` aligned words that include the seed (all of
     the item's if it has fewer), at least the share ``similarity`` agree.  Every
     such stretch has a seed (``covering_masks``), unless other ``masks`` are
-    given for items of at least ``stretch`` words.
+    given for items of at least ``stretch`` words; shorter items have masks by
+    their number of words, down to the whole item where no word may differ.
     Returns per document and item with such a hit ``doc_id``, ``item_id``,
     ``n_hits`` (seed places in the document), ``first_word``, ``last_word``
     (of the stretches' seeds, end exclusive) and ``agreeing`` (the most words
     that agree).  Items with the same text are one, named by the smallest id;
-    items of fewer than ten words have no seed.  Null or empty texts and rows
+    items without a word match nothing.  Null or empty texts and rows
     without an id match nothing, rows that share an id count as one document;
     other columns are not read.
     """
     if masks and max(len(m) for m in masks) > stretch:
         raise ValueError("masks must be no longer than the stretch")
-    by_words = {n: covering_masks(n, n - max(1, math.ceil(similarity * n))) for n in range(10, stretch + 1)}
+    by_words = {n: covering_masks(n, n - max(1, math.ceil(similarity * n))) for n in range(1, stretch + 1)}
     by_words[stretch] = masks or by_words[stretch]
     every = list(dict.fromkeys(m for n in range(stretch, 0, -1) for m in by_words[n]))
     reads = np.array([[m in by_words.get(n, ()) for n in range(stretch + 1)] for m in every])

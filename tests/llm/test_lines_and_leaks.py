@@ -156,3 +156,14 @@ def test_every_pair_of_replaced_words_and_every_agreeing_stretch(spark):
     expected = agreeing_pairs(docs, items + drawn)
     assert pairs_of(spark, docs, items + drawn) == expected
     assert all(any(a == k for a, _ in expected) for k in range(78 + 105 + 190))
+
+
+def test_short_items_are_searched_whole(spark):
+    """Items of one to twelve words: verbatim ones of any length, those of five or more also with one word replaced (ten or more, two)."""
+    swap = lambda words, gone: [f"other{k}" if k in gone else w for k, w in enumerate(words)]
+    items = [[f"i{n}w{k}" for k in range(n)] for n in range(1, 13)]
+    docs = [lead + item + tail for item in items for lead in ([], ["so"]) for tail in ([], ["then"])]
+    docs += [swap(item, gone) for item in items[1:] for n in (1, 2, 3) for gone in itertools.combinations(range(len(item)), n)]
+    expected = agreeing_pairs(docs, items)
+    assert pairs_of(spark, docs, items) == expected and {(4 * k + j, k) for k in range(12) for j in range(4)} <= expected
+    assert any(a >= 48 and len(items[b]) == 5 for a, b in expected)
