@@ -157,8 +157,9 @@ def suffix_array(t: np.ndarray, depth: int | None = None) -> np.ndarray:
 def permuted_prefixes(t: np.ndarray, sa: np.ndarray, depth: int) -> np.ndarray:
     """In text order, the common prefix (up to ``depth``) of each suffix and the one before it in ``sa``.
 
-    Every ``STEP``-th value is measured; as the value falls by one at most from
-    one position to the next, a large one settles those that follow it.
+    Every ``step``-th value is measured; as the value falls by one at most from
+    one position to the next, a large one settles those that follow it.  That
+    holds for a full suffix order only, not for one cut at a depth.
     """
     n = len(t)
     before = np.empty(n, np.int32)

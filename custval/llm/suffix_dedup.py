@@ -156,7 +156,7 @@ def mark_later(shard: pa.Table, min_bytes: int) -> pa.Table:
     lengths = np.diff(np.append(firsts_a, len(text)))
     place = np.arange(len(text)) + np.repeat(np.array(order, np.int64) - firsts_a, lengths)
     start = np.arange(len(text)) <= np.repeat(firsts_a + lengths - min_bytes, lengths)
-    sa = suffix_array(text, depth=min_bytes)
+    sa = suffix_array(text)                          # in full order, on which permuted_prefixes relies
     prefix = permuted_prefixes(text, sa, min_bytes)
     group = np.cumsum(prefix[sa] < min_bytes)
     real = start[sa]

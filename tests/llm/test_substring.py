@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -83,6 +84,20 @@ def test_bytes_overlapping_repeats(spark):
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out), key=repr) == brute_bytes(rows, 100)
 
 
+@pytest.mark.parametrize("chunk_bytes", [20_000, 1 << 20])
+def test_bytes_of_two_byte_scripts(spark, chunk_bytes):
+    """Repeated passages longer than the names that min_bytes needs, each time in other surroundings."""
+    random.seed(3)
+    word = lambda n: "".join(random.choice("абвгдежзиклмн") for _ in range(n))
+    rows = []
+    for _ in range(60):
+        base = word(84)
+        rows += [(len(rows) + k, word(random.randrange(30)) + base[random.randrange(16): random.randrange(70, 85)] + word(random.randrange(30)))
+                 for k in range(8)]
+    out = remove_repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string"), chunk_bytes=chunk_bytes).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out), key=repr) == brute_bytes(rows, 100)
+
+
 def test_suffix_arrays_against_sorting():
     rng = np.random.default_rng(5)
     for _ in range(150):
