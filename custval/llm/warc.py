@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 VERSION = b"WARC/1.1"
 PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _GZIP, _VERSION = b"\x1f\x8b\x08", re.compile(rb"WARC/1\.[01]\r\n")
-_MEMBER = re.compile(re.escape(_GZIP) + rb"|(?<![^\n\x00])WARC/1\.[01]\r\n")
+_MEMBER = re.compile(re.escape(_GZIP) + rb"|WARC/1\.[01]\r\n")
+#: fields that every record has once
+_ONCE = {"warc-record-id", "warc-type", "warc-date", "content-length"}
 #: longest header that is read, and the step in which members are inflated
 _HEAD_MAX, _PIECE = 1 << 20, 1 << 15
 
@@ -101,7 +103,10 @@ def _parse(data: bytes, pos: int) -> tuple[dict, bytes, int] | str:
         name, colon, value = line.partition(b":")
         if not colon:
             return "header line without a colon"
-        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        name = name.strip().lower().decode("latin-1")
+        if name in _ONCE and name in fields:          # a header cut off and another record's behind it
+            return "header field repeated"
+        fields[name] = value.strip().decode("utf-8", "replace")
     if not re.fullmatch(r"\d{1,18}", fields.get("content-length", "")):
         return "no Content-Length"
     begin, size = end + 4, int(fields["content-length"])

@@ -73,3 +73,14 @@ def test_salvage_of_cut_and_foreign_data():
     wrong = record("1", None, b"abc", None, "d").replace(b"abc\r\n", b"abd\r\n")
     assert [f[2] for f in salvage(wrong + a)] == ["block digest differs", None]
     assert [f[2] for f in salvage(member(wrong) + a)] == ["block digest differs", None]
+
+
+def test_records_directly_behind_damage():
+    """A plain record cut off inside its payload, or a damaged member, is followed at once by a plain record."""
+    plain = [record(str(i), f"http://x/{i}", b"payload %d " % i * 9, None, "d") for i in range(3)]
+    for cut in (7, 30, len(plain[0]) - 20, len(plain[0]) - 5):
+        assert [(f[2] is None, f[3].get("warc-record-id")) for f in salvage(plain[0][:cut] + plain[1] + plain[2])] == [(False, None), (True, "<1>"), (True, "<2>")]
+    whole = member(plain[0])
+    for broken in (whole[:-12], whole[:20], whole[:-3] + b"\x55" + whole[-2:]):
+        found = list(salvage(broken + plain[1] + member(plain[2])))
+        assert [f[3].get("warc-record-id") for f in found] == [None, "<1>", "<2>"] and found[0][:2] == (0, len(broken))
