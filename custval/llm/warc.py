@@ -9,7 +9,7 @@ do.  ``binaryFile`` reads them back.
 The reader checks each member (gzip, version line, Content-Length, digests of
 block and payload).  Where a check fails it searches for the next valid gzip
 member or plain version line, goes on from there, and reports the bytes between
-as a quarantined gap.
+as a quarantined gap.  A member's content is searched for version lines alike.
 """
 
 from __future__ import annotations
@@ -136,43 +136,57 @@ def _inflate(data: bytes, pos: int) -> tuple[bytes, int] | str:
     return b"".join(out), pos - len(z.unused_data)
 
 
-def _at(data: bytes, pos: int) -> tuple[dict, bytes, int] | str:
-    """(fields, block, end) of the member or plain record at ``pos``, or what is wrong with it."""
-    if not data.startswith(_GZIP, pos):
-        return _parse(data, pos)
-    inflated = _inflate(data, pos)
-    if isinstance(inflated, str):
-        return inflated
-    plain, end = inflated
-    found = _parse(plain, 0)
-    if isinstance(found, str):
-        return found
-    return (found[0], found[1], end) if found[2] == len(plain) else "bytes behind the record"
-
+def _scan(data: bytes, read, starts: re.Pattern) -> Iterator[tuple[int, int, str | None, object]]:
+    """(start, end, reason, found) of what ``read`` accepts (reason None) and of the gaps between, in order.
 
-def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
-    """(start, end, reason, fields, block) of each record (reason None) and each quarantined gap of an archive, in order."""
+    ``read(data, pos)`` gives a tuple that ends in the end, or what is wrong;
+    behind a failure it is tried wherever ``starts`` matches.
+    """
     pos, n = 0, len(data)
     while pos < n:
         if data[pos] == 0:                            # padding between members
             pad = re.compile(rb"\x00+").match(data, pos)
             pos = pad.end()
             continue
-        found = _at(data, pos)
-        if not isinstance(found, str):
-            yield pos, found[2], None, found[0], found[1]
-            pos = found[2]
-            continue
-        reason, begin = found, pos
-        while True:
-            nxt = _MEMBER.search(data, pos + 1)
-            if nxt is None:
-                pos = n
-                break
-            pos = nxt.start()
-            if not isinstance(_at(data, pos), str):
-                break
-        yield begin, pos, reason, {}, b""
+        begin, found, reason = pos, read(data, pos), None
+        while isinstance(found, str):
+            reason = reason or found
+            nxt = starts.search(data, pos + 1)
+            pos = nxt.start() if nxt else n
+            found = read(data, pos) if nxt else None
+        if reason is not None:
+            yield begin, pos, reason, None
+        if found is not None:
+            yield pos, found[-1], None, found
+            pos = found[-1]
+
+
+def _at(data: bytes, pos: int) -> tuple[list, int] | str:
+    """([(reason, fields, block)], end) of the member or plain record at ``pos``, or what is wrong with it.
+
+    A member has any number of records, and gaps (with a reason) between them,
+    but at least one record.
+    """
+    if not data.startswith(_GZIP, pos):
+        found = _parse(data, pos)
+        return found if isinstance(found, str) else ([(None, *found[:2])], found[2])
+    inflated = _inflate(data, pos)
+    if isinstance(inflated, str):
+        return inflated
+    inside = [(reason, *(found[:2] if found else ({}, b""))) for _, _, reason, found in _scan(inflated[0], _parse, _VERSION)]
+    if all(reason for reason, _, _ in inside):
+        return inside[0][0] if inside else "no version line"
+    return inside, inflated[1]
+
+
+def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
+    """(start, end, reason, fields, block) of each record (reason None) and each quarantined gap of an archive, in order.
+
+    The records and gaps inside a gzip member all have the member's start and end.
+    """
+    for start, end, reason, found in _scan(data, _at, _MEMBER):
+        for inner, fields, block in (found[0] if found else [(reason, {}, b"")]):
+            yield start, end, inner, fields, block
 
 
 def _bare(value: str | None) -> str | None:
@@ -185,7 +199,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     ``kind`` is ``record`` or ``gap`` (with its ``reason`` and byte range);
     ``payload_digest`` and ``payload_bytes`` are those of the full payload,
     for revisits as their headers say.  Every byte of an archive but NUL
-    padding is in one record or gap.
+    padding is in one record or gap; those inside one gzip member share its range.
     """
     def read(batches):
         for batch in batches:

@@ -84,3 +84,19 @@ def test_records_directly_behind_damage():
     for broken in (whole[:-12], whole[:20], whole[:-3] + b"\x55" + whole[-2:]):
         found = list(salvage(broken + plain[1] + member(plain[2])))
         assert [f[3].get("warc-record-id") for f in found] == [None, "<1>", "<2>"] and found[0][:2] == (0, len(broken))
+
+
+def test_members_of_several_records():
+    """Every valid record of a member is found, with a gap in the member's range for each bad stretch."""
+    plain = [record(str(i), f"http://x/{i}", b"payload %d " % i * 9, None, "d") for i in range(4)]
+    bad = plain[1].replace(b"payload 1 payload", b"payload 1 pay.oad")
+    ids = lambda found: [f[3]["warc-record-id"] if f[2] is None else f[2] for f in found]
+    one = member(b"".join(plain))
+    assert ids(salvage(one)) == ["<0>", "<1>", "<2>", "<3>"]
+    mixed = member(plain[0] + bad + plain[2] + plain[3][:-30] + plain[3] + b"rubbish")
+    found = list(salvage(b"junk" + mixed + one))
+    assert ids(found) == ["no version line", "<0>", "block digest differs", "<2>", "Content-Length does not fit", "<3>", "no version line",
+                          "<0>", "<1>", "<2>", "<3>"]
+    assert {f[:2] for f in found[1:7]} == {(4, 4 + len(mixed))} and {f[:2] for f in found[7:]} == {(4 + len(mixed), 4 + len(mixed) + len(one))}
+    assert ids(salvage(member(bad + plain[2]))) == ["block digest differs", "<2>"]
+    assert ids(salvage(member(b"") + one)) == ["no version line", "<0>", "<1>", "<2>", "<3>"]
