@@ -30,8 +30,8 @@ _GZIP, _VERSION = b"\x1f\x8b\x08", re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = re.compile(re.escape(_GZIP) + rb"|WARC/1\.[01]\r\n")
 #: fields that every record has once
 _ONCE = {"warc-record-id", "warc-type", "warc-date", "content-length"}
-#: longest header that is read, and the step in which members are inflated
-_HEAD_MAX, _PIECE = 1 << 20, 1 << 15
+#: step in which members are inflated
+_PIECE = 1 << 15
 
 RECORDS = ("archive string, start long, end long, kind string, reason string, record_id string, record_type string, "
            "target_uri string, payload_digest string, payload_bytes long, refers_to string, payload binary")
@@ -95,12 +95,14 @@ def _parse(data: bytes, pos: int) -> tuple[dict, bytes, int] | str:
     """(fields, block, end) of the plain record at ``pos``, or what is wrong with it."""
     if not _VERSION.match(data, pos):
         return "no version line"
-    end = data.find(b"\r\n\r\n", pos, pos + _HEAD_MAX)
-    if end < 0:
-        return "header not ended"
-    fields = {}
-    for line in data[pos:end].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
+    fields, end = {}, data.find(b"\r\n", pos)
+    while True:                                       # a header may be of any length; its first bad line ends the search
+        begin, end = end + 2, data.find(b"\r\n", end + 2)
+        if end < 0:
+            return "header not ended"
+        if begin == end:
+            break
+        name, colon, value = data[begin:end].partition(b":")
         if not colon:
             return "header line without a colon"
         name = name.strip().lower().decode("latin-1")
@@ -109,7 +111,7 @@ def _parse(data: bytes, pos: int) -> tuple[dict, bytes, int] | str:
         fields[name] = value.strip().decode("utf-8", "replace")
     if not re.fullmatch(r"\d{1,18}", fields.get("content-length", "")):
         return "no Content-Length"
-    begin, size = end + 4, int(fields["content-length"])
+    begin, size = end + 2, int(fields["content-length"])
     if data[begin + size: begin + size + 4] != b"\r\n\r\n":
         return "Content-Length does not fit"
     block = data[begin: begin + size]

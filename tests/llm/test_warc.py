@@ -100,3 +100,14 @@ def test_members_of_several_records():
     assert {f[:2] for f in found[1:7]} == {(4, 4 + len(mixed))} and {f[:2] for f in found[7:]} == {(4 + len(mixed), 4 + len(mixed) + len(one))}
     assert ids(salvage(member(bad + plain[2]))) == ["block digest differs", "<2>"]
     assert ids(salvage(member(b"") + one)) == ["no version line", "<0>", "<1>", "<2>", "<3>"]
+
+
+def test_pages_with_long_urls(spark, tmp_path):
+    path, url = str(tmp_path / "warc"), "http://a/" + "u" * (2 << 20)
+    pages = spark.createDataFrame([(1, url, "<p>x</p>"), (2, "http://b", "y"), (3, url, "<p>x</p>")], "page_id long, url string, html string")
+    write_archives(deduplicated_records(pages), path)
+    rows = read_archives(spark, path).collect()
+    assert sorted((r.kind, r.record_id, r.target_uri, r.record_type) for r in rows) == [
+        ("record", "1", url, "response"), ("record", "2", "http://b", "response"), ("record", "3", url, "revisit")]
+    plain = record("1", url, b"x", None, "d")
+    assert [f[2] for f in salvage(plain[:-9] + plain + b"WARC/1.0\r\n")] == ["header field repeated", None, "header not ended"]
