@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from custval.llm.labelled import labelled_sample
 from custval.llm.passage_classifier import DIMS, Network, _RATIOS, encode, quality_scores
 from custval.llm.quality_rules import fit, quality_rules
 from tests.llm.conftest import EDGE_DOCS
@@ -107,3 +108,11 @@ def test_passages_cover_whole_texts():
     data = np.frombuffer(b"".join(texts), np.uint8)
     x, bag = encode(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64))
     assert bag.tolist() == [0, 1, 2, 2, 2, 2, 3, 4] and x.shape == (8, DIMS + _RATIOS) and np.isfinite(x).all()
+
+
+def test_a_sampled_id_has_one_row(spark):
+    """A sampled id on many rows gives one document, the same however the rows are dealt."""
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(2, "two"), (2, None), (3, "three"), (None, "none")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (4, 1), (None, 0)], "doc_id long, quality int")
+    got = [sorted((r.doc_id, bytes(r.data), r.label) for r in labelled_sample(docs.repartition(n), labels, 10).collect()) for n in (1, 7)]
+    assert [(i, label) for i, _, label in got[0]] == [(1, 0), (2, 1)] and got[0] == got[1]
