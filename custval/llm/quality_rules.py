@@ -1,7 +1,8 @@
 """Quality rules: counted base rules and a calibrated hashed n-gram classifier.
 
-The classifier is a logistic regression over hashed word and character n-gram
-features, fitted on a bounded sample of labelled documents; Platt scaling on
+The classifier is a logistic regression over hashed word 1- and 2-gram and byte
+3-gram features (bytes in place of characters: in non-Latin scripts three bytes
+are one character or one and a half), fitted on a bounded sample of labelled documents; Platt scaling on
 the margins of folds that a fit has not seen turns them into probabilities.
 All documents are scored in Arrow batches against fixed thresholds.
 """
