@@ -10,7 +10,7 @@ from custval.build import build, load_canonical
 from custval.params import DEFAULT as P
 from custval.sources.testdata import Inputs, load_inputs
 
-from conftest import SF_SMALL
+from tests.tables import SF_SMALL
 
 
 def test_build_writes_tables(spark):

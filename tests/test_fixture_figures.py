@@ -9,7 +9,7 @@ from custval.plans.aov import cells as C
 from custval.plans.hazard import panel as PN
 from custval.sources.testdata import load_inputs
 
-from conftest import SF_MID
+from tests.tables import SF_MID
 
 
 @pytest.fixture(scope="module")

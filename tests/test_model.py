@@ -12,7 +12,7 @@ from custval.plans.hazard import curve as CV
 from custval.plans.hazard import model as MD
 from custval.queries.hazard_q import matured_panel, scoring_extract
 
-from conftest import SF_SMALL
+from tests.tables import SF_SMALL
 
 
 def test_fit_predict_and_artifact(spark):

@@ -5,7 +5,7 @@ import pytest
 from custval import registry
 from scripts.oracle_check import _hash, _norm
 
-from conftest import SF_SMALL
+from tests.tables import SF_SMALL
 
 QUERIES, SQL = registry.queries(), registry.oracle_sql()
 KEYS = sorted(SQL)
