@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from custval.llm.bpe import round_trip
 from custval.llm.decontaminate import contaminated
+from custval.llm.exact_dedup import exact_groups
 from custval.llm.line_dedup import without_boilerplate
 from custval.llm.passage_classifier import quality_scores
 from custval.llm.quality_rules import quality_rules
@@ -89,6 +90,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(_table(spark, sf_dir, "documents"), keep="largest")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_substring_dedup,
     op2_simhash_dedup,
@@ -100,9 +105,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op8_decontaminate,
     op9_line_dedup,
     op10_quality_rules,
+    op11_exact_dedup,
 )}
 
 ORACLES: dict[str, str] = {
+    "op11_exact_dedup": """
+        WITH plain AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+               sha256(t) AS text_sha256
+        FROM plain WINDOW g AS (PARTITION BY t)""",
     "op9_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line,
