@@ -1,12 +1,23 @@
-"""Joins against summary tables."""
+"""Joins against summary tables, and joins whose heavy keys are spread.
+
+A plain shuffled join sends all rows of a key to one task.  The adaptive skew
+rule splits such a partition only where both inputs are plain exchanges; above
+an aggregate on the same keys it does not apply.  ``join_hot`` looks for heavy
+keys first, in one sketch that merges without a shuffle, deals only their rows
+over several tasks, and copies the other side's rows of these keys to each.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: rows of a side whose size is fixed by construction that may be broadcast without a look at its bytes
 FIXED_ROWS_MAX = 10_000
+#: keys a sketch of heavy keys reports and counters it keeps: its counts err by at most 3.5 / HOT_TRACKED of the rows
+HOT_KEYS, HOT_TRACKED = 1_000, 16_384
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", known_rows: int | None = None) -> DataFrame:
@@ -19,3 +30,52 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", known_ro
     """
     fixed = known_rows is not None and known_rows <= FIXED_ROWS_MAX
     return big.join(F.broadcast(small) if fixed else small, on, how)
+
+
+def pieces_of_hot_keys(df: DataFrame, keys: Sequence[str], weight: int = 1, share: float | None = None) -> dict[int, int]:
+    """Hash of each heavy key of ``df`` -> pieces its rows should be dealt into.
+
+    A key is heavy if it has over ``share`` of all rows (default: a quarter of
+    what a shuffle partition has on average); its pieces hold about that many
+    rows each, times ``weight``.  Null keys count as a key.  One aggregate of
+    fixed size: a sketch of frequent hashes per task, merged; keys whose hashes
+    meet are dealt together, which costs nothing but their copies.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = share if share is not None else max(1 / (4 * parts), 8 / HOT_TRACKED)
+    row = df.select(F.xxhash64(*keys).alias("h")).agg(
+        F.expr(f"approx_top_k(h, {HOT_KEYS}, {HOT_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    total = row["n"] * least
+    return {x["item"]: min(4 * parts, max(2, -(-x["count"] // max(1, int(weight * total))))) for x in row["top"] or [] if x["count"] > total}
+
+
+def join_hot(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", hot: dict[int, int] | None = None,
+             salt_by: Sequence[str] | None = None) -> DataFrame:
+    """``big`` join ``small`` on the columns ``keys`` that both have, heavy keys of ``big`` dealt over several tasks.
+
+    ``how`` is inner, left, left_semi or left_anti.  ``hot`` (by default
+    ``pieces_of_hot_keys(big)``) names the heavy keys, at most ``HOT_KEYS`` of
+    them.  A heavy row's piece is a hash of ``salt_by`` (default: all columns
+    but maps) and of the map task that has it, so equal rows are dealt out too and a
+    task that runs again repeats it.  ``small`` should be bounded per
+    key: its rows of a heavy key are copied to each piece.  Without a heavy key
+    it is a plain join.  Null keys join nothing, as in any equi-join, but are
+    dealt like others; the result has ``big``'s columns, then ``small``'s others.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"join type {how} would repeat the copied rows")
+    hot = pieces_of_hot_keys(big, keys) if hot is None else hot
+    if not hot:
+        return big.join(small, list(keys), how)
+    if len(hot) > HOT_KEYS:
+        raise ValueError(f"{len(hot)} heavy keys; at most {HOT_KEYS} are dealt out")
+    heavy = F.broadcast(big.sparkSession.createDataFrame(list(hot.items()), "__h long, __n int"))      # HOT_KEYS rows at most
+
+    def weighed(df: DataFrame) -> DataFrame:
+        return df.withColumn("__h", F.xxhash64(*keys)).join(heavy, "__h", "left").withColumn("__n", F.coalesce("__n", F.lit(1))).drop("__h")
+
+    by = [f.name for f in big.schema.fields if "map" not in f.dataType.simpleString()] if salt_by is None else list(salt_by)
+    piece = F.when(F.col("__n") > 1, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in by], F.spark_partition_id()), F.col("__n"))).otherwise(0)
+    dealt = weighed(big).withColumn("__piece", piece.cast("int")).drop("__n")
+    copied = weighed(small).withColumn("__piece", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
+    return dealt.join(copied, [*keys, "__piece"], how).select(*[dealt[c] for c in big.columns], *([copied[c] for c in small.columns if c not in keys] if how in ("inner", "left") else []))
