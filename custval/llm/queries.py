@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from custval.llm.bpe import round_trip
 from custval.llm.decontaminate import contaminated
 from custval.llm.exact_dedup import exact_groups
+from custval.llm.lexical_search import ranked_search
 from custval.llm.line_dedup import without_boilerplate
 from custval.llm.passage_classifier import quality_scores
 from custval.llm.quality_rules import quality_rules
@@ -94,6 +95,10 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_substring_dedup,
     op2_simhash_dedup,
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op9_line_dedup,
     op10_quality_rules,
     op11_exact_dedup,
+    op12_lexical_search,
 )}
 
 ORACLES: dict[str, str] = {
@@ -146,6 +152,28 @@ ORACLES: dict[str, str] = {
         SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM ranked WHERE k = 1""",
 }
 
+#: fixed value: the terms of the search
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"
+
+ORACLES["op12_lexical_search"] = f"""
+        WITH docs AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+        corpus AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_all FROM docs),
+        wanted AS (
+            SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+        hits AS (
+            SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM docs)
+            WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+            FROM hits, corpus GROUP BY term),
+        sizes AS (SELECT doc_id, 100 - 25 + ((25 * len(terms) * n_docs) // n_all) AS m FROM docs, corpus),
+        scored AS (
+            SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+            FROM wanted JOIN hits USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id) GROUP BY ALL)
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 20"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

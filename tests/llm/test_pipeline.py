@@ -48,7 +48,7 @@ def test_registered():
 @pytest.mark.parametrize("key", sorted(Q.ORACLES))
 def test_oracles(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     rel = con.execute(Q.ORACLES[key])
     names = [d[0] for d in rel.description]
