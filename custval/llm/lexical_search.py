@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from custval.llm.arrays import binary_buffers, blocks
+from custval.llm.best import Best
 from custval.session import ensure_checkpoint_dir
 
 #: bytes of a text as the automaton reads them: A-Z lower-cased, what separates terms (all ASCII but letters and digits) is the guard NUL
@@ -119,30 +120,6 @@ def scores(block: Block, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, n_te
     return out.reshape(len(n_terms), len(block.items))
 
 
-class Best:
-    """The ``k`` highest-scoring texts of each item; ties by id, null ids last."""
-
-    def __init__(self, n_items: int, k: int):
-        self.k, self.n = k, n_items
-        self.least = np.ones(n_items, np.int64)            # what a text must score to be among the best
-        self.rows = np.empty((4, 0), np.int64)             # item, score, id is null, id
-
-    def add(self, table: np.ndarray, ids: np.ndarray, null: np.ndarray) -> None:
-        doc, item = np.nonzero(table >= self.least)
-        self.rows = np.hstack([self.rows, np.stack([item, table[doc, item], null[doc].astype(np.int64), ids[doc]])])
-        if self.rows.shape[1] > 4 * self.k * self.n:
-            self.cut()
-
-    def cut(self) -> np.ndarray:
-        item, score, null, ids = self.rows
-        rows = self.rows[:, np.lexsort((ids, null, -score, item))]
-        place = np.arange(rows.shape[1]) - np.searchsorted(rows[0], rows[0])
-        self.rows = rows[:, place < self.k]
-        last = rows[:, place == self.k - 1]
-        self.least[last[0]] = np.maximum(last[1], 1)
-        return self.rows
-
-
 def item_terms(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
     """(item_id, term binary, times) of every item."""
     def run(batches):
@@ -191,12 +168,14 @@ def best_of_block(docs: DataFrame, block: Block, k: int, id_col: str, text_col:
 
     def run(batches):
         b = shared.value
-        best = Best(len(b.items), k)
+        best = Best(k, np.ones(len(b.items), np.int64))       # scores above 0
         for batch in batches:
             null = np.asarray(batch["doc_id"].is_null())
             ids = batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
             for a, z, data, cut in blocks(*binary_buffers(batch["data"])):
-                best.add(scores(b, *counts(b, data, cut)), ids[a:z], null[a:z])
+                table = scores(b, *counts(b, data, cut))
+                doc, item = np.nonzero(table >= best.least)
+                best.add(item, table[doc, item], null[a:z][doc], ids[a:z][doc])
         item, score, null, ids = best.cut()
         yield pa.record_batch({"item": pa.array(item), "doc_id": pa.array(ids, mask=null.astype(bool)), "score": pa.array(score),
                                "task": pa.array(np.full(len(item), TaskContext.get().partitionId() % 64))})

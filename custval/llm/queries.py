@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from custval.llm.bpe import round_trip
 from custval.llm.decontaminate import contaminated
 from custval.llm.exact_dedup import exact_groups
+from custval.llm.hard_negatives import hard_negatives
 from custval.llm.lexical_search import ranked_search
 from custval.llm.line_dedup import without_boilerplate
 from custval.llm.passage_classifier import quality_scores
@@ -99,6 +100,12 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_substring_dedup,
     op2_simhash_dedup,
@@ -112,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op10_quality_rules,
     op11_exact_dedup,
     op12_lexical_search,
+    op13_hard_negatives,
 )}
 
 ORACLES: dict[str, str] = {
@@ -174,6 +182,23 @@ ORACLES["op12_lexical_search"] = f"""
         SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
         FROM scored WHERE score > 0 QUALIFY rank <= 20"""
 
+ORACLES["op13_hard_negatives"] = """
+        WITH rows AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+            FROM rows a, rows r WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score QUALIFY rank <= 10"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

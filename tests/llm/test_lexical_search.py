@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from custval.llm import lexical_search as S
+from custval.llm.best import Best
 from tests.llm.conftest import EDGE_DOCS, PASSAGE
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -85,10 +86,11 @@ def test_pieces_end_at_guards():
 
 def test_best_keeps_ties_by_id():
     rng = np.random.default_rng(3)
-    best, rows = S.Best(3, 4), []
-    for _ in range(30):
-        table, ids, null = rng.integers(0, 6, (10, 3)), rng.integers(-50, 50, 10), rng.random(10) < 0.1
-        best.add(table, ids, null)
-        rows += [(i, -int(table[d, i]), bool(null[d]), int(ids[d])) for d in range(10) for i in range(3) if table[d, i] > 0]
+    best, rows = Best(4, np.ones(3)), []
+    for _ in range(300):
+        group, score, ids, null = rng.integers(0, 3, 500), rng.integers(1, 40, 500), rng.integers(-50, 50, 500), rng.random(500) < 0.1
+        some = score >= best.least[group]
+        best.add(group[some], score[some], null[some], ids[some])
+        rows += list(zip(group.tolist(), (-score).tolist(), null.tolist(), ids.tolist()))
     want = [r for i in range(3) for r in sorted(x for x in rows if x[0] == i)[:4]]
     assert [(int(i), -int(s), bool(n), int(d)) for i, s, n, d in best.cut().T] == want

@@ -42,7 +42,7 @@ def test_run_equals_its_stages(spark, stages):
 
 def test_registered():
     names = entry.queries()
-    assert "pipeline" in names and {f"op{n}_" for n in range(1, 11)} <= {k[:k.index("_") + 1] for k in names if k.startswith("op") and k[2].isdigit()}
+    assert "pipeline" in names and {f"op{n}_" for n in range(1, 14)} <= {k[:k.index("_") + 1] for k in names if k.startswith("op") and k[2].isdigit()}
 
 
 @pytest.mark.parametrize("key", sorted(Q.ORACLES))
