@@ -9,6 +9,7 @@ over several tasks, and copies the other side's rows of these keys to each.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,13 @@ from pyspark.sql import functions as F
 FIXED_ROWS_MAX = 10_000
 #: keys a sketch of heavy keys reports and counters it keeps: its counts err by at most 3.5 / HOT_TRACKED of the rows
 HOT_KEYS, HOT_TRACKED = 1_000, 16_384
+#: rows of a key below which dealing it out cannot pay
+HOT_ROWS = 1_000
+
+
+def _pieces(counts: dict[int, int], total: int, parts: int, share: float | None, weight: int, least_share: float) -> dict[int, int]:
+    least = max(HOT_ROWS, total * (share if share is not None else max(1 / (4 * parts), least_share)))
+    return {h: min(4 * parts, max(2, math.ceil(n / (weight * least)))) for h, n in counts.items() if n > least}
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", known_rows: int | None = None) -> DataFrame:
@@ -35,18 +43,30 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", known_ro
 def pieces_of_hot_keys(df: DataFrame, keys: Sequence[str], weight: int = 1, share: float | None = None) -> dict[int, int]:
     """Hash of each heavy key of ``df`` -> pieces its rows should be dealt into.
 
-    A key is heavy if it has over ``share`` of all rows (default: a quarter of
-    what a shuffle partition has on average); its pieces hold about that many
-    rows each, times ``weight``.  Null keys count as a key.  One aggregate of
+    A key is heavy if it has over ``HOT_ROWS`` rows and over ``share`` of all
+    (default: a quarter of what a shuffle partition has on average); its pieces
+    hold about that many rows each, times ``weight``.  Null keys count as a key.  One aggregate of
     fixed size: a sketch of frequent hashes per task, merged; keys whose hashes
     meet are dealt together, which costs nothing but their copies.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    least = share if share is not None else max(1 / (4 * parts), 8 / HOT_TRACKED)
     row = df.select(F.xxhash64(*keys).alias("h")).agg(
         F.expr(f"approx_top_k(h, {HOT_KEYS}, {HOT_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first()
-    total = row["n"] * least
-    return {x["item"]: min(4 * parts, max(2, -(-x["count"] // max(1, int(weight * total))))) for x in row["top"] or [] if x["count"] > total}
+    return _pieces({x["item"]: x["count"] for x in row["top"] or []}, row["n"], parts, share, weight, 8 / HOT_TRACKED)
+
+
+def hot_from_counts(counts: DataFrame, keys: Sequence[str], count_col: str, total: int, weight: int = 1, always_null: bool = False) -> dict[int, int]:
+    """``pieces_of_hot_keys`` where an aggregate already has the rows of each key; null keys if ``always_null``.
+
+    At most four keys per shuffle partition can be that heavy.
+    """
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = counts.where(F.col(count_col) > max(HOT_ROWS, total * max(1 / (4 * parts), 1 / HOT_KEYS))).select(F.xxhash64(*keys).alias("h"), F.col(count_col).alias("n"))
+    hot = _pieces({r["h"]: r["n"] for r in rows.collect()}, total, parts, None, weight, 1 / HOT_KEYS)
+    if always_null:
+        null = counts.sparkSession.range(1).select(F.xxhash64(*[F.lit(None).cast(counts.schema[k].dataType) for k in keys])).first()[0]
+        hot[null] = 4 * parts
+    return hot
 
 
 def join_hot(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", hot: dict[int, int] | None = None,
@@ -67,7 +87,7 @@ def join_hot(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "
     hot = pieces_of_hot_keys(big, keys) if hot is None else hot
     if not hot:
         return big.join(small, list(keys), how)
-    if len(hot) > HOT_KEYS:
+    if len(hot) > HOT_KEYS + 1:
         raise ValueError(f"{len(hot)} heavy keys; at most {HOT_KEYS} are dealt out")
     heavy = F.broadcast(big.sparkSession.createDataFrame(list(hot.items()), "__h long, __n int"))      # HOT_KEYS rows at most
 

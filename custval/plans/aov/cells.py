@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from custval.operators.joins import join_hot
+from custval.operators.persist import materialize
 from custval.params import Params
 
 ORDER_COLS = ["customer_id", "order_id", "order_date", "order_department", "order_is_exotic", "order_value"]
@@ -62,9 +64,20 @@ def positive(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("order_value") > 0)
 
 
+def primary_orders(orders: DataFrame, cohort: DataFrame) -> DataFrame:
+    """Positive ones of ``orders`` whose customer is in the cohort; a customer with very many orders is dealt over several tasks."""
+    return join_hot(positive(orders), cohort.select("customer_id"), ["customer_id"], "left_semi", salt_by=["order_id"])
+
+
 def order_primary(lines: DataFrame, cohort: DataFrame, p: Params) -> DataFrame:
-    """Positive orders of cohort customers (order grain, semi join on customer)."""
-    return positive(all_orders(lines, p)).join(cohort.select("customer_id"), "customer_id", "left_semi")
+    """Positive orders of cohort customers (order grain, semi join on customer); the orders are rolled up and written once."""
+    return primary_orders(materialize(all_orders(lines, p)), cohort)
+
+
+def _cohort_orders(lines: DataFrame, p: Params, ceiling) -> DataFrame:
+    """A1a with the cohort taken from the same rollup."""
+    orders = materialize(all_orders(lines, p))
+    return primary_orders(orders, cohort_of(orders, p, ceiling))
 
 
 def _in_cohort(first_any, p: Params, ceiling):
@@ -84,7 +97,7 @@ def customer_totals(orders: DataFrame, p: Params, ceiling) -> DataFrame:
 
 
 def aov_orders(lines: DataFrame, p: Params) -> DataFrame:
-    return order_primary(lines, acquisition_cohort(lines, p, p.join_ceiling), p)
+    return _cohort_orders(lines, p, p.join_ceiling)
 
 
 def cell_table(orders: DataFrame, p: Params, ceiling, holdout: bool = False) -> DataFrame:
@@ -141,7 +154,7 @@ def aov_cells(lines: DataFrame, p: Params) -> DataFrame:
 
 def holdout_orders(lines: DataFrame, p: Params) -> DataFrame:
     """Positive orders of customers acquired by the train cutoff (holdout cohort)."""
-    return order_primary(lines, acquisition_cohort(lines, p, p.train_cutoff), p)
+    return _cohort_orders(lines, p, p.train_cutoff)
 
 
 def holdout_actuals(orders: DataFrame, p: Params) -> DataFrame:

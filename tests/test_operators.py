@@ -84,3 +84,39 @@ def test_running_sums_cross_partitions_and_groups(spark):
         for k, (v, w) in enumerate(mine, start=1):
             total += w
             assert got[(g, v)] == (k, total, sum(x for _, x in mine))
+
+
+def test_hot_join_equals_plain_and_spreads_rows(spark):
+    """One key with a third of the rows, and as many without a key: no task above three times the median, equal results."""
+    from custval.operators import joins as J
+    n = 60_000
+    big = spark.range(0, n, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id") % 5000).alias("k"), (F.col("id") % 4).cast("string").alias("g"), "id")
+    small = spark.range(0, 5000, 2).select(F.col("id").alias("k"), F.lit("x").alias("w")).union(spark.createDataFrame([(7, "a"), (7, "b"), (None, "n")], "k long, w string"))
+    hot = J.pieces_of_hot_keys(big, ["k"])
+    assert len(hot) == 2 and min(hot.values()) >= 4
+    counts = big.groupBy("k").agg(F.count("*").alias("n"))
+    assert set(J.hot_from_counts(counts.dropna(), ["k"], "n", n, always_null=True)) == set(hot)
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain, dealt = big.join(small, ["k"], how), J.join_hot(big, small, ["k"], how)
+        assert dealt.columns == plain.columns
+        assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+    with pytest.raises(ValueError, match="full"):
+        J.join_hot(big, small, ["k"], "full")
+    assert J.pieces_of_hot_keys(big.where("id < 0"), ["k"]) == {} and J.join_hot(big.where("id < 0"), small, ["k"], "left").count() == 0
+    seen = {}
+    kind = type(big)
+    plain_join = kind.join
+
+    def watch(self, other, on=None, how=None):
+        if on == ["k", "__piece"]:
+            seen["sizes"] = sorted(r["n"] for r in self.repartition(12, *on).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        return plain_join(self, other, on, how)
+
+    try:
+        kind.join = watch
+        J.join_hot(big, small, ["k"], "left", hot={h: 48 for h in hot})
+    finally:
+        kind.join = plain_join
+    sizes = seen["sizes"]
+    assert sum(sizes) == n and len(sizes) == 12 and sizes[-1] <= 3 * sizes[6]
