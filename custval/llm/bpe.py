@@ -27,6 +27,7 @@ from custval.llm.arrays import binary_buffers, blocks
 #: \s
 WHITE_SPACE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, 0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006,
                0x2007, 0x2008, 0x2009, 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+KNOWN_VERSION = "15.1.0"
 #: letters and numbers that Unicode 16 adds to version 15.1
 NEW_LETTERS = ((0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
                (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
@@ -68,8 +69,14 @@ _CLASSES: list[np.ndarray] = []
 
 
 def classes() -> np.ndarray:
-    """LETTER, NUMBER, OTHER or WHITE of every codepoint (made once per process)."""
+    """LETTER, NUMBER, OTHER or WHITE of every codepoint (made once per process).
+
+    The lists above add to version 15.1 of Unicode; an interpreter with another
+    version would split other tokens, so it is refused.
+    """
     if not _CLASSES:
+        if unicodedata.unidata_version != KNOWN_VERSION:
+            raise RuntimeError(f"Unicode {unicodedata.unidata_version}; the classes are complete for {KNOWN_VERSION}")
         kind = {"L": LETTER, "N": NUMBER}
         table = np.fromiter((kind.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8, 0x110000)
         for ranges, symbol in ((NEW_LETTERS, LETTER), (NEW_NUMBERS, NUMBER)):
@@ -209,6 +216,11 @@ class Vocabulary:
         codes, size = decode_utf8(raw)
         at = np.concatenate([[0], np.cumsum(size)])
         begins = offsets[:-1][np.diff(offsets) > 0]
+        if not np.isin(begins, at).all():             # the end of one text and the head of the next read as one character
+            cuts = offsets.tolist()
+            parts = [decode_utf8(raw[a:b]) for a, b in zip(cuts, cuts[1:])]
+            codes, size = (np.concatenate(x) for x in zip(*parts))
+            at = np.concatenate([[0], np.cumsum(size)])
         first = np.zeros(len(codes), bool)
         first[np.searchsorted(at, begins)] = True
         starts = at[token_starts(codes, first)]

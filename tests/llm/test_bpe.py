@@ -82,3 +82,14 @@ def test_empty_table_and_unknown_ids(spark, no_docs):
         decode(bad, PATH).collect()
     none = spark.createDataFrame([(1, None, None, None)], "doc_id long, n_tokens long, ids binary, offsets binary")
     assert decode(none, PATH).head().decoded is None
+
+
+def test_bytes_that_join_across_texts(spark, vocabulary):
+    """What is not UTF-8 in one text never joins the next one's bytes."""
+    raw = [b"\xc3", b"\xa9", b"\xc3", b"\xa9ab", b"", b"\xe6\x97", b"\xa5 x", "\u65e5".encode(), b"\xf0\x9f", b"\x99\x82"]
+    df = spark.createDataFrame(list(enumerate(raw)), "doc_id long, text binary").coalesce(1)
+    out = {r.doc_id: bytes(r.decoded) for r in decode(encode(df, PATH), PATH).collect()}
+    assert out == dict(enumerate(raw))
+    ids = [vocabulary.encode(np.frombuffer(t, np.uint8), np.array([0, len(t)])) for t in raw]
+    whole = {r.doc_id: bytes(r.ids) for r in encode(df, PATH).collect()}
+    assert [whole[k] for k in range(len(raw))] == [x[0] for x in ids]
