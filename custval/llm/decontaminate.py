@@ -165,7 +165,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` without a passage of the benchmark, all columns."""
-    bad = contaminated(docs, benchmark, id_col, text_col, item_col, item_text_col).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs[id_col].cast("bigint") == bad["__bad"], "left_anti")
+          item_col: str = "item_id", item_text_col: str = "text", min_words: int = 3) -> DataFrame:
+    """Rows of ``docs`` without a passage of the benchmark, all columns.
+
+    Rows that share an id go together; a row without an id is searched under a
+    hash of its text and goes or stays by itself.  Hits of fewer than
+    ``min_words`` agreeing words, which only items of one or two words have,
+    remove nothing: ``contaminated`` reports them.  Null and empty texts stay; an
+    empty benchmark removes nothing.
+    """
+    key = F.coalesce(F.col(id_col).cast("bigint"), F.xxhash64(F.col(text_col)))
+    keyed = docs.select(key.alias("key"), F.col(text_col).alias("text"))
+    bad = (contaminated(keyed, benchmark, "key", "text", item_col, item_text_col).where(F.col("agreeing") >= min_words)
+           .select(F.col("doc_id").alias("__bad")).distinct())
+    return docs.join(bad, key == bad["__bad"], "left_anti")
