@@ -31,14 +31,30 @@ def mix64(x: np.ndarray) -> np.ndarray:
 #: a nonzero random value per byte, zero for white space
 BYTE_VALUES = mix64(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 WORD_VALUES = np.where(_IS_SPACE, _U(0), BYTE_VALUES)
-_BASE = _U(0x5851F42D4C957F2D)
+#: places in a word whose byte hashes come from a table
+_PLACES = 64
 
 
-def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    out = np.full(max(n, 1), base, _U)
-    out[0] = 1
-    return np.cumprod(out)
+def placed(values: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each (value, place), zero for value zero.
+
+    A word's hash is the sum over its bytes.  Each byte's part depends on its
+    place through a full mix, not a product, so no two words cancel by their
+    pattern as they would in a polynomial modulo a power of two.
+    """
+    out = mix64(mix64(values + places.astype(_U) * _U(0x9E3779B97F4A7C15)) ^ values)
+    return np.where(values != 0, out, _U(0))
+
+
+_TABLES: dict[bytes, np.ndarray] = {}
+
+
+def _table(values: np.ndarray) -> np.ndarray:
+    """``placed`` of every byte at the first places, flat by place and byte; made once for each set of values."""
+    key = values.tobytes()
+    if key not in _TABLES:
+        _TABLES[key] = placed(np.tile(values, _PLACES), np.repeat(np.arange(_PLACES), 256))
+    return _TABLES[key]
 
 
 def binary_buffers(col) -> tuple[np.ndarray, np.ndarray]:
@@ -93,10 +109,13 @@ class Words:
         lead = self.starts[0]
         nexts = np.append(self.starts[1:], n)
         rel = np.arange(lead, n) - np.repeat(self.starts, nexts - self.starts)
-        longest = int((self.ends - self.starts).max())
-        table = powers(longest)
-        np.minimum(rel, longest - 1, out=rel)   # what lies behind separates words, of value zero
-        self.hash = mix64(np.add.reduceat(values[data[lead:]] * table[rel], self.starts - lead))
+        body = data[lead:]
+        near = np.minimum(rel, _PLACES - 1) * 256 + body
+        parts = _table(values)[near]                    # what lies behind a word separates words, of number zero
+        far = np.flatnonzero(rel >= _PLACES)
+        if len(far):
+            parts[far] = placed(values[body[far]], rel[far])
+        self.hash = mix64(np.add.reduceat(parts, self.starts - lead))
 
 
 def window_hashes(words: Words, size: int, base: np.uint64 = _U(0xD1342543DE82EF95)) -> tuple[np.ndarray, np.ndarray]:

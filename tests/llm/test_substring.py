@@ -126,3 +126,23 @@ def test_words_and_intervals():
     a, b = intervals(np.array([0, 2, 5, 20]), 3)
     assert (a.tolist(), b.tolist()) == ([0, 20], [8, 23])
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_long_words_that_a_polynomial_confuses(spark):
+    """The Thue-Morse word and its complement have the same polynomial hash modulo 2**64, whatever the base."""
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    a, b = ("".join("ab"[x ^ flip] for x in bits) for flip in (0, 1))
+    lead = " ".join(f"w{k}" for k in range(12))
+    rows = [(1, f"{lead} {a}"), (2, f"{lead} {b}"), (3, f"{lead} {a}")]
+    out = remove_repeated_windows(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in out} == {1: 0, 2: 0, 3: 13}
+
+
+def test_word_hashes_tell_places_and_letters_apart():
+    rng = np.random.default_rng(9)
+    words = {bytes(rng.choice([97, 98], int(rng.integers(1, 150))).astype(np.uint8)) for _ in range(4000)} | {b"a" * k for k in range(1, 300)}
+    raw = b" ".join(sorted(words))
+    found = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert len(found.hash) == len(words) == len(set(found.hash.tolist()))
+    again = Words(np.frombuffer(b"  " + raw, np.uint8), np.array([0, len(raw) + 2]))
+    assert (again.hash == found.hash).all()
