@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from custval.operators.joins import hot_from_counts, join_hot
 from custval.operators.persist import materialize
 
-#: sketches of 2**12 registers: three standard errors are 4.9 per cent
-LG_K, MARGIN = 12, 0.05
+#: sketches of 2**12 registers, and eight of their standard errors (a chance of 1e-15 a line, so none is missed among very many)
+LG_K, MARGIN = 12, 0.13
 #: white space other than single spaces
 _BLANK = r"[ \t\n\x0B\f\r]{2,}|[\t\n\x0B\f\r]"
 
@@ -29,15 +30,16 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> Data
             .select("id", "site", "line_no", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2")))
 
 
-def candidate_lines(lines: DataFrame, min_sites: int) -> DataFrame:
-    """``lines`` whose key's sketch of sites estimates ``min_sites`` or nearly, with the estimate; written once.
+def candidate_lines(lines: DataFrame, min_sites: int) -> tuple[DataFrame, dict[int, int]]:
+    """``lines`` whose key's sketch of sites estimates ``min_sites`` or nearly, with the estimate, written once; and the heavy keys.
 
     Each task sketches its own lines, so a line that a third of the documents
-    have costs one small sketch per task.
+    have costs one small sketch per task; its rows are dealt over several tasks.
     """
-    sketched = (lines.groupBy("k1", "k2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("sites"))
-                .where(F.col("sites") >= min_sites * (1 - MARGIN)))
-    return materialize(lines.join(sketched, ["k1", "k2"]))
+    sketched = materialize(lines.groupBy("k1", "k2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("sites"), F.count(F.lit(1)).alias("n"))
+                           .where(F.col("sites") >= min_sites * (1 - MARGIN)))
+    hot = hot_from_counts(sketched, ["k1", "k2"], "n", sketched.agg(F.sum("n")).first()[0] or 0)
+    return materialize(join_hot(lines, sketched.drop("n"), ["k1", "k2"], hot=hot, salt_by=["id", "line_no"])), hot
 
 
 def spread_of(candidates: DataFrame, min_sites: int) -> DataFrame:
@@ -57,9 +59,9 @@ def spread_of(candidates: DataFrame, min_sites: int) -> DataFrame:
 def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
                       min_sites: int = 5) -> DataFrame:
     """(id, removed): the line numbers to cut from each document that has any."""
-    candidates = candidate_lines(lines_of(docs, id_col, text_col, site_col), min_sites)
+    candidates, hot = candidate_lines(lines_of(docs, id_col, text_col, site_col), min_sites)
     spread = spread_of(candidates, min_sites)
-    return (candidates.select("k1", "k2", "id", "line_no").join(spread, ["k1", "k2"])
+    return (join_hot(candidates.select("k1", "k2", "id", "line_no"), spread, ["k1", "k2"], hot=hot, salt_by=["id", "line_no"])
             .where((F.col("id") != F.col("first_id")) | (F.col("line_no") != F.col("first_line")))
             .groupBy("id").agg(F.collect_set("line_no").alias("removed")))
 
