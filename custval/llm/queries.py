@@ -46,8 +46,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _shared_folder(spark, "warc")
     write_archives(deduplicated_records(_table(spark, sf_dir, "pages")), path)
     read = read_archives(spark, path, payloads=False).where("kind = 'record'")
-    return read.select(F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-                       F.col("refers_to").cast("bigint").alias("refers_to"))
+    return read.select(F.col("record_id").try_cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       F.col("refers_to").try_cast("bigint").alias("refers_to"))
 
 
 #: fixed values: the rules of the query
