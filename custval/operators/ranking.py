@@ -105,6 +105,29 @@ def running_totals(df: DataFrame, order: Sequence[Column], values: Sequence[str]
         *[F.col(f"_a_{v}").alias(f"all_{v}") for v in values])
 
 
+def running_before(df: DataFrame, order: Sequence[Column], values: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """``df`` with ``before_<value>``: the sum of each integer column over the earlier rows of the row's group.
+
+    For any number of groups of any size: rows are dealt by ranges of (group,
+    order), so a group with a third of all rows spans many partitions and a
+    small one shares its partition.  Only a partition's first group can have
+    begun before it; what it brings along is one row per partition at most.
+    ``order`` must be total within a group.
+    """
+    keys = [*[F.col(g) for g in group], *order]
+    ranged = materialize(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id()))
+    totals = ranged.groupBy("_pid", *group).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    brought = (totals.select("_pid", *[F.col(g).alias(f"_g_{g}") for g in group], F.count(F.lit(1)).over(earlier).alias("_parts"),
+                             *[F.sum(f"_t_{v}").over(earlier).alias(f"_o_{v}") for v in values])
+               .where("_parts > 0").drop("_parts"))
+    own = F.lit(True)
+    for g in group:
+        own = own & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    out = _local_totals(ranged, group, values).join(F.broadcast(brought), "_pid", "left")
+    return out.select(*df.columns, *[(F.col(f"_l_{v}") - F.col(v) + F.coalesce(F.when(own, F.col(f"_o_{v}")), F.lit(0))).alias(f"before_{v}") for v in values])
+
+
 def exact_auc(scored: DataFrame, score: str, label: str, group: Sequence[str] = ()) -> DataFrame:
     """Exact ROC AUC (ties count one half) per group, label 1 = positive.
 

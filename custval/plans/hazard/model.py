@@ -1,27 +1,28 @@
 """Feature matrix, category vocabulary and the trained hazard classifier.
 
-The classifier is a Spark ML pipeline: low-cardinality categoricals are
-indexed, high-cardinality ones (style, store) are target-encoded with the
-encoder fitted on the FIT split only, NULL numerics are imputed with an
-explicit missing indicator, and a gradient-boosted tree model is trained
-to the round that is best on the VAL split.  Scores will not equal another
-library's boosting output; checks on them are rows-only.
+Categoricals enter as target means: ordered ones for the FIT rows, those of
+all FIT rows elsewhere (``categories``), kept in a table, so no list of
+categories reaches the driver.  NULL numerics are imputed with an explicit
+missing indicator.  Trees are boosted round by round up to the round that is
+best on the VAL split (``boosting``).  Scores will not equal another library's
+boosting output; checks on them are rows-only.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custval.operators.persist import materialize
 from custval.params import Params
+from custval.plans.hazard import categories as CT
+from custval.plans.hazard.boosting import boost
 
 ID_COLS = ["customer_id", "split_rand", "order_date", "next_order_date"]
 LEAKAGE_COLS = ["days_to_next_order"]
@@ -29,7 +30,9 @@ LABEL = "churned_400d"
 CAT_COLS = ["this_order_department", "this_order_style", "this_order_channel", "this_order_store",
             "order_month", "entry_department", "first_product_style", "acq_channel", "acq_store",
             "customer_state"]
-HIGH_CARD = ["this_order_style", "first_product_style", "this_order_store", "acq_store"]
+#: a panel row
+ROW_KEYS = ["customer_id", "order_date"]
+MAX_DEPTH, STEP, MAX_BINS = 6, 0.05, 64
 # The columns above and below must carry the published names.
 BOOL_COLS = ["paid_full_price", "cum_bought_cross_gender", "cum_footwear_plus_nonfootwear",
              "cum_ever_ecomm", "cum_ever_retail", "cum_both_channels", "state_missing"]
@@ -72,39 +75,31 @@ def category_vocab(frame: DataFrame) -> DataFrame:
     return frame.select(pairs.alias("p")).select("p.feature", "p.value").distinct()
 
 
-def _encoders(feats: list[str]) -> Pipeline:
-    low = [c for c in CAT_COLS if c not in HIGH_CARD and c in feats]
-    high = [c for c in HIGH_CARD if c in feats]
+def _assembly(feats: list[str]) -> Pipeline:
+    cats, nums = [c for c in CAT_COLS if c in feats], [c for c in feats if c not in CAT_COLS]
     return Pipeline(stages=[
-        StringIndexer(inputCols=low + high, outputCols=[f"{c}__ix" for c in low + high],
-                      handleInvalid="keep", stringOrderType="alphabetAsc"),
-        TargetEncoder(inputCols=[f"{c}__ix" for c in high], outputCols=[f"{c}__te" for c in high],
-                      labelCol=LABEL, targetType="binary", handleInvalid="keep", smoothing=20.0),
-    ])
-
-
-def _learner(feats: list[str], rounds: int, bins: int) -> Pipeline:
-    low = [c for c in CAT_COLS if c not in HIGH_CARD and c in feats]
-    high = [c for c in HIGH_CARD if c in feats]
-    nums = [c for c in feats if c not in CAT_COLS]
-    # encoded means are continuous: re-derive them so they lose the nominal tag
-    plain = ", ".join(f"{c}__te + 0.0 AS {c}__tn" for c in high)
-    return Pipeline(stages=[
-        SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"),
         Imputer(inputCols=nums, outputCols=[f"{c}__im" for c in nums], strategy="median"),
-        VectorAssembler(inputCols=[f"{c}__ix" for c in low] + [f"{c}__tn" for c in high]
-                        + [f"{c}__im" for c in nums] + [f"{c}__na" for c in nums],
+        VectorAssembler(inputCols=[f"{c}__mean" for c in cats] + [f"{c}__im" for c in nums] + [f"{c}__na" for c in nums],
                         outputCol="features", handleInvalid="keep"),
-        GBTClassifier(labelCol=LABEL, featuresCol="features", maxDepth=6, stepSize=0.1,
-                      maxIter=rounds, maxBins=bins, seed=42),
     ])
 
 
-def _bins(encoders: PipelineModel, feats: list[str]) -> int:
-    """Split bins: at least one per value (and the unseen one) of the widest indexed categorical."""
-    indexer = encoders.stages[0]
-    low = {c for c in CAT_COLS if c not in HIGH_CARD and c in feats}
-    return max([64, *(len(v) + 1 for c, v in zip(indexer.getInputCols(), indexer.labelsArray) if c in low)])
+@dataclass
+class HazardModel:
+    """A fitted classifier: the pipeline behind the category means, their table, and the rate of unknown categories."""
+
+    pipeline: PipelineModel
+    categories: DataFrame
+    prior: float
+    losses: list[float] = field(default_factory=list)
+
+    @property
+    def stages(self) -> list:
+        return self.pipeline.stages
+
+    @property
+    def trees(self) -> list[DecisionTreeRegressionModel]:
+        return [s for s in self.stages if isinstance(s, DecisionTreeRegressionModel)]
 
 
 def _prepare(frame: DataFrame, feats: list[str]) -> DataFrame:
@@ -112,63 +107,67 @@ def _prepare(frame: DataFrame, feats: list[str]) -> DataFrame:
     return frame.select("*", *[F.col(c).isNull().cast("double").alias(f"{c}__na") for c in nums])
 
 
-def fit_hazard_model(panel: DataFrame, p: Params, max_iter: int = 1000, first: int = 32) -> tuple[PipelineModel, list[str]]:
+def training_rows(panel: DataFrame, p: Params) -> DataFrame:
+    """The model frame of the FIT and VAL rows, with their split."""
+    from custval.plans.hazard.curve import split_of
+    frame = model_frame(panel, keep=("customer_id", "order_date", "split_rand"))
+    return (frame.withColumn(LABEL, F.col(LABEL).cast("double")).withColumn("split", split_of(F.col("split_rand"), p))
+            .where(F.col("split") != "test"))
+
+
+def encoded_rows(panel: DataFrame, p: Params) -> tuple[DataFrame, DataFrame, DataFrame, float]:
+    """(FIT rows with ordered category means, VAL rows with the FIT means, the table of FIT means, the overall rate), each written once."""
+    feats = feature_columns(panel.columns)
+    cats = [c for c in CAT_COLS if c in feats]
+    train = materialize(_prepare(training_rows(panel, p), feats))
+    fit_rows, val_rows = train.where(F.col("split") == "fit"), train.where(F.col("split") == "val")
+    prior = CT.prior_of(fit_rows, LABEL)
+    table = materialize(CT.category_means(fit_rows, cats, LABEL, prior))
+    return (materialize(CT.with_ordered_means(fit_rows, cats, LABEL, ROW_KEYS, prior)),
+            materialize(CT.with_category_means(val_rows, table, cats, prior)), table, prior)
+
+
+def fit_hazard_model(panel: DataFrame, p: Params, max_iter: int = 1000, patience: int = 20) -> tuple[HazardModel, list[str]]:
     """Train on FIT rows, keep the round with the smallest VAL loss (TEST rows never seen).
 
-    Rounds double from ``first`` until the best one lies well inside (or
-    ``max_iter`` is reached); boosting is sequential, so the final fit with the
-    best number of rounds is a prefix of the last.  The target encoder sees
-    only FIT rows, so category means never leak from VAL or TEST.
+    Rounds go on until the loss has not fallen for ``patience`` of them (or
+    ``max_iter`` is reached); each is trained once.  Category means see only
+    FIT rows, and a FIT row only those before it.
     """
-    from custval.plans.hazard.curve import split_of
-    frame = model_frame(panel, keep=("customer_id", "order_date", "split_rand"))
-    frame = frame.withColumn(LABEL, F.col(LABEL).cast("double"))
-    frame = frame.withColumn("split", split_of(F.col("split_rand"), p))
     feats = feature_columns(panel.columns)
-    # written once: every encoder, imputer and boosting round reads this table, not the panel's lineage
-    train = materialize(_prepare(frame.where(F.col("split") != "test"), feats))
-    fit_rows = train.where(F.col("split") == "fit")
-    enc = _encoders(feats).fit(fit_rows)
-    encoded = materialize(enc.transform(train))
-    fit_rows, val_rows = encoded.where(F.col("split") == "fit"), encoded.where(F.col("split") == "val")
-    bins, rounds = _bins(enc, feats), min(first, max_iter)
-    while True:
-        learner = _learner(feats, rounds, bins).fit(fit_rows)
-        prepared = PipelineModel(learner.stages[:-1]).transform(val_rows)
-        loss = learner.stages[-1].evaluateEachIteration(prepared)
-        best = min(range(len(loss)), key=lambda i: loss[i]) + 1
-        if best <= 0.8 * rounds or rounds >= max_iter:
-            break
-        rounds = min(2 * rounds, max_iter)
-    if best < rounds:
-        learner = _learner(feats, best, bins).fit(fit_rows)
-    return PipelineModel(stages=enc.stages + learner.stages), feats
-
-
-def predict(model: PipelineModel, frame: DataFrame, feats: list[str]) -> DataFrame:
-    scored = model.transform(_prepare(align_features(frame, feats), feats))
-    return scored.withColumn("churn_prob", vector_to_array("probability")[1])
-
-
-def feature_importance(model: PipelineModel, feats: list[str], top: int = 25) -> list[tuple[str, float]]:
-    """Importances mapped back to names (a driver-size list)."""
-    asm = [s for s in model.stages if isinstance(s, VectorAssembler)][0]
-    gbt = model.stages[-1]
-    names = asm.getInputCols()
-    imp = gbt.featureImportances.toArray()
-    ranked = sorted(zip(names, imp), key=lambda t: -t[1])[:top]
+    fit_rows, val_rows, table, prior = encoded_rows(panel, p)
+    assembly = _assembly(feats).fit(fit_rows)
+    # narrow tables of features, label and margin are all that a round reads
+    fit_rows, val_rows = (materialize(assembly.transform(df).select("features", LABEL)) for df in (fit_rows, val_rows))
+    boosted = boost(fit_rows, val_rows, LABEL, max_iter, patience, MAX_DEPTH, STEP, MAX_BINS)
+    return HazardModel(PipelineModel(stages=[*assembly.stages, *boosted.stages()]), table, prior, boosted.losses), feats
+
+
+def predict(model: HazardModel, frame: DataFrame, feats: list[str]) -> DataFrame:
+    """``frame`` with ``churn_prob``; absent feature columns count as NULL."""
+    aligned = align_features(frame, feats)
+    encoded = CT.with_category_means(_prepare(aligned, feats), model.categories, [c for c in CAT_COLS if c in feats], model.prior)
+    return model.pipeline.transform(encoded).select(*aligned.columns, "churn_prob")
+
+
+def feature_importance(model: HazardModel, feats: list[str], top: int = 25) -> list[tuple[str, float]]:
+    """The trees' importances, by weight, mapped back to names (a driver-size list)."""
+    names = [s for s in model.stages if isinstance(s, VectorAssembler)][0].getInputCols()
+    total = sum((1.0 if k == 0 else STEP) * t.featureImportances.toArray() for k, t in enumerate(model.trees))
+    share = total / total.sum() if total.sum() else total
+    ranked = sorted(zip(names, share), key=lambda t: -t[1])[:top]
     return [(n.split("__")[0] + ("(missing)" if n.endswith("__na") else ""), float(v)) for n, v in ranked]
 
 
 #: what a saved artifact must name
 ARTIFACT_KEYS = ("version", "features", "categorical", "id_columns", "leakage_columns", "label", "group_column", "window_days",
-                 "max_bucket", "horizon", "tiers", "high_churn_cutoff", "r_k", "multipliers")
-ARTIFACT_VERSION = 1
+                 "max_bucket", "horizon", "tiers", "high_churn_cutoff", "r_k", "multipliers", "category_prior")
+ARTIFACT_VERSION = 2
 
 
 @dataclass
 class Artifact:
-    model: PipelineModel
+    model: HazardModel
     meta: dict
     vocab: DataFrame
 
@@ -181,15 +180,16 @@ class Artifact:
         return {int(k): v for k, v in self.meta["multipliers"].items()}
 
 
-def save_artifact(model: PipelineModel, feats: list[str], r: list[float], m: dict[int, float], path: str, p: Params, vocab: DataFrame) -> None:
-    """The fitted pipeline, the category vocabulary, and everything a scoring run needs to know, in one folder."""
-    model.write().overwrite().save(f"{path}/model")
+def save_artifact(model: HazardModel, feats: list[str], r: list[float], m: dict[int, float], path: str, p: Params, vocab: DataFrame) -> None:
+    """The fitted pipeline, its category means, the category vocabulary, and everything a scoring run needs to know, in one folder."""
+    model.pipeline.write().overwrite().save(f"{path}/model")
+    model.categories.write.mode("overwrite").parquet(f"{path}/categories")
     vocab.write.mode("overwrite").parquet(f"{path}/vocab")
     meta = {"version": ARTIFACT_VERSION, "features": feats, "categorical": [c for c in CAT_COLS if c in feats], "id_columns": ID_COLS,
             "leakage_columns": LEAKAGE_COLS, "label": LABEL, "group_column": "customer_id", "window_days": p.window_days,
             "max_bucket": p.max_bucket, "horizon": p.horizon, "tiers": {"High": p.tier_high, "Medium": p.tier_medium},
             "high_churn_cutoff": p.high_churn_cutoff, "r_k": list(r), "multipliers": {str(k): v for k, v in m.items()},
-            "as_of": p.as_of.isoformat()}
+            "category_prior": model.prior, "as_of": p.as_of.isoformat()}
     vocab.sparkSession.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
 
@@ -201,7 +201,8 @@ def load_artifact(spark: SparkSession, path: str) -> Artifact:
         raise ValueError(f"{path} lacks {missing}")
     if meta["version"] != ARTIFACT_VERSION:
         raise ValueError(f"{path} has version {meta['version']}, not {ARTIFACT_VERSION}")
-    return Artifact(PipelineModel.load(f"{path}/model"), meta, spark.read.parquet(f"{path}/vocab"))
+    model = HazardModel(PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/categories"), meta["category_prior"])
+    return Artifact(model, meta, spark.read.parquet(f"{path}/vocab"))
 
 
 def score_from_artifact(artifact: Artifact, latest: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from custval.operators.ranking import exact_auc
 from custval.params import DEFAULT as P
+from custval.oracle import model as om
+from custval.plans.hazard import categories as CT
 from custval.plans.hazard import curve as CV
 from custval.plans.hazard import model as MD
 from custval.queries.hazard_q import matured_panel
@@ -21,6 +23,29 @@ def trained(spark, sf_dir):
     return _MODELS[key]
 
 
+def _fit_rows(spark, sf_dir):
+    """FIT rows of the panel's model frame, pruned to the categories and the label; the categories; the overall rate."""
+    from custval.operators.persist import materialize
+    panel = matured_panel(spark, sf_dir)
+    rows = MD.training_rows(panel.select(*MD.ROW_KEYS, "split_rand", MD.LABEL, *MD.CAT_COLS), P).where(F.col("split") == "fit")
+    rows = materialize(rows)
+    return rows, CT.prior_of(rows, MD.LABEL)
+
+
+@register("ordered_category_means", om.sql_ordered_means)
+def ordered_category_means(spark, sf_dir):
+    """Per FIT row and categorical feature the smoothed mean over the rows before it in the hashed order."""
+    rows, prior = _fit_rows(spark, sf_dir)
+    return rounded(CT.ordered_means(rows, MD.CAT_COLS, MD.LABEL, MD.ROW_KEYS, prior), {"mean": 8})
+
+
+@register("category_means", om.sql_category_means)
+def category_means(spark, sf_dir):
+    """Per categorical feature and value the smoothed mean over all FIT rows."""
+    rows, prior = _fit_rows(spark, sf_dir)
+    return rounded(CT.category_means(rows, MD.CAT_COLS, MD.LABEL, prior), {"mean": 8})
+
+
 def model_scored(spark, sf_dir):
     model, feats = trained(spark, sf_dir)
     panel = matured_panel(spark, sf_dir)

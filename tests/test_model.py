@@ -1,13 +1,19 @@
 """Trained hazard classifier: fit on FIT rows, score TEST rows, artifact round trip."""
 
+import hashlib
 import json
 import tempfile
 
 import pytest
-
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from custval.params import DEFAULT as P
+from custval.plans.hazard import boosting
+from custval.plans.hazard import categories as CT
 from custval.plans.hazard import curve as CV
 from custval.plans.hazard import model as MD
 from custval.queries.hazard_q import matured_panel, scoring_extract
@@ -56,4 +62,59 @@ def test_artifact_without_a_key_or_of_another_version_is_refused(spark):
 def test_more_categories_than_the_default_bins(spark):
     panel = matured_panel(spark, SF_SMALL).withColumn("customer_state", F.concat(F.lit("S"), F.pmod(F.hash("customer_id", "order_seq"), F.lit(130)).cast("string")))
     model, feats = MD.fit_hazard_model(panel, P, max_iter=1)
-    assert model.stages[-1].getMaxBins() > 64
+    assert len(model.trees) == 1 and model.categories.where("feature = 'customer_state'").count() > MD.MAX_BINS
+    assert not [s for s in model.stages if hasattr(s, "labels") or hasattr(s, "labelsArray")]        # no vocabulary in the pipeline
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    """A learnable label on two features: (training, validation) frames."""
+    rows = spark.range(4000).select(
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 1000.0).alias("a"), (F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1000)) / 1000.0).alias("b"),
+        (F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1000)) / 1000.0).alias("noise"), "id")
+    rows = rows.withColumn("y", (F.col("a") * F.col("b") + 0.4 * F.col("noise") > 0.45).cast("double"))
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).select("features", "y", "id").cache()
+    return rows.where("id % 4 > 0"), rows.where("id % 4 = 0")
+
+
+def test_every_round_is_trained_once_and_equals_a_direct_fit(points, monkeypatch):
+    """The kept trees are those of a plain fit of the best round; the best round has the least validation loss."""
+    fits = []
+    fit = boosting.DecisionTreeRegressor.fit
+    monkeypatch.setattr(boosting.DecisionTreeRegressor, "fit", lambda self, df, *a: (fits.append(self.getSeed()), fit(self, df, *a))[1])
+    got = boosting.boost(*points, "y", max_rounds=40, patience=6, depth=3, step=0.3, bins=32, cut_every=4)
+    monkeypatch.undo()
+    assert len(fits) == len(set(fits)) == len(got.losses) and len(got.trees) == got.losses.index(min(got.losses)) + 1
+    assert 2 < len(got.trees) <= 40 and (len(got.losses) == 40 or len(got.losses) == len(got.trees) + 6)
+    direct = GBTClassifier(labelCol="y", maxIter=len(got.trees), maxDepth=3, stepSize=0.3, maxBins=32, seed=42).fit(points[0])
+    scored = PipelineModel(stages=got.stages()).transform(direct.transform(points[1]).withColumnRenamed("prediction", "p"))
+    worst = scored.agg(F.max(F.abs(vector_to_array("probability")[1] - F.col("churn_prob")))).first()[0]
+    assert worst < 1e-9
+    assert direct.evaluateEachIteration(points[1])[-1] == pytest.approx(min(got.losses))
+
+
+def test_boosting_without_validation_rows_keeps_all_rounds(points):
+    assert len(boosting.boost(points[0], points[1].where("false"), "y", max_rounds=3, depth=2).trees) == 3
+
+
+def test_ordered_means_leave_out_the_row_and_spread_a_hot_category(spark):
+    """Against a plain loop; a category with most rows spans the partitions; nulls are a category; an empty table gives none."""
+    rows = [(k, f"d{k}", None if k % 11 == 0 else "hot" if k % 3 else f"c{k % 40}", k % 5, int(k * 7919 % 10 < 4)) for k in range(1200)]
+    df = spark.createDataFrame(rows, "k long, d string, cat string, num int, y int").repartition(5)
+    out = CT.ordered_means(df, ["cat", "num"], "y", ["k", "d"], 0.3).collect()
+    assert len(out) == 2400
+    seen, got = {}, {(r.k, r.feature): (r.value, r.n_before, r.positives_before, r.mean) for r in out}
+    key = lambda r: hashlib.md5(f"{r[0]}|{r[1]}|{CT.ORDER_SEED}".encode()).hexdigest()
+    for k, _, cat, num, y in sorted(rows, key=key):
+        for name, value in (("cat", "missing" if cat is None else cat), ("num", str(num))):
+            n, pos = seen.get((name, value), (0, 0))
+            assert got[k, name][:3] == (value, n, pos) and got[k, name][3] == pytest.approx((pos + 20 * 0.3) / (n + 20))
+            seen[name, value] = n + 1, pos + y
+    table = {(r.feature, r.value): (r.n, r.positives) for r in CT.category_means(df, ["cat", "num"], "y", 0.3).collect()}
+    assert table == seen
+    new = spark.createDataFrame([(1, "hot", None), (2, "never", 3), (3, None, 4)], "k long, cat string, num int")
+    back = {r.k: (r.cat__mean, r.num__mean) for r in CT.with_category_means(new, CT.category_means(df, ["cat", "num"], "y", 0.3), ["cat", "num"], 0.3).collect()}
+    assert back[2][0] == 0.3 and back[1][1] == 0.3 and back[3][0] == pytest.approx((table["cat", "missing"][1] + 6) / (table["cat", "missing"][0] + 20))
+    wide = CT.with_ordered_means(df, ["cat", "num"], "y", ["k", "d"], 0.3)
+    assert wide.count() == 1200 and wide.where("cat__mean is null or num__mean is null").count() == 0
+    assert CT.ordered_means(df.where("false"), ["cat"], "y", ["k", "d"], 0.5).collect() == [] and CT.prior_of(df.where("false"), "y") == 0.5
