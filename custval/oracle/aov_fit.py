@@ -83,6 +83,20 @@ def cell_premiums() -> str:
   {R('gamma_cell')} AS gamma_cell, {R('premium')} AS premium FROM prem""")
 
 
+def exotic_normal_equations() -> str:
+    return _with_extra(
+        """names AS (SELECT DISTINCT 'dept:' || order_department AS name FROM cm UNION SELECT 'exotic' UNION SELECT 'y')""",
+        """vals AS (
+  SELECT customer_id, order_department, order_is_exotic, CAST(n_orders AS DOUBLE) AS w, name,
+         CASE WHEN name = 'y' THEN cell_mean_log WHEN name = 'exotic' THEN CAST(order_is_exotic AS INT)
+              ELSE CAST(name = 'dept:' || order_department AS INT) END AS x FROM cm, names)""",
+        """demeaned AS (
+  SELECT *, x - SUM(w * x) OVER (PARTITION BY customer_id, name) / SUM(w) OVER (PARTITION BY customer_id, name) AS d FROM vals)""",
+        body=f"""SELECT a.name AS row_name, b.name AS col_name, {R('SUM(a.w * a.d * b.d)')} AS total
+FROM demeaned a JOIN demeaned b USING (customer_id, order_department, order_is_exotic) WHERE a.name <= b.name
+GROUP BY a.name, b.name HAVING abs(SUM(a.w * a.d * b.d)) > 1e-6""")
+
+
 def exotic_premium_by_dept() -> str:
     return _with_extra(
         """wide AS (

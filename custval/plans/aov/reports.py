@@ -68,45 +68,57 @@ def exotic_mix(f: AovFit) -> DataFrame:
         F.count(F.when(multi, 1)).alias("customers_multi"))
 
 
+#: the name of the exotic column among the regressors; the others are the departments
+EXOTIC = "exotic"
+
+
+def normal_equations(f: AovFit) -> DataFrame:
+    """X'WX and X'Wy of the customer-demeaned regression of cell mean log value on exotic and department, as rows.
+
+    A cell is a few (column, value) pairs: one for its department, one for
+    exotic if it is, and ``y``.  With the customer's means subtracted, the sum
+    of n (a - mean a)(b - mean b) over cells is the sum of n a b minus N mean a
+    mean b over customers, so only columns that meet in a customer make a
+    product, and the width of the matrix is rows, never columns.  Returns
+    ``row_name`` <= ``col_name`` and ``total``; pairs that never meet are left
+    out (zero).
+    """
+    one = lambda name: F.struct(name.alias("name"), L(1.0).alias("value"))
+    pairs = F.concat(F.array(one(F.concat(L("dept:"), F.col("order_department"))), F.struct(L("y").alias("name"), F.col("cell_mean_log").alias("value"))),
+                     F.when(F.col("order_is_exotic"), F.array(one(L(EXOTIC)))).otherwise(F.array().cast("array<struct<name:string,value:double>>")))
+    cells = f.cells.select("customer_id", F.col("n_orders").cast("double").alias("w"), pairs.alias("pairs"))
+
+    def products(df, weight):
+        """Sum of weight * a * b by pair of names in a row's ``pairs``, each unordered pair once."""
+        left = df.select("pairs", F.explode("pairs").alias("a"), weight.alias("w"))
+        both = left.select("a", "w", F.explode("pairs").alias("b")).where(F.col("a.name") <= F.col("b.name"))
+        return both.groupBy(F.col("a.name").alias("row_name"), F.col("b.name").alias("col_name")).agg(F.sum(F.col("w") * F.col("a.value") * F.col("b.value")).alias("s"))
+
+    # per customer the weighted sum of each column it has: no more columns than it has departments, and two
+    sums = (cells.select("customer_id", "w", F.explode("pairs").alias("p")).groupBy("customer_id", F.col("p.name").alias("name"))
+            .agg(F.sum(F.col("w") * F.col("p.value")).alias("value")))
+    weight = cells.groupBy("customer_id").agg(F.sum("w").alias("n"))
+    per = sums.groupBy("customer_id").agg(F.collect_list(F.struct("name", "value")).alias("pairs")).join(weight, "customer_id")
+    inner, outer = products(cells, F.col("w")), products(per, -1.0 / F.col("n"))
+    return inner.unionByName(outer).groupBy("row_name", "col_name").agg(F.sum("s").alias("total"))
+
+
 def exotic_within_effect(f: AovFit) -> DataFrame:
-    """Customer-demeaned weighted least squares of cell mean log on exotic +
-    department dummies (no intercept).  X'WX and X'Wy are aggregates; the
-    small system is solved with a least-norm pseudo-inverse on the driver."""
+    """The within-customer exotic effect from ``normal_equations``; the small system (departments + 1)
+    is solved with a least-norm pseudo-inverse on the driver."""
     import numpy as np
 
-    depts = [r[0] for r in f.premiums.select("order_department").distinct()
-             .orderBy("order_department").collect()]
-    xs = [F.col("order_is_exotic").cast("double")] + [
-        (F.col("order_department") == d).cast("double") for d in depts]
-    names = ["exotic"] + [f"d{i}" for i in range(len(depts))]
-    c = f.cells.select("customer_id", "n_orders", "cell_mean_log",
-                       *[x.alias(n) for x, n in zip(xs, names)])
-    from pyspark.sql import Window
-    w = Window.partitionBy("customer_id")
-    wsum = F.sum("n_orders").over(w)
-    cols = names + ["cell_mean_log"]
-    dm = c.select("n_orders", *[(F.col(n) - F.sum(F.col(n) * F.col("n_orders")).over(w) / wsum).alias(n)
-                                for n in cols])
-    aggs = []
-    for i, a in enumerate(names):
-        for b in names[i:]:
-            aggs.append(F.sum(F.col("n_orders") * F.col(a) * F.col(b)).alias(f"xx_{a}_{b}"))
-        aggs.append(F.sum(F.col("n_orders") * F.col(a) * F.col("cell_mean_log")).alias(f"xy_{a}"))
-    aggs.append(F.sum("n_orders").alias("wsum"))
-    r = dm.agg(*aggs).first()
-    k = len(names)
-    xtx = np.zeros((k, k))
-    for i, a in enumerate(names):
-        for j in range(i, k):
-            xtx[i, j] = xtx[j, i] = r[f"xx_{a}_{names[j]}"]
-    xty = np.array([r[f"xy_{a}"] for a in names])
+    rows = {(r["row_name"], r["col_name"]): r["total"] for r in normal_equations(f).collect()}       # departments squared at most
+    names = sorted({n for pair in rows for n in pair if n != "y"} | {EXOTIC})
+    at = lambda a, b: rows.get((min(a, b), max(a, b)), 0.0)
+    xtx = np.array([[at(a, b) for b in names] for a in names])
+    xty = np.array([at(a, "y") for a in names])
     coef = np.linalg.pinv(xtx, rcond=1e-10, hermitian=True) @ xty
-    within_var = r["xx_exotic_exotic"] / r["wsum"]
-    d = float(coef[0])
-    return c.agg(F.count(F.lit(1)).alias("cells")).select(
-        "cells", L(d).alias("delta_within"), F.exp(L(d)).alias("exp_delta_within"),
-        L(float(within_var)).alias("within_var"),
-        L(bool(within_var < 1e-8)).alias("exotic_is_type"))
+    d = float(coef[names.index(EXOTIC)])
+    within = F.try_divide(L(float(at(EXOTIC, EXOTIC))), F.sum("n_orders"))
+    return f.cells.agg(F.count(F.lit(1)).alias("cells"), within.alias("within_var")).select(
+        "cells", L(d).alias("delta_within"), F.exp(L(d)).alias("exp_delta_within"), "within_var",
+        (F.col("within_var") < 1e-8).alias("exotic_is_type"))
 
 
 def sigma_resid(f: AovFit) -> DataFrame:

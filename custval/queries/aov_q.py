@@ -77,6 +77,7 @@ D4 = 4
 _report("cell_moments", REP.cell_moments_report, ofit.cell_moments)
 _report("cell_premiums", REP.cell_premiums, ofit.cell_premiums)
 _report("exotic_premium_by_dept", REP.exotic_premium_by_dept, ofit.exotic_premium_by_dept)
+_report("exotic_normal_equations", lambda f: REP.normal_equations(f).where("abs(total) > 1e-6"), ofit.exotic_normal_equations)
 _report("exotic_within_effect", REP.exotic_within_effect, None)
 _report("exotic_mix", REP.exotic_mix, ofit.exotic_mix)
 _report("sigma_resid", REP.sigma_resid, ofit.sigma_resid)

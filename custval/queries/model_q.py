@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from custval.operators.ranking import exact_auc
 from custval.params import DEFAULT as P
+from custval.operators.persist import materialize
 from custval.oracle import model as om
 from custval.plans.hazard import categories as CT
 from custval.plans.hazard import curve as CV
 from custval.plans.hazard import model as MD
+from custval.plans.hazard import panel as PN
+from custval.plans.pltv import validate as V
+from custval.queries.aov_q import holdout_fit
 from custval.queries.hazard_q import matured_panel
 from custval.registry import app_key, register, rounded
+from custval.sources.testdata import load_inputs
 
+PC = V.cutoff_params(P)
 _MODELS: dict = {}
 
 
@@ -25,7 +31,6 @@ def trained(spark, sf_dir):
 
 def _fit_rows(spark, sf_dir):
     """FIT rows of the panel's model frame, pruned to the categories and the label; the categories; the overall rate."""
-    from custval.operators.persist import materialize
     panel = matured_panel(spark, sf_dir)
     rows = MD.training_rows(panel.select(*MD.ROW_KEYS, "split_rand", MD.LABEL, *MD.CAT_COLS), P).where(F.col("split") == "fit")
     rows = materialize(rows)
@@ -46,13 +51,18 @@ def category_means(spark, sf_dir):
     return rounded(CT.category_means(rows, MD.CAT_COLS, MD.LABEL, prior), {"mean": 8})
 
 
+_TEST_ROWS: dict = {}
+
+
 def model_scored(spark, sf_dir):
-    model, feats = trained(spark, sf_dir)
-    panel = matured_panel(spark, sf_dir)
-    frame = MD.model_frame(panel, keep=("customer_id", "order_date", "split_rand"))
-    test = frame.where(CV.split_of(F.col("split_rand"), P) == "test")
-    return MD.predict(model, test, feats).select(
-        "customer_id", "order_date", "order_seq", "churned_400d", "churn_prob")
+    """The TEST rows with the trained model's score, written once per application and input."""
+    key = (app_key(spark), sf_dir)
+    if key not in _TEST_ROWS:
+        model, feats = trained(spark, sf_dir)
+        frame = MD.model_frame(matured_panel(spark, sf_dir), keep=("customer_id", "order_date", "split_rand"))
+        test = frame.where(CV.split_of(F.col("split_rand"), P) == "test")
+        _TEST_ROWS[key] = materialize(MD.predict(model, test, feats).select("customer_id", "order_date", "order_seq", "churned_400d", "churn_prob"))
+    return _TEST_ROWS[key]
 
 
 @register("churn_model_scores")
@@ -62,13 +72,13 @@ def churn_model_scores(spark, sf_dir):
 
 @register("churn_model_metrics")
 def churn_model_metrics(spark, sf_dir):
-    s = model_scored(spark, sf_dir).withColumn("seq_bucket", F.least(F.col("order_seq").cast("int"), F.lit(P.max_bucket)))
-    by = exact_auc(s, "churn_prob", "churned_400d", ["seq_bucket"])
-    n = s.groupBy("seq_bucket").agg(F.count(F.lit(1)).alias("n"), F.avg("churned_400d").alias("churn_rate"))
-    overall = exact_auc(s, "churn_prob", "churned_400d").first()["auc"]
-    ap = CV.ranking_metrics(s.withColumn("split", F.lit("test"))).first()["average_precision"]
-    return rounded(n.join(by.select("seq_bucket", "auc"), "seq_bucket", "left")
-                   .withColumn("overall_auc", F.lit(overall)).withColumn("average_precision", F.lit(ap)))
+    """C11, C12 on the trained model, from one running pass: per stage, with the overall figures beside."""
+    summary = CV.ranking_summary(CV.ranked_scores(model_test_rows(spark, sf_dir)))
+    overall = F.struct("auc", "average_precision")
+    whole = F.max(F.when(F.col("scope") == 0, overall)).over(Window.partitionBy(F.lit(1)))          # nine rows
+    return rounded(summary.withColumn("whole", whole).where("scope > 0").select(
+        F.col("scope").alias("seq_bucket"), "n", (F.col("positives") / F.col("n")).alias("churn_rate"), "auc",
+        F.col("whole.auc").alias("overall_auc"), F.col("whole.average_precision").alias("average_precision")))
 
 
 @register("feature_importance")
@@ -116,3 +126,56 @@ def model_value_scores(spark, sf_dir):
 def pltv_scores_model(spark, sf_dir):
     return rounded(model_value_scores(spark, sf_dir), {"realized_value": 4, "expected_aov": 4,
                                                        "remaining_pltv": 4, "total_pltv": 4})
+
+
+# --- the validation protocol on the trained model (V1-V11, C14) ------------------------------------
+
+_HOLDOUT: dict = {}
+
+
+def model_holdout(spark, sf_dir):
+    """(validation frame, repeat curve as of the cutoff) of a model trained on what was known at the train cutoff.
+
+    Panel, split, training, curve and scored rows are those of a run at the
+    cutoff; what customers did behind it is only compared.  Written once per
+    application and input.
+    """
+    key = (app_key(spark), sf_dir)
+    if key not in _HOLDOUT:
+        i = load_inputs(spark, sf_dir)
+        panel_all = materialize(PN.cohort_panel(i.lines, i.products, i.customers, PC))
+        panel, latest = PN.matured_rows(panel_all, PC), PN.latest_rows(panel_all)
+        model, feats = MD.fit_hazard_model(panel, PC)
+        test = MD.model_frame(panel, keep=("customer_id", "order_date", "split_rand")).where(CV.split_of(F.col("split_rand"), PC) == "test")
+        scored = (MD.predict(model, test, feats).withColumn("p_repeat", 1 - F.col("churn_prob")).withColumn("split", F.lit("test"))
+                  .withColumn("seq_bucket", F.least(F.col("order_seq").cast("int"), F.lit(PC.max_bucket))))
+        r = CV.curve_values(CV.hazard_curve(scored, PC))
+        rows = latest.join(MD.predict(model, MD.model_frame(latest, keep=("customer_id",)), feats).select("customer_id", "churn_prob"), "customer_id")
+        frame = V.holdout_frame(i.lines, rows, P, holdout_fit(spark, sf_dir), r, CV.multipliers(r, PC.horizon), V.orders_in_window(panel, P),
+                                score=F.col("churn_prob"))
+        _HOLDOUT[key] = materialize(frame), r
+    return _HOLDOUT[key]
+
+
+def _protocol(key, fn, digits=None):
+    def build(spark, sf_dir):
+        return rounded(fn(*model_holdout(spark, sf_dir)), digits or {})
+    build.__name__ = key
+    register(key)(build)
+
+
+_protocol("model_val_frequency_aov_interaction", lambda f, r: V.frequency_aov_interaction(f), {"mean_predicted_aov": 4, "mean_realized_aov": 4})
+_protocol("model_val_decile_dollars", lambda f, r: V.decile_dollars(f), {"mean_predicted": 4, "mean_realized": 4})
+_protocol("model_val_aggregate_bias", lambda f, r: V.aggregate_bias(f), {"predicted_total": 2, "realized_total": 2})
+_protocol("model_val_rank_quality", lambda f, r: V.rank_quality(f))
+_protocol("model_val_gains", lambda f, r: V.gains(f))
+_protocol("model_val_segment_calibration", lambda f, r: V.segment_calibration(f), {"predicted_total": 2, "realized_total": 2})
+_protocol("model_val_horizon_sensitivity", lambda f, r: V.horizon_sensitivity(f, r, PC), {"predicted_total": 2})
+
+
+@register("model_projection_backtest")
+def model_projection_backtest(spark, sf_dir):
+    """C14 on the trained model: expected and actual later orders of the TEST rows."""
+    rows = model_test_rows(spark, sf_dir)
+    r = CV.curve_values(CV.hazard_curve(rows, P))
+    return rounded(CV.projection_backtest(rows, CV.multipliers(r, P.horizon), P))

@@ -84,5 +84,6 @@ def reset_caches() -> None:
     pltv_q._SCORES.clear()
     validate_q._FRAMES.clear()
     aov_q._FITS.clear()
-    model_q._MODELS.clear()
+    for memo in (model_q._MODELS, model_q._TEST_ROWS, model_q._HOLDOUT):
+        memo.clear()
     pltv_q._CURVES.clear()

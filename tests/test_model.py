@@ -16,10 +16,13 @@ from custval.plans.hazard import boosting
 from custval.plans.hazard import categories as CT
 from custval.plans.hazard import curve as CV
 from custval.plans.hazard import model as MD
+from custval.plans.pltv.validate import cutoff_params
 from custval.queries.hazard_q import matured_panel, scoring_extract
 
 from tests.tables import SF_SMALL
 
+CP = cutoff_params(P)
+
 
 def test_fit_predict_and_artifact(spark):
     panel = matured_panel(spark, SF_SMALL)
@@ -118,3 +121,86 @@ def test_ordered_means_leave_out_the_row_and_spread_a_hot_category(spark):
     wide = CT.with_ordered_means(df, ["cat", "num"], "y", ["k", "d"], 0.3)
     assert wide.count() == 1200 and wide.where("cat__mean is null or num__mean is null").count() == 0
     assert CT.ordered_means(df.where("false"), ["cat"], "y", ["k", "d"], 0.5).collect() == [] and CT.prior_of(df.where("false"), "y") == 0.5
+
+
+def test_protocol_on_the_trained_model(spark):
+    """V1-V7 and C14 run on the model's scores: one row per customer scored at the cutoff, TEST rows only behind the curve."""
+    from custval import registry
+    q = registry.queries()
+    from custval.queries.model_q import model_holdout, model_scored
+    frame, r = model_holdout(spark, SF_SMALL)
+    assert len(r) == P.max_bucket and all(0 <= x <= 1 for x in r)
+    assert frame.count() == frame.select("customer_id").distinct().count() == scoring_extract(spark, SF_SMALL, CP).count()
+    assert frame.where("churn_prob < 0 or churn_prob > 1 or remaining_pltv < 0 or window_pltv > remaining_pltv + 1e-6").count() == 0
+    scored = frame.where("expected_aov is not null").count()
+    deciles = q["model_val_decile_dollars"](spark, SF_SMALL).collect()
+    assert len(deciles) == 10 and sum(x.customers for x in deciles) == scored
+    base = [x for x in q["model_val_horizon_sensitivity"](spark, SF_SMALL).collect() if x.horizon == P.horizon]
+    assert base[0].spearman_vs_base == 1.0
+    for key in ("model_val_frequency_aov_interaction", "model_val_aggregate_bias", "model_val_rank_quality", "model_val_gains",
+                "model_val_segment_calibration", "model_projection_backtest"):
+        assert q[key](spark, SF_SMALL).count() > 0, key
+    panel = matured_panel(spark, SF_SMALL)
+    assert model_scored(spark, SF_SMALL).count() == CV.test_rows(CV.with_scores(panel, P)).count()
+    metrics = q["churn_model_metrics"](spark, SF_SMALL).collect()
+    assert sum(x.n for x in metrics) == model_scored(spark, SF_SMALL).count() and len({x.overall_auc for x in metrics}) == 1
+
+
+def test_one_pass_ranking_against_pairs(spark):
+    """AUC by pairs, average precision by thresholds and the ROC points, with ties, a stage of one class, and no rows at all."""
+    rows = [(k, "test" if k % 10 else "fit", k % 4 + 1, (k * 37 % 23) / 23.0, int(k % 4 and k * 31 % 7 < 3)) for k in range(400)]
+    df = spark.createDataFrame(rows, "customer_id long, split string, seq_bucket int, churn_prob double, churned_400d int")
+    test = [r for r in rows if r[1] == "test"]
+
+    def auc(some):
+        pos, neg = [r[3] for r in some if r[4]], [r[3] for r in some if not r[4]]
+        return sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg)) if pos and neg else None
+    by = {r.seq_bucket: r for r in CV.auc_by_stage(df).collect()}
+    assert set(by) == {1, 2, 3, 4} and by[1].auc is None and by[1].churn_rate == 0
+    for s in (2, 3, 4):
+        own = [r for r in test if r[2] == s]
+        assert by[s].auc == pytest.approx(auc(own)) and by[s].n == len(own) and by[s].churn_rate == pytest.approx(sum(r[4] for r in own) / len(own))
+    s = CV.auc_summary(df).first()
+    weighted = sum(by[k].auc * by[k].n for k in (2, 3, 4)) / sum(by[k].n for k in (2, 3, 4))
+    assert (s.overall_auc, s.weighted_auc, s.gap, s.stages) == pytest.approx((auc(test), weighted, auc(test) - weighted, 3))
+    cuts = sorted({r[3] for r in test}, reverse=True)
+    total, points, ap, last = sum(r[4] for r in test), [], 0.0, 0
+    for c in cuts:
+        above = [r for r in test if r[3] >= c]
+        hit = sum(r[4] for r in above)
+        ap, last = ap + (hit - last) / total * hit / len(above), hit
+        points.append((c, (len(above) - hit) / (len(test) - total), hit / total))
+    m = CV.ranking_metrics(df).first()
+    assert (m.auc, m.average_precision, m.thresholds) == pytest.approx((auc(test), ap, len(cuts)))
+    got = sorted((tuple(r) for r in CV.roc_points(df).collect()), reverse=True)
+    assert [x for g in got for x in g] == pytest.approx([x for p in points for x in p])
+    none = df.where("split = 'none'")
+    assert CV.auc_by_stage(none).collect() == [] and CV.auc_summary(none).first().stages == 0 and CV.ranking_metrics(none).collect() == []
+
+
+def test_normal_equations_against_demeaned_columns(spark):
+    """X'WX and X'Wy as rows equal those of explicit, demeaned columns; the effect equals weighted least squares."""
+    import numpy as np
+    from types import SimpleNamespace
+
+    from custval.plans.aov import reports as REP
+    rng = np.random.default_rng(4)
+    rows = [(int(c), d, bool(e), int(rng.integers(1, 5)), float(rng.normal(4, 1) + 0.3 * e + len(d) / 10)) for c in range(60)
+            for d in ("A", "Bb", "Ccc") for e in (0, 1) if rng.random() < 0.5]
+    f = SimpleNamespace(cells=spark.createDataFrame(rows, "customer_id long, order_department string, order_is_exotic boolean, n_orders long, cell_mean_log double"))
+    got = {(r.row_name, r.col_name): r.total for r in REP.normal_equations(f).collect()}
+    names = ["dept:A", "dept:Bb", "dept:Ccc", "exotic", "y"]
+    x = np.array([[float(d == n[5:]) for n in names[:3]] + [float(e), y] for _, d, e, _, y in rows])
+    w, c = np.array([r[3] for r in rows], float), np.array([r[0] for r in rows])
+    for k in set(c):
+        own = c == k
+        x[own] -= (w[own, None] * x[own]).sum(0) / w[own].sum()
+    gram = (w[:, None] * x).T @ x
+    for i, a in enumerate(names):
+        for j in range(i, 5):
+            assert got.get((a, names[j]), 0.0) == pytest.approx(gram[i, j], abs=1e-9)
+    want = np.linalg.lstsq(np.sqrt(w)[:, None] * x[:, :4], np.sqrt(w) * x[:, 4], rcond=1e-10)[0][3]
+    out = REP.exotic_within_effect(f).first()
+    assert out.delta_within == pytest.approx(want) and out.within_var == pytest.approx(gram[3, 3] / w.sum()) and not out.exotic_is_type
+    alike = SimpleNamespace(cells=f.cells.where("order_is_exotic"))
+    assert REP.exotic_within_effect(alike).first().exotic_is_type
