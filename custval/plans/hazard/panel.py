@@ -80,8 +80,10 @@ def _days(a: str, b: str) -> Column:
     return F.datediff(F.col(a), F.col(b)).cast("bigint")
 
 
-def cumulative_state(days: DataFrame) -> DataFrame:
+def cumulative_state(days: DataFrame, bucketed: bool = False) -> DataFrame:
     """Running features as of each purchase-day (windows on the day grain)."""
+    # one exchange on the customer serves every window below; lines bucketed by customer have it already
+    days = days if bucketed else days.repartition("customer_id")
     physical = F.col("day_store").isNotNull() & (F.col("day_store") != "000 - Website")
     first_seen = F.row_number().over(Window.partitionBy("customer_id", "day_store").orderBy("order_date")) == 1
     d = days.withColumn("new_physical_store", physical & first_seen)
@@ -114,11 +116,13 @@ def state_codes(customers: DataFrame) -> DataFrame:
     return customers.select("customer_id", clean_state("customer_state").alias("state_code"))
 
 
-def cohort_panel(lines: DataFrame, products: DataFrame, customers: DataFrame, p: Params) -> DataFrame:
+def cohort_panel(lines: DataFrame, products: DataFrame, customers: DataFrame, p: Params, bucketed: bool = False) -> DataFrame:
     """Every purchase-day (up to ``as_of``) of customers acquired on/after the floor,
     with features and label columns.  The training panel and the scoring rows
-    are both cuts of this one table, so their features cannot drift apart."""
-    s = cumulative_state(purchase_days(lines, products, p))
+    are both cuts of this one table, so their features cannot drift apart.
+    ``bucketed``: the lines come from a table bucketed by customer
+    (``sources.layout``), so neither the rollup nor the windows exchange them."""
+    s = cumulative_state(purchase_days(lines, products, p), bucketed)
     s = s.join(state_codes(customers), "customer_id", "left")
     since_first, since_prev = _days("order_date", "first_order_date"), _days("order_date", "prev_order_date")
     avg_gap = safe_div(since_first, F.nullif(F.col("order_seq") - 1, F.lit(0)))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from custval.oracle import hazard as oh
 from custval.params import DEFAULT as P
 from custval.plans.hazard import panel as PN
-from custval.registry import register, rounded
+from custval.registry import app_key, register, rounded
+from custval.session import ensure_checkpoint_dir
+from custval.sources.layout import read_lines, write_lines
 from custval.sources.testdata import load_inputs
 
 DIG = oh.PANEL_DIGITS
@@ -34,6 +38,28 @@ def churn_panel(spark, sf_dir):
     return rounded(matured_panel(spark, sf_dir), DIG)
 
 
+_LAYOUTS: dict = {}
+#: of the registered query; a large table has hundreds of buckets and months
+LAYOUT_BUCKETS, LAYOUT_GRAIN = 8, "year"
+
+
+def laid_out_lines(spark, sf_dir, p=P):
+    """The lines as of the run date from the partitioned, bucketed table, which is written once per application and input."""
+    key = (app_key(spark), sf_dir)
+    if key not in _LAYOUTS:
+        name = f"custval_lines_{uuid.uuid4().hex}"
+        write_lines(load_inputs(spark, sf_dir).lines, name, f"{ensure_checkpoint_dir(spark)}/{name}", LAYOUT_BUCKETS, LAYOUT_GRAIN)
+        _LAYOUTS[key] = name
+    return read_lines(spark, _LAYOUTS[key], p.as_of, grain=LAYOUT_GRAIN)
+
+
+@register("churn_panel_partitioned", oh.sql_panel)
+def churn_panel_partitioned(spark, sf_dir):
+    """C1 from lines partitioned by order period and bucketed by customer."""
+    i = load_inputs(spark, sf_dir)
+    return rounded(PN.matured_rows(PN.cohort_panel(laid_out_lines(spark, sf_dir), i.products, i.customers, P, bucketed=True), P), DIG)
+
+
 @register("purchase_day", oh.sql_purchase_day)
 def purchase_day(spark, sf_dir):
     i = load_inputs(spark, sf_dir)

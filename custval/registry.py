@@ -80,10 +80,11 @@ __all__ = ["register", "rounded", "queries", "oracle_sql", "REGISTRY", "DEFAULT"
 
 def reset_caches() -> None:
     """Forget memoised fits / curves (used by the benchmark between queries)."""
-    from custval.queries import aov_q, model_q, pltv_q, validate_q
+    from custval.queries import aov_q, hazard_q, model_q, pltv_q, validate_q
     pltv_q._SCORES.clear()
     validate_q._FRAMES.clear()
     aov_q._FITS.clear()
+    hazard_q._LAYOUTS.clear()
     for memo in (model_q._MODELS, model_q._TEST_ROWS, model_q._HOLDOUT):
         memo.clear()
     pltv_q._CURVES.clear()

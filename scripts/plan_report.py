@@ -33,7 +33,7 @@ def main() -> None:
     out = ["# Physical plans of the headline queries", "",
            f"Static plans (AQE off, no size-based broadcast) at `{sf_dir}`; counts are operators in the final query's plan.",
            "Fitted tables (cells, scores) read back from checkpoints appear as `Scan ExistingRDD`.", ""]
-    for key in bench.HEADLINE:
+    for key in [*bench.HEADLINE, "churn_panel_partitioned"]:
         registry.reset_caches()
         text = plan_text(qs[key](spark, sf_dir))
         tree = text.split("\n\n")[0]
@@ -51,6 +51,9 @@ def main() -> None:
             body = m.group(1)
             pf = re.search(r"PushedFilters: (.*)", body)
             rs = re.search(r"ReadSchema: (.*)", body)
+            part = re.search(r"PartitionFilters: (.*)", body)
+            if part:
+                out.append(f"- partitions: `{part.group(1)}`")
             out.append(f"- scan: filters `{pf.group(1) if pf else '[]'}`; schema `{rs.group(1) if rs else ''}`")
         out.append("")
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:

@@ -87,3 +87,44 @@ def test_every_extract_reads_what_it_names(spark):
         path = _csv(",".join(e.schema.fieldNames()), ",".join(values[f.dataType.simpleString()] for f in e.schema.fields))
         df = read_extract(spark, path, name)
         assert df.columns == e.schema.fieldNames() and df.count() == 1, name
+
+
+def test_partitioned_lines_prune_and_spare_exchanges(spark):
+    """Periods behind the run date are not read, the panel needs fewer exchanges, and equals that of the flat lines."""
+    import re
+    from dataclasses import replace
+
+    from custval.params import DEFAULT
+    from custval.plans.hazard import panel as PN
+    from custval.queries import hazard_q as H
+    from custval.sources.layout import read_lines
+    from tests.tables import SF_SMALL
+
+    p = replace(DEFAULT, as_of=DEFAULT.as_of.replace(year=DEFAULT.as_of.year - 2))
+    i = H.load_inputs(spark, SF_SMALL)
+    laid = H.laid_out_lines(spark, SF_SMALL, p)
+    assert laid.columns == i.lines.columns
+    flat = PN.cohort_panel(i.lines, i.products, i.customers, p)
+    dealt = PN.cohort_panel(laid, i.products, i.customers, p, bucketed=True)
+    assert flat.exceptAll(dealt).isEmpty() and dealt.exceptAll(flat).isEmpty() and flat.count() > 0
+
+    def plan(df):
+        return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    tree = lambda df: len(re.findall(r"[-+:] Exchange", plan(df).split("\n\n")[0]))
+    assert "PartitionFilters: [isnotnull(order_period" in plan(laid)
+    lines_only = lambda f, b: PN.cumulative_state(PN.purchase_days(f, i.products, p), b)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        exchanges = [tree(lines_only(f, b)) for f, b in ((laid.cache().unpersist(), False), (laid, True))]
+        assert exchanges[1] < exchanges[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = {r[0] for r in laid.select(F.input_file_name()).distinct().collect()}
+    years = {int(re.search(r"order_period=(\d{4})", f).group(1)) for f in files}
+    assert years and max(years) <= p.as_of.year
+    table = next(v for k, v in H._LAYOUTS.items() if k[1] == SF_SMALL)
+    some = read_lines(spark, table, p.as_of, p.as_of.replace(day=1), H.LAYOUT_GRAIN)
+    want = i.lines.where((F.col("order_date") <= F.lit(p.as_of)) & (F.col("order_date") >= F.lit(p.as_of.replace(day=1))))
+    assert some.exceptAll(want).isEmpty() and some.count() == want.count()
+    with pytest.raises(ValueError, match="grain"):
+        read_lines(spark, table, p.as_of, grain="hour")
