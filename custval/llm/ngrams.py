@@ -38,6 +38,27 @@ def byte_ngrams(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray, n: int,
     return np.bincount((segment * dims + bucket)[inside], minlength=rows * dims).reshape(rows, dims)
 
 
+def char_ngrams(data: np.ndarray, offsets: np.ndarray, n: int, dims: int) -> np.ndarray:
+    """Counts of hashed runs of ``n`` characters (code points of UTF-8) by text, never across texts."""
+    rows, size = len(offsets) - 1, len(data)
+    head = data & 0xC0 != 0x80
+    begins = offsets[:-1]
+    head[begins[begins < size]] = True                # a stray byte at the head of a text is a character
+    starts = np.flatnonzero(head)
+    m = len(starts) - n + 1
+    if m <= 0:
+        return np.zeros((rows, dims), np.int64)
+    place = np.arange(size) - np.repeat(starts, np.diff(np.append(starts, size)))
+    chars = np.add.reduceat(data.astype(_U) << (8 * np.minimum(place, 7)).astype(_U), starts)
+    doc = np.searchsorted(offsets, starts, "right") - 1
+    h = np.zeros(m, _U)
+    for k in range(n):
+        h = h * _U(0x9E3779B97F4A7C15) + chars[k: k + m]
+    bucket = (mix64(h) >> _U(40)).astype(np.int64) % dims
+    inside = doc[:m] == doc[n - 1:]
+    return np.bincount((doc[:m] * dims + bucket)[inside], minlength=rows * dims).reshape(rows, dims)
+
+
 def word_ngrams(words: Words, rows: int, sizes: tuple[int, ...], dims: int) -> np.ndarray:
     """Counts of hashed runs of so many words by text."""
     total = np.zeros(rows * dims, np.int64)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from custval.llm.arrays import Words, binary_buffers, blocks, mix64, window_hashes
 from custval.llm.labelled import labelled_sample
-from custval.llm.ngrams import byte_ngrams, unit, word_ngrams
+from custval.llm.ngrams import char_ngrams, unit, word_ngrams
 
 #: characters that count as symbols
 SYMBOLS = b"#*$%&|<>"
@@ -85,9 +85,9 @@ def base_counts(data: np.ndarray, offsets: np.ndarray, words: Words, window: int
 
 
 def features(data: np.ndarray, offsets: np.ndarray, words: Words) -> np.ndarray:
-    """Unit-length hashed word 1- and 2-gram and byte 3-gram counts, and a constant, of each text."""
+    """Unit-length hashed word 1- and 2-gram and character 3-gram counts, and a constant, of each text."""
     rows = len(offsets) - 1
-    return np.concatenate([unit(word_ngrams(words, rows, (1, 2), WORD_DIMS)), unit(byte_ngrams(data, offsets, offsets, 3, CHAR_DIMS)),
+    return np.concatenate([unit(word_ngrams(words, rows, (1, 2), WORD_DIMS)), unit(char_ngrams(data, offsets, 3, CHAR_DIMS)),
                            np.ones((rows, 1), np.float32)], 1)
 
 
