@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from custval.llm.arrays import Words, binary_buffers, blocks
 from custval.llm.labelled import labelled_sample
 from custval.llm.ngrams import byte_ngrams, unit
+from custval.operators.persist import materialize
 
 #: words of a passage, hashed dimensions, and units of the encoder and of the attention
 PASSAGE_WORDS, DIMS, HIDDEN, GATES = 64, 384, 32, 16
@@ -128,26 +129,31 @@ def held_out(doc_id):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          sample_rows: int = 2500, sample_passages: int = 32) -> Network | None:
-    """Fit on at most ``sample_rows`` labelled documents outside the held-out part.
+          sample_rows: int = 2500, sample_passages: int = 50_000) -> Network | None:
+    """Fit on at most ``sample_rows`` labelled documents outside the held-out part, with all their passages.
 
-    For the fit alone a document is represented by ``sample_passages`` evenly
-    spaced passages at most.  None without both labels.
+    Documents are taken whole, in hash order, as long as they have at most
+    ``sample_passages`` passages together; one that would pass this bound is
+    left out of the fit.  None without both labels.
     """
     def run(batches):
         for batch in batches:
             for a, b, data, cut in blocks(*binary_buffers(batch["data"])):
                 x, bag = encode(data, cut)
-                n = np.bincount(bag, minlength=b - a)
-                k = np.arange(len(bag)) - np.repeat(np.cumsum(n) - n, n)
-                stride = np.maximum(1, -(-n // sample_passages))[bag]
-                x, bag = x[k % stride == 0].astype(np.float16), bag[k % stride == 0]
                 ends = np.searchsorted(bag, np.arange(b - a + 1))
+                x = x.astype(np.float16)
                 yield pa.record_batch({"doc_id": batch["doc_id"].slice(a, b - a), "label": batch["label"].slice(a, b - a),
-                                       "x": pa.array([x[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary())})
+                                       "n": pa.array(np.diff(ends), pa.int64()), "x": pa.array([x[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary())})
 
     sample = labelled_sample(docs, labels, sample_rows, id_col, text_col, label_col, lambda c: ~held_out(c))
-    rows = sample.mapInArrow(run, "doc_id long, label int, x binary").orderBy("doc_id", "x").toArrow()
+    encoded = materialize(sample.mapInArrow(run, "doc_id long, label int, n long, x binary"))
+    chosen, total = [], 0
+    for r in encoded.select("doc_id", "n").orderBy(F.xxhash64("doc_id"), "doc_id").collect():         # sample_rows at most
+        if total + r["n"] <= sample_passages:
+            chosen.append((r["doc_id"],))
+            total += r["n"]
+    ids = F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id long"))
+    rows = encoded.join(ids, "doc_id", "left_semi").select("doc_id", "label", "x").orderBy("doc_id", "x").toArrow()
     y = rows["label"].to_numpy()
     if len(np.unique(y)) < 2:
         return None

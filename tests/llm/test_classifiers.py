@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from custval.llm.labelled import labelled_sample
+from custval.llm.ngrams import char_ngrams
 from custval.llm.passage_classifier import DIMS, Network, _RATIOS, encode, quality_scores
 from custval.llm.quality_rules import fit, quality_rules
 from tests.llm.conftest import EDGE_DOCS
@@ -116,3 +117,52 @@ def test_a_sampled_id_has_one_row(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (4, 1), (None, 0)], "doc_id long, quality int")
     got = [sorted((r.doc_id, bytes(r.data), r.label) for r in labelled_sample(docs.repartition(n), labels, 10).collect()) for n in (1, 7)]
     assert [(i, label) for i, _, label in got[0]] == [(1, 0), (2, 1)] and got[0] == got[1]
+
+
+def test_character_ngrams_against_plain_counts():
+    """Runs of characters, not bytes, within one text; equal runs share a bucket, others hardly ever."""
+    random.seed(6)
+    texts = ["", "ab", "日本語日本語", "aé日🙂aé日🙂aé日", "".join(random.choice("aбя日é ") for _ in range(300)), "abcabc"]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(b) for b in raw])]).astype(np.int64)
+    got = char_ngrams(np.frombuffer(b"".join(raw), np.uint8), offsets, 3, 1 << 18)
+    for row, t in zip(got, texts):
+        assert sorted(row[row > 0]) == sorted(Counter(t[k:k + 3] for k in range(len(t) - 2)).values())
+    assert (got[2] > 0).sum() == 3 and set(np.flatnonzero(got[5])) == set(np.flatnonzero(char_ngrams(np.frombuffer(b"cabca", np.uint8), np.array([0, 5]), 3, 1 << 18)[0]))
+
+
+def test_gradient_and_forward_pass_against_plain_bags():
+    """The batched network equals a loop over bags, and its gradients numeric ones (Adam's first step goes by their signs)."""
+    rng = np.random.default_rng(2)
+    net = Network(5)
+    net.p = {k: rng.normal(0, 0.4, v.shape).astype(np.float64) for k, v in net.p.items()}
+    bag = np.array([0, 0, 0, 1, 2, 2])
+    x, y = rng.normal(0, 1, (6, 5)), np.array([1.0, 0.0, 1.0])
+
+    def plain(p):
+        out = []
+        for k in range(3):
+            h = np.tanh(x[bag == k] @ p["w"] + p["b"])
+            e = (np.tanh(h @ p["v"]) / (1 + np.exp(-(h @ p["u"])))) @ p["a"]
+            a = np.exp(e - e.max())
+            out.append(1 / (1 + np.exp(-((a / a.sum()) @ h @ p["c"] + p["d"][0]))))
+        return np.array(out)
+
+    assert np.allclose(net.forward(x, bag)[0], plain(net.p), atol=1e-6)
+    each = np.where(y == 1, 0.5 / 2, 0.5 / 1)
+
+    def loss(p):
+        q = plain(p)
+        return -(each * (y * np.log(q) + (1 - y) * np.log(1 - q))).sum()
+    before = {k: v.copy() for k, v in net.p.items()}
+    net.fit(x, bag, y, steps=1, ridge=0.0, rate=1e-3)
+    x = (x - net.mean) * net.scale                    # as the fit sees it
+    for name, v in before.items():
+        flat = v.ravel()
+        for i in range(0, flat.size, max(1, flat.size // 7)):
+            up, down = {k: w.copy() for k, w in before.items()}, {k: w.copy() for k, w in before.items()}
+            up[name].ravel()[i] += 1e-5
+            down[name].ravel()[i] -= 1e-5
+            slope = (loss(up) - loss(down)) / 2e-5
+            if abs(slope) > 1e-4:
+                assert net.p[name].ravel()[i] - flat[i] == pytest.approx(-1e-3 * np.sign(slope), rel=0.02), (name, i)
