@@ -122,8 +122,12 @@ def cohort_panel(lines: DataFrame, products: DataFrame, customers: DataFrame, p:
     are both cuts of this one table, so their features cannot drift apart.
     ``bucketed``: the lines come from a table bucketed by customer
     (``sources.layout``), so neither the rollup nor the windows exchange them."""
-    s = cumulative_state(purchase_days(lines, products, p), bucketed)
-    s = s.join(state_codes(customers), "customer_id", "left")
+    return panel_features(cumulative_state(purchase_days(lines, products, p), bucketed), customers, p)
+
+
+def panel_features(state: DataFrame, customers: DataFrame, p: Params) -> DataFrame:
+    """Features and labels of purchase-days with their running state (``cumulative_state``), cohort customers only."""
+    s = state.join(state_codes(customers), "customer_id", "left")
     since_first, since_prev = _days("order_date", "first_order_date"), _days("order_date", "prev_order_date")
     avg_gap = safe_div(since_first, F.nullif(F.col("order_seq") - 1, F.lit(0)))
     rate = safe_div("day_discount", "day_gross")

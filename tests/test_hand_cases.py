@@ -190,3 +190,32 @@ def test_scorecard_sections_count_every_scored_customer(spark):
     doc = json.loads(SC.scorecard_json(card).first()["json"])
     assert sum(doc["hist"]["counts"]) == 180 and len(doc["dec_pct"]) == 10 and doc["totals"]["scored"] == 180
     assert [x["seq_b"] for x in doc["seq"]] == list(range(1, 9))
+
+
+def test_state_by_increments_equals_a_full_rebuild(spark):
+    """Any cut of the days into updates, lines of a stored day that arrive late, new customers, and an update without lines."""
+    from custval.operators.persist import materialize
+    from custval.params import DEFAULT
+    from custval.plans.hazard import panel as PN
+    from custval.plans.hazard import state as ST
+    from custval.sources.testdata import load_inputs
+    from tests.tables import SF_SMALL
+
+    i = load_inputs(spark, SF_SMALL)
+    lines = i.lines.where("customer_id <= 25").withColumn("_at", F.pmod(F.xxhash64("order_id"), F.lit(1000)) / 1000.0).cache()
+    whole = lambda df: ST.state_of(PN.purchase_days(df, i.products, DEFAULT))
+    want = whole(lines.drop("_at")).collect()
+    assert len(want) > 5
+    by_date = [lines.where(c).drop("_at") for c in ("order_date < '1996-01-01'", "order_date >= '1996-01-01' and order_date < '1998-06-01'", "order_date >= '1998-06-01'")]
+    by_chance = [lines.where(c).drop("_at") for c in ("_at < 0.5", "_at >= 0.5 and _at < 0.9", "_at >= 0.9", "_at > 1")]
+    for parts in (by_date, by_chance):
+        state, seen = whole(parts[0]), parts[0]
+        for part in parts[1:]:
+            state = materialize(ST.update(state, part, seen, i.products, DEFAULT))
+            seen = seen.unionByName(part)
+        assert sorted(state.collect()) == sorted(want)
+    empty = lines.where("false").drop("_at")
+    assert whole(empty).collect() == [] and sorted(ST.update(whole(empty), seen, empty, i.products, DEFAULT).collect()) == sorted(want)
+    direct = PN.latest_rows(PN.cohort_panel(lines.drop("_at"), i.products, i.customers, DEFAULT))
+    kept = ST.latest_features(state, i.customers, DEFAULT)
+    assert direct.exceptAll(kept.select(*[F.col(f.name).cast(f.dataType) for f in direct.schema])).isEmpty() and direct.count() == kept.count()

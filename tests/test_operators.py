@@ -120,3 +120,31 @@ def test_hot_join_equals_plain_and_spreads_rows(spark):
         kind.join = plain_join
     sizes = seen["sizes"]
     assert sum(sizes) == n and len(sizes) == 12 and sizes[-1] <= 3 * sizes[6]
+
+
+def test_quantile_sketches_err_within_their_bound_and_merge(spark):
+    """Large groups, a third of the values tied, nulls, a group of nulls; merged sketches answer for the union."""
+    from custval.operators import sketches as SK
+    df = spark.range(0, 120_000, 1, 6).select(
+        F.when(F.col("id") % 2 == 0, "a").when(F.col("id") % 11 == 0, F.lit(None)).otherwise("b").alias("g"), (F.col("id") % 5).alias("h"),
+        F.when(F.col("id") % 3 == 0, 5.0).when(F.col("id") % 17 == 0, F.lit(None)).otherwise(F.rand(3) * 100).alias("v"), F.lit(None).cast("double").alias("w"))
+    out = SK.quantile_report(df, ["g"], {"v": F.col("v"), "w": F.col("w")}, (0.01, 0.5, 0.9), groups_max=3).collect()
+    assert {(r.g, r.metric) for r in out} == {("a", "v"), ("b", "v")} and len(out) == 6      # null groups meet no estimate
+    assert all(r.within_bound and 0 <= r.rank_error <= SK.RANK_ERROR + 1 / r.n for r in out)
+    fine = SK.quantile_sketches(df.where("v is not null"), ["g", "h"], {"v": F.col("v")})
+    whole = SK.estimates(SK.merged_quantiles(fine, [], ["v"]), [], ["v"], [0.5, 0.9]).collect()
+    values = sorted(r.v for r in df.where("v is not null").select("v").collect())
+    for r in whole:
+        low, high = np.searchsorted(values, r.estimate, "left") / len(values), np.searchsorted(values, r.estimate, "right") / len(values)
+        assert low - 0.03 <= r.q <= high + 0.03
+    assert SK.quantile_report(df.where("false"), ["g"], {"v": F.col("v")}, (0.5,), groups_max=3).collect() == []
+
+
+def test_distinct_sketches_roll_up(spark):
+    from custval.operators import sketches as SK
+    df = spark.range(0, 200_000, 1, 6).select(F.date_add(F.lit("2001-01-01").cast("date"), (F.col("id") % 200).cast("int")).alias("d"),
+                                              (F.col("id") % 30_011).alias("many"), F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("few"))
+    out = SK.distinct_report(df, "d", F.trunc("d", "month"), ["many", "few"]).collect()
+    assert len(out) == 7 * 2 and all(r.within_bound and r.relative_error <= SK.COUNT_ERROR for r in out)
+    assert {r.exact for r in out if r.counted == "few"} == {7} and all(r.estimate == 7 for r in out if r.counted == "few")
+    assert SK.distinct_report(df.where("false"), "d", F.trunc("d", "month"), ["many"]).collect() == []

@@ -17,7 +17,7 @@ def test_every_query_has_an_oracle_or_is_listed_rows_only():
                          "churn_model_metrics", "model_hazard_curve", "model_calibration_by_stage",
                          "pltv_scores_model", "report_payloads", "model_val_frequency_aov_interaction", "model_val_decile_dollars",
                          "model_val_aggregate_bias", "model_val_rank_quality", "model_val_gains", "model_val_segment_calibration",
-                         "model_val_horizon_sensitivity", "model_projection_backtest"}, rows_only
+                         "model_val_horizon_sensitivity", "model_projection_backtest", "sketched_quantiles", "sketched_distinct"}, rows_only
 
 
 TYPE_NAMES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
