@@ -188,9 +188,13 @@ def latest_rows(panel_all: DataFrame) -> DataFrame:
     Rank-1 filtering on the panel's own customer partitioning needs no new
     Exchange (Spark plans it as a WindowGroupLimit).
     """
+    return latest_of(panel_all).select(*[c for c in PANEL_COLUMNS if c not in LABEL_COLUMNS])
+
+
+def latest_of(panel_all: DataFrame) -> DataFrame:
+    """Each customer's last row of a panel, whichever columns it has."""
     w = Window.partitionBy("customer_id").orderBy(F.col("order_seq").desc())
-    feats = [c for c in PANEL_COLUMNS if c not in LABEL_COLUMNS]
-    return panel_all.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").select(*feats)
+    return panel_all.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").drop("_rk")
 
 
 def build_panel(lines: DataFrame, products: DataFrame, customers: DataFrame, p: Params,

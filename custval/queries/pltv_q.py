@@ -7,9 +7,10 @@ from custval.oracle import pltv as op
 from custval.params import DEFAULT as P
 from custval.plans.hazard import curve as CV
 from custval.plans.hazard import model as MD
+from custval.plans.hazard import panel as PN
 from custval.plans.pltv import scores as SC
 from custval.queries.aov_q import production_fit
-from custval.queries.hazard_q import matured_panel, scoring_extract
+from custval.queries.hazard_q import matured_panel, panel_all, scoring_extract
 from custval.operators.persist import materialize
 from custval.registry import app_key, register, rounded
 
@@ -21,24 +22,46 @@ def scored_panel(spark, sf_dir, p=P):
     return CV.with_scores(matured_panel(spark, sf_dir, p), p)
 
 
+_PANELS: dict = {}
+#: what scores, curve, projections and the validation frame read of the panel
+SCORE_COLUMNS = ["customer_id", "split_rand", "order_date", "order_seq", "next_order_date", "days_to_next_order", "churned_400d", "days_since_prev_order",
+                 "cum_net_spend", "acq_channel", "entry_department", "customer_state"]
+
+
+def written_panel(spark, sf_dir, p=P):
+    """The panel's score columns, written once per run, so the lines are read once for curve and scored rows."""
+    key = (app_key(spark), sf_dir, p)
+    if key not in _PANELS:
+        _PANELS[key] = materialize(panel_all(spark, sf_dir, p).select(*SCORE_COLUMNS))
+    return _PANELS[key]
+
+
+def written_matured(spark, sf_dir, p=P):
+    return PN.matured_rows(written_panel(spark, sf_dir, p), p)
+
+
+def written_latest(spark, sf_dir, p=P):
+    return PN.latest_of(written_panel(spark, sf_dir, p)).drop(*PN.LABEL_COLUMNS)
+
+
 def curve_and_multipliers(spark, sf_dir, p=P):
     """The repeat curve values and multipliers (8 + 16 numbers), once per input."""
     key = (app_key(spark), sf_dir, p)
     if key not in _CURVES:
-        r = CV.curve_values(CV.hazard_curve(scored_panel(spark, sf_dir, p), p))
+        r = CV.curve_values(CV.hazard_curve(CV.with_scores(written_matured(spark, sf_dir, p), p), p))
         _CURVES[key] = (r, CV.multipliers(r, p.horizon))
     return _CURVES[key]
 
 
 def projections(spark, sf_dir):
     r, _ = curve_and_multipliers(spark, sf_dir)
-    return CV.chained_projection(scored_panel(spark, sf_dir), r, P)
+    return CV.chained_projection(CV.with_scores(written_matured(spark, sf_dir), P), r, P)
 
 
 def value_scores(spark, sf_dir, p=P):
     _, m = curve_and_multipliers(spark, sf_dir, p)
     aov = production_fit(spark, sf_dir, p).customers
-    return SC.pltv_scores(scoring_extract(spark, sf_dir, p), m, aov, p)
+    return SC.pltv_scores(written_latest(spark, sf_dir, p), m, aov, p)
 
 
 _SCORES: dict = {}
@@ -84,7 +107,7 @@ _reg("roc_points", lambda s, d: CV.roc_points(scored_panel(s, d)), oc.roc_points
 _reg("score_histogram", lambda s, d: CV.score_histogram(scored_panel(s, d)), oc.score_histogram)
 _reg("projection_histogram", lambda s, d: CV.projection_histogram(projections(s, d)), oc.projection_histogram)
 _reg("projection_backtest",
-     lambda s, d: CV.projection_backtest(scored_panel(s, d), curve_and_multipliers(s, d)[1], P),
+     lambda s, d: CV.projection_backtest(CV.with_scores(written_matured(s, d), P), curve_and_multipliers(s, d)[1], P),
      oc.projection_backtest)
 _reg("cadence_vs_churn", lambda s, d: CV.cadence_vs_churn(matured_panel(s, d)), oc.cadence_vs_churn)
 _reg("cadence_by_stage", lambda s, d: CV.cadence_by_stage(matured_panel(s, d)), oc.cadence_by_stage)

@@ -8,8 +8,7 @@ from custval.oracle import validate as ov
 from custval.params import DEFAULT as P
 from custval.plans.pltv import validate as V
 from custval.queries.aov_q import holdout_fit, production_fit
-from custval.queries.hazard_q import matured_panel, scoring_extract
-from custval.queries.pltv_q import curve_and_multipliers, scored_panel, scores_table as value_scores
+from custval.queries.pltv_q import curve_and_multipliers, scored_panel, scores_table as value_scores, written_latest, written_matured
 from custval.operators.persist import materialize
 from custval.registry import app_key, register, rounded
 from custval.sources.testdata import load_inputs
@@ -28,9 +27,9 @@ def frame(spark, sf_dir):
     if key not in _FRAMES:
         i = load_inputs(spark, sf_dir)
         r, m = curve_and_multipliers(spark, sf_dir, PC)
-        n = V.orders_in_window(matured_panel(spark, sf_dir, PC), P)
+        n = V.orders_in_window(written_matured(spark, sf_dir, PC), P)
         _FRAMES[key] = materialize(
-            V.holdout_frame(i.lines, scoring_extract(spark, sf_dir, PC), P, holdout_fit(spark, sf_dir), r, m, n))
+            V.holdout_frame(i.lines, written_latest(spark, sf_dir, PC), P, holdout_fit(spark, sf_dir), r, m, n))
     return _FRAMES[key]
 
 

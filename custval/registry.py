@@ -88,3 +88,4 @@ def reset_caches() -> None:
     for memo in (model_q._MODELS, model_q._TEST_ROWS, model_q._HOLDOUT):
         memo.clear()
     pltv_q._CURVES.clear()
+    pltv_q._PANELS.clear()
