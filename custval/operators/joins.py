@@ -80,7 +80,8 @@ def join_hot(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "
     task that runs again repeats it.  ``small`` should be bounded per
     key: its rows of a heavy key are copied to each piece.  Without a heavy key
     it is a plain join.  Null keys join nothing, as in any equi-join, but are
-    dealt like others; the result has ``big``'s columns, then ``small``'s others.
+    dealt like others; the result has
+    the columns of ``big.join(small, keys, how)``, in its order.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how} would repeat the copied rows")
@@ -98,4 +99,4 @@ def join_hot(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "
     piece = F.when(F.col("__n") > 1, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in by], F.spark_partition_id()), F.col("__n"))).otherwise(0)
     dealt = weighed(big).withColumn("__piece", piece.cast("int")).drop("__n")
     copied = weighed(small).withColumn("__piece", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
-    return dealt.join(copied, [*keys, "__piece"], how).select(*[dealt[c] for c in big.columns], *([copied[c] for c in small.columns if c not in keys] if how in ("inner", "left") else []))
+    return dealt.join(copied, [*keys, "__piece"], how).drop("__piece")

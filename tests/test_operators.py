@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from custval.operators.persist import materialize
 from custval.operators.ranking import auc_of_counts, exact_auc, exact_quantiles, running_totals, scalar_quantiles
 from custval.plans.pltv.validate import spearman
 
@@ -101,6 +102,11 @@ def test_hot_join_equals_plain_and_spreads_rows(spark):
         plain, dealt = big.join(small, ["k"], how), J.join_hot(big, small, ["k"], how)
         assert dealt.columns == plain.columns
         assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+    counted = materialize(big.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top")))          # of the same frame, some columns dropped
+    for how in ("inner", "left"):
+        assert J.join_hot(big, counted.drop("n"), ["k"], how, hot=hot).exceptAll(big.join(counted.drop("n"), ["k"], how)).isEmpty()
+    again = materialize(J.join_hot(big, counted.drop("n"), ["k"], hot=hot))
+    assert J.join_hot(again.select("k", "id"), again.groupBy("k").agg(F.max("top").alias("top")), ["k"], hot=hot).count() == again.count()
     with pytest.raises(ValueError, match="full"):
         J.join_hot(big, small, ["k"], "full")
     assert J.pieces_of_hot_keys(big.where("id < 0"), ["k"]) == {} and J.join_hot(big.where("id < 0"), small, ["k"], "left").count() == 0
