@@ -179,3 +179,14 @@ def test_rows_without_an_id_and_short_items(spark):
     assert {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()} == {(1, 1), (2, 2)}
     assert clean(docs, bench, min_words=1).where("doc_id = 2").count() == 0
     assert clean(docs, bench.where("false")).count() == len(rows)
+
+
+def test_a_line_of_very_many_documents(spark):
+    """Frequent lines are dealt over several tasks and cut like any other."""
+    rows = [(i, f"the common line\nown line {i}\nrare {i % 700}", f"site{i % 9}") for i in range(4200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    lines = lines_of(df, "doc_id", "text", "source")
+    candidates, hot = candidate_lines(lines, 3)
+    assert len(hot) == 1 and min(hot.values()) > 1
+    out = without_boilerplate(df, min_sites=3)
+    assert sorted(((r.doc_id, r.text, r.n_removed) for r in out.collect()), key=repr) == brute_lines(rows, 3)
