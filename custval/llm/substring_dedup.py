@@ -52,7 +52,7 @@ def intervals(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[np.concatenate([[0], apart + 1])], starts[np.concatenate([apart, [len(starts) - 1]])] + size
 
 
-def _cut(table: pa.Table, bits: pa.Table, window: int, n_buckets: int) -> pa.Table:
+def _cut(table: pa.Table, bits: pa.Table, window: int, route: C.Route) -> pa.Table:
     table = table.sort_by("key")
     keys = table["key"].to_numpy()
     hashes, rows, firsts, counts = _windows(table, window)
@@ -62,7 +62,7 @@ def _cut(table: pa.Table, bits: pa.Table, window: int, n_buckets: int) -> pa.Tab
     new[1:] = ranked[1:] != ranked[:-1]
     group = np.cumsum(new) - 1
     lead = order[new]
-    elsewhere = C.received(bits, ranked[new], n_buckets)
+    elsewhere = C.received(bits, ranked[new], route)
     gone = np.empty(len(hashes), bool)
     gone[order] = elsewhere[group] | (keys[rows[order]] > keys[rows[lead]][group])
     rows, firsts = rows[gone], firsts[gone].astype(np.int64)
@@ -84,7 +84,7 @@ def _cut(table: pa.Table, bits: pa.Table, window: int, n_buckets: int) -> pa.Tab
 
 
 def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13,
-                            chunk_bytes: int = 8 << 20, buckets_per_chunk: float = 0.75) -> DataFrame:
+                            chunk_bytes: int = 8 << 20, buckets_per_chunk: float = 0.75, max_fan: int = 4096) -> DataFrame:
     """Remove each word covered by a window that also starts in a document with a smaller id.
 
     Returns per input row ``doc_id``, ``n_words``, ``n_removed``, ``removed``
@@ -92,20 +92,17 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     joined by one space).  Windows are judged on the input.  A null or empty
     text has no words; rows that share an id do not remove each other's words;
     null ids count as one id behind all others; other columns are not read.
+    Up to ``max_fan`` chunks their hashes travel once, up to its square twice.
     """
     base, n = C.chunked(docs, id_col, text_col, chunk_bytes)
-    n_buckets = max(1, round(n * buckets_per_chunk))
+    route = C.Route.over(n, buckets_per_chunk, max_fan)
 
     def entries(key, table):
-        return C.send(key[0].as_py(), np.unique(_windows(table, window)[0]), n_buckets)
-
-    def counted(key, table):
-        return C.seen_bits(table, earlier_only=True)
+        return C.send(key[0].as_py(), np.unique(_windows(table, window)[0]), route)
 
     def cut(key, table, bits):
-        return _cut(table, bits, window, n_buckets) if table.num_rows else _RESULT.empty_table()
+        return _cut(table, bits, window, route) if table.num_rows else _RESULT.empty_table()
 
-    by_chunk = base.groupBy("chunk")
-    bits = (by_chunk.applyInArrow(entries, C.ENTRIES_DDL)
-            .groupBy("bucket").applyInArrow(counted, C.BITS_DDL))
-    return by_chunk.cogroup(bits.groupBy("chunk")).applyInArrow(cut, RESULT)
+    by_chunk = C.grouped(base, n, "chunk")
+    bits = C.seen_elsewhere(by_chunk.applyInArrow(entries, C.ENTRIES_DDL), route, n, earlier_only=True)
+    return by_chunk.cogroup(C.grouped(bits, n, "chunk")).applyInArrow(cut, RESULT)

@@ -11,6 +11,7 @@ same anchor hash.
    once.  A bucket is a shard: a suffix array of its distinct slices (induced
    sorting) and the permuted common prefixes give the groups of equal strings,
    and all but the earliest start of a group are marked, one bit per start.
+   On the way there (``chunks.Route``) neighbouring senders' equal slices merge.
 3. The chunks lay the marks over their texts and cut the covered bytes.
 
 Matches are compared byte by byte; hashes only route.
@@ -33,8 +34,9 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, removed array
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                      ("removed", _SPANS), ("kept", pa.binary())])
-_SLICES = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("slices", pa.binary()), ("sizes", pa.binary()), ("places", pa.binary())])
-_SLICES_DDL = "bucket int, chunk int, slices binary, sizes binary, places binary"
+_SLICES = pa.schema([("span", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int32()), ("slices", pa.binary()),
+                     ("sizes", pa.binary()), ("places", pa.binary()), ("hashes", pa.binary())])
+_SLICES_DDL = "span int, bucket int, chunk int, slices binary, sizes binary, places binary, hashes binary"
 _U = np.uint64
 _BASE = 0x5851F42D4C957F2D
 
@@ -89,21 +91,21 @@ def _ordered(table: pa.Table) -> pa.Table:
     return table.sort_by([("key", "ascending"), ("data", "ascending")])
 
 
-def _shared(anchors: Anchors, bits: pa.Table, n_buckets: int) -> np.ndarray:
+def _shared(anchors: Anchors, bits: pa.Table, route: C.Route) -> np.ndarray:
     """The runs whose anchor hash occurs again, here or in another chunk, ordered by hash and then by place."""
     order = np.argsort(anchors.hash, kind="stable")
     ranked = anchors.hash[order]
     new = np.ones(len(ranked), bool)
     new[1:] = ranked[1:] != ranked[:-1]
-    again = C.received(bits, ranked[new], n_buckets)
+    again = C.received(bits, ranked[new], route)
     heads = np.flatnonzero(new)
     again |= np.diff(np.append(heads, len(ranked))) > 1
     return order[again[np.cumsum(new) - 1]] if len(ranked) else order
 
 
-def _by_bucket(anchors: Anchors, runs: np.ndarray, raw: bytes, min_bytes: int, n_buckets: int):
+def _by_bucket(anchors: Anchors, runs: np.ndarray, raw: bytes, min_bytes: int, route: C.Route):
     """(bucket, runs, {slice: its first run}) of the shared runs, bucket by bucket."""
-    edges = C.bucket_edges(anchors.hash[runs], n_buckets)
+    _, edges = route.cut(anchors.hash[runs], 0)
     firsts, ends = anchors.first[runs].tolist(), (anchors.last[runs] + min_bytes).tolist()
     for b in np.flatnonzero(np.diff(edges)).tolist():
         x, y = int(edges[b]), int(edges[b + 1])
@@ -112,50 +114,90 @@ def _by_bucket(anchors: Anchors, runs: np.ndarray, raw: bytes, min_bytes: int, n
         yield b, runs[x:y], seen, np.array(which) - x
 
 
-def _send_slices(chunk: int, table: pa.Table, bits: pa.Table, min_bytes: int, gram: int, n_buckets: int) -> pa.Table:
-    data, offsets = binary_buffers(_ordered(table)["data"])
-    anchors = Anchors(data, offsets, min_bytes, gram)
-    runs = _shared(anchors, bits, n_buckets)
-    out: list[tuple] = []
+def _slice_rows(sender: int, route: C.Route, rows: list[tuple]) -> pa.Table:
+    """Rows of (bucket, slices, places, hashes): the places are 8 bytes with the chunk above level 0, 4 without it there;
+    hashes travel only if another level follows."""
     press = zstandard.ZstdCompressor(level=1)
-    for b, _, seen, _ in _by_bucket(anchors, runs, data.tobytes(), min_bytes, n_buckets):
-        out.append((b, press.compress(b"".join(seen)), np.array([len(s) for s in seen], "<u4").tobytes(),
-                    anchors.first[runs[list(seen.values())]].astype("<u4").tobytes()))
-    return pa.table({"bucket": pa.array([o[0] for o in out], pa.int32()), "chunk": pa.array([chunk] * len(out), pa.int32()),
-                     **{name: pa.array([o[i] for o in out], pa.binary()) for i, name in enumerate(("slices", "sizes", "places"), 1)}}, schema=_SLICES)
+    return pa.table({
+        "span": pa.array([sender // route.fan] * len(rows), pa.int32()), "bucket": pa.array([r[0] for r in rows], pa.int32()),
+        "chunk": pa.array([sender] * len(rows), pa.int32()),
+        "slices": pa.array([press.compress(b"".join(r[1])) for r in rows], pa.binary()),
+        "sizes": pa.array([np.array([len(s) for s in r[1]], "<u4").tobytes() for r in rows], pa.binary()),
+        "places": pa.array([r[2].tobytes() for r in rows], pa.binary()),
+        "hashes": pa.array([b"" if r[3] is None else C.pack(r[3]) for r in rows], pa.binary())}, schema=_SLICES)
 
 
-def mark_later(shard: pa.Table, min_bytes: int) -> pa.Table:
+def _send_slices(chunk: int, table: pa.Table, bits: pa.Table, min_bytes: int, gram: int, route: C.Route) -> pa.Table:
+    data, offsets = binary_buffers(_ordered(table)["data"])
+    anchors = Anchors(data, offsets, min_bytes, gram)
+    runs = _shared(anchors, bits, route)
+    out: list[tuple] = []
+    for b, _, seen, _ in _by_bucket(anchors, runs, data.tobytes(), min_bytes, route):
+        first = runs[list(seen.values())]
+        out.append((b, list(seen), anchors.first[first].astype("<u4"), anchors.hash[first] if route.levels > 1 else None))
+    return _slice_rows(chunk, route, out)
+
+
+class Merged:
+    """The distinct slices that senders sent to one group, and whose they are."""
+
+    def __init__(self, shard: pa.Table, level: int, min_bytes: int):
+        shard = shard.sort_by("chunk")
+        self.bucket, self.chunks = shard["bucket"][0].as_py(), shard["chunk"].to_pylist()
+        texts: dict[bytes, int] = {}
+        places, hashes = [], []
+        self.sent: list[np.ndarray] = []             # per sender its slices, by their number here
+        self.first: list[np.ndarray] = []            # and whether no earlier sender has them
+        unpress = zstandard.ZstdDecompressor()
+        for chunk, raw, sizes, where, packed in zip(self.chunks, *(shard[c].to_pylist() for c in ("slices", "sizes", "places", "hashes"))):
+            raw = unpress.decompress(raw)
+            ends = np.cumsum(np.frombuffer(sizes, "<u4")).tolist()
+            old = len(texts)
+            number = np.array([texts.setdefault(raw[x:y], len(texts)) for x, y in zip([0, *ends], ends)], np.int64)
+            # within a sender slices are distinct, so the new ones are numbered in their order
+            fresh = number >= old
+            at = np.frombuffer(where, "<i8") if level else (chunk << 32) + np.frombuffer(where, "<u4").astype(np.int64)
+            places.append(at[fresh])
+            if packed:
+                hashes.append(C.unpack(packed)[fresh])
+            self.sent.append(number)
+            self.first.append(fresh)
+        self.texts = list(texts)
+        self.places = np.concatenate(places)
+        self.hashes = np.concatenate(hashes) if hashes else np.empty(0, _U)
+        self.lengths = np.array([len(t) for t in self.texts], np.int64)
+        self.starts = self.lengths - min_bytes + 1   # window starts of each slice
+
+    def windows(self, which: np.ndarray) -> np.ndarray:
+        """Positions of the window starts of some slices in the sequence of all slices' starts."""
+        n = self.starts[which]
+        begin = np.cumsum(self.starts) - self.starts
+        return np.repeat(begin[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+    def answers(self, later: np.ndarray) -> pa.Table:
+        """Bits of each sender's slices; an earlier sender's copy marks every start of a slice."""
+        bits = []
+        for number, fresh in zip(self.sent, self.first):
+            flags = later[self.windows(number)] | np.repeat(~fresh, self.starts[number])
+            bits.append(np.packbits(flags).tobytes())
+        return pa.table({"chunk": pa.array(self.chunks, pa.int32()), "bucket": pa.array([self.bucket] * len(bits), pa.int32()),
+                         "bits": pa.array(bits, pa.binary())}, schema=C.BITS)
+
+    def onward(self, route: C.Route, level: int):
+        """(bucket of ``level``, slices by number) in the order of their hashes."""
+        order = np.argsort(self.hashes, kind="stable")
+        first, edges = route.cut(self.hashes[order], level, self.bucket)
+        return [(first + int(b), order[edges[b]: edges[b + 1]]) for b in np.flatnonzero(np.diff(edges))]
+
+
+def mark_later(shard: pa.Table, min_bytes: int, level: int = 0) -> pa.Table:
     """One bit per window start of each slice sent to a bucket: an earlier start of the same string exists."""
-    shard = shard.sort_by("chunk")
-    bucket, chunks = shard["bucket"][0].as_py(), shard["chunk"].to_pylist()
-    texts: dict[bytes, int] = {}                     # distinct slices of the shard, by their place in its text
-    at, order, firsts, copies = 0, [], [], []
-    unpress = zstandard.ZstdDecompressor()
-    for chunk, raw, sizes, places in zip(chunks, shard["slices"].to_pylist(), shard["sizes"].to_pylist(), shard["places"].to_pylist()):
-        raw = unpress.decompress(raw)
-        sizes = np.frombuffer(sizes, "<u4")
-        ends = np.cumsum(sizes).tolist()
-        places = np.frombuffer(places, "<u4").astype(np.int64).tolist()
-        mine, begin = [], 0
-        for end, place in zip(ends, places):
-            s = raw[begin:end]
-            old = texts.get(s)
-            if old is None:
-                texts[s] = old = at
-                order.append((chunk << 32) + place)
-                firsts.append(at)
-                at += len(s)
-                mine.append(old)
-            else:
-                mine.append(-1)                      # an earlier chunk has the very slice
-            begin = end
-        copies.append((sizes, mine))
-    text = np.frombuffer(b"".join(texts), np.uint8)
-    firsts_a = np.array(firsts, np.int64)
-    lengths = np.diff(np.append(firsts_a, len(text)))
-    place = np.arange(len(text)) + np.repeat(np.array(order, np.int64) - firsts_a, lengths)
-    start = np.arange(len(text)) <= np.repeat(firsts_a + lengths - min_bytes, lengths)
+    merged = Merged(shard, level, min_bytes)
+    text = np.frombuffer(b"".join(merged.texts), np.uint8)
+    lengths = merged.lengths
+    firsts = np.cumsum(lengths) - lengths
+    place = np.arange(len(text)) + np.repeat(merged.places - firsts, lengths)
+    start = np.arange(len(text)) <= np.repeat(firsts + lengths - min_bytes, lengths)
     sa = suffix_array(text)                          # in full order, on which permuted_prefixes relies
     prefix = permuted_prefixes(text, sa, min_bytes)
     group = np.cumsum(prefix[sa] < min_bytes)
@@ -165,25 +207,20 @@ def mark_later(shard: pa.Table, min_bytes: int) -> pa.Table:
     earliest = np.repeat(np.minimum.reduceat(place[sa], heads), np.diff(np.append(heads, len(sa)))) if len(sa) else place[sa]
     later = np.zeros(len(text), bool)
     later[sa] = place[sa] > earliest
-    bits = []
-    for sizes, mine in copies:
-        flags = [later[m: m + n] if m >= 0 else np.ones(n, bool) for m, n in zip(mine, (sizes.astype(np.int64) - min_bytes + 1).tolist())]
-        bits.append(np.packbits(np.concatenate(flags)).tobytes())
-    return pa.table({"chunk": pa.array(chunks, pa.int32()), "bucket": pa.array([bucket] * len(chunks), pa.int32()),
-                     "bits": pa.array(bits, pa.binary())}, schema=C.BITS)
+    return merged.answers(later[start])
 
 
-def _cut(table: pa.Table, replies: pa.Table, min_bytes: int, gram: int, n_buckets: int) -> pa.Table:
+def _cut(table: pa.Table, replies: pa.Table, min_bytes: int, gram: int, route: C.Route) -> pa.Table:
     table = _ordered(table)
     data, offsets = binary_buffers(table["data"])
     anchors = Anchors(data, offsets, min_bytes, gram)
     told = replies["step"].to_numpy()
-    runs = _shared(anchors, replies.filter(told == 1), n_buckets)
+    runs = _shared(anchors, replies.filter(told == 1), route)
     marks = replies.filter(told == 2)
     by_bucket = dict(zip(marks["bucket"].to_pylist(), marks["bits"].to_pylist()))
     raw = data.tobytes()
     gone = []
-    for b, mine, seen, which in _by_bucket(anchors, runs, raw, min_bytes, n_buckets):
+    for b, mine, seen, which in _by_bucket(anchors, runs, raw, min_bytes, route):
         n = (anchors.last[mine] - anchors.first[mine] + 1)
         lead = which == np.arange(len(mine))
         n_lead = n[lead]
@@ -208,7 +245,7 @@ def _cut(table: pa.Table, replies: pa.Table, min_bytes: int, gram: int, n_bucket
 
 
 def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 100,
-                          chunk_bytes: int = 4 << 20, buckets_per_chunk: float = 1.0) -> DataFrame:
+                          chunk_bytes: int = 4 << 20, buckets_per_chunk: float = 1.0, max_fan: int = 4096) -> DataFrame:
     """Remove each byte covered by a ``min_bytes``-byte string that also starts earlier.
 
     Earlier means a smaller id, or the same document and an earlier start.
@@ -217,31 +254,45 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     bytes).  Strings are judged on the input and never cross documents.  A null
     or empty text has no bytes; rows that share an id (null ids count as one,
     behind all others) are read as parts of one document, in the order of their
-    texts; other columns are not read.
+    texts; other columns are not read.  Up to ``max_fan`` chunks hashes and
+    slices travel once, up to its square twice.
     """
     base, n = C.chunked(docs, id_col, text_col, chunk_bytes)
-    n_buckets = max(1, round(n * buckets_per_chunk))
+    route = C.Route.over(n, buckets_per_chunk, max_fan)
     gram = 1 << (max(1, min_bytes // 3).bit_length() - 1)
 
     def entries(key, table):
         anchors = Anchors(*binary_buffers(_ordered(table)["data"]), min_bytes, gram)
-        return C.send(key[0].as_py(), np.unique(anchors.hash), n_buckets)
-
-    def counted(key, table):
-        return C.seen_bits(table, earlier_only=False)
+        return C.send(key[0].as_py(), np.unique(anchors.hash), route)
 
     def slices(key, table, bits):
-        return _send_slices(key[0].as_py(), table, bits, min_bytes, gram, n_buckets) if table.num_rows else _SLICES.empty_table()
-
-    def marked(key, table):
-        return mark_later(table, min_bytes)
+        return _send_slices(key[0].as_py(), table, bits, min_bytes, gram, route) if table.num_rows else _SLICES.empty_table()
+
+    def up(level, key, table):
+        merged = Merged(table, level, min_bytes)
+        more = level + 2 < route.levels
+        return _slice_rows(key[0].as_py(), route, [
+            (b, [merged.texts[i] for i in which], merged.places[which], merged.hashes[which] if more else None)
+            for b, which in merged.onward(route, level + 1)])
+
+    def top(key, table):
+        return mark_later(table, min_bytes, route.levels - 1)
+
+    def down(level, key, table, told):
+        merged = Merged(table, level, min_bytes)
+        later = np.zeros(int(merged.starts.sum()), bool)
+        which = dict(merged.onward(route, level + 1))
+        for b, blob in zip(told["bucket"].to_pylist(), told["bits"].to_pylist()):
+            at = merged.windows(which[b])
+            later[at] = np.unpackbits(np.frombuffer(blob, np.uint8), count=len(at)).astype(bool)
+        return merged.answers(later)
 
     def cut(key, table, replies):
-        return _cut(table, replies, min_bytes, gram, n_buckets) if table.num_rows else _RESULT.empty_table()
+        return _cut(table, replies, min_bytes, gram, route) if table.num_rows else _RESULT.empty_table()
 
-    by_chunk = base.groupBy("chunk")
-    shared = by_chunk.applyInArrow(entries, C.ENTRIES_DDL).groupBy("bucket").applyInArrow(counted, C.BITS_DDL)
-    later = (by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(slices, _SLICES_DDL)
-             .groupBy("bucket").applyInArrow(marked, C.BITS_DDL))
+    by_chunk = C.grouped(base, n, "chunk")
+    shared = C.seen_elsewhere(by_chunk.applyInArrow(entries, C.ENTRIES_DDL), route, n, earlier_only=False)
+    sent = by_chunk.cogroup(C.grouped(shared, n, "chunk")).applyInArrow(slices, _SLICES_DDL)
+    later = C.there_and_back(sent, route, n, _SLICES_DDL, up, top, down)
     replies = shared.withColumn("step", F.lit(1)).unionByName(later.withColumn("step", F.lit(2)))
-    return by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(cut, RESULT)
+    return by_chunk.cogroup(C.grouped(replies, n, "chunk")).applyInArrow(cut, RESULT)

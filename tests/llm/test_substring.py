@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from custval.llm.arrays import Words
+from custval.llm.chunks import Route
 from custval.llm.substring_dedup import intervals, remove_repeated_windows
 from custval.llm.suffix_arrays import permuted_prefixes, suffix_array
 from custval.llm.suffix_dedup import remove_repeated_bytes
@@ -57,6 +58,60 @@ def test_windows_against_brute_force(edge_docs, chunk_bytes):
     assert all(sum(s.end - s.start for s in r.removed) == r.n_removed for r in out)
 
 
+@pytest.mark.parametrize("max_fan", [2, 3])
+def test_levels_of_hash_lists_against_brute_force(edge_docs, max_fan):
+    out = remove_repeated_windows(edge_docs, chunk_bytes=150, max_fan=max_fan).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in out), key=repr) == brute_words([r[:2] for r in EDGE_DOCS], 13)
+
+
+def repeats(n):
+    """Documents with passages of others, one passage in all of them, exact copies."""
+    random.seed(11)
+    word = lambda: "".join(random.choice("abcdef") for _ in range(random.randrange(1, 9)))
+    pool = [" ".join(word() for _ in range(random.randrange(5, 40))) for _ in range(25)]
+    rows = [(k, " ".join([word(), *random.sample(pool, 2), word(), PASSAGE, word()])) for k in range(n)]
+    return rows + [(n + k, rows[k % 7][1]) for k in range(20)]
+
+
+@pytest.mark.parametrize("max_fan", [2, 4, 100])
+def test_levels_give_the_same_as_brute_force(spark, max_fan):
+    rows = repeats(60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = remove_repeated_windows(docs, chunk_bytes=2000, max_fan=max_fan).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in words), key=repr) == brute_words(rows, 13)
+    found = remove_repeated_bytes(docs, min_bytes=40, chunk_bytes=2000, max_fan=max_fan).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found), key=repr) == brute_bytes(rows, 40)
+
+
+def test_routes_bound_the_rows_of_each_exchange():
+    """Rows that a sender writes, senders that a group hears and groups of a level, as the chunks grow a million-fold."""
+    for n in (1, 2, 102, 4096, 4097, 12_500_000):
+        for per_chunk in (0.75, 1.0):
+            route = Route.over(n, per_chunk, 4096)
+            assert route.fan <= 4096 and route.fan ** route.levels >= n and max(route.parts) <= 4096
+            for level in range(route.levels):
+                spans = -(-n // route.fan ** (level + 1))
+                assert spans * route.buckets(level) <= max(1, n) * 1.2 + route.fan
+    assert Route.over(12_500_000, 1.0, 4096).levels == 2
+
+
+def test_hashes_stay_in_the_bucket_of_their_parent():
+    rng = np.random.default_rng(2)
+    values = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2))
+    route = Route(5, (3, 5, 5))
+    _, outer = route.cut(values, 0)
+    fine = []
+    for parent in range(3):
+        mine = values[outer[parent]: outer[parent + 1]]
+        first, edges = route.cut(mine, 1, parent)
+        assert first == parent * 5
+        for k in range(5):
+            _, last = route.cut(mine[edges[k]: edges[k + 1]], 2, first + k)
+            fine += np.diff(last).tolist()
+    flat = Route(75, (75,)).cut(values, 0)[1]
+    assert fine == np.diff(flat).tolist()
+
+
 def test_windows_of_an_empty_table(no_docs):
     assert remove_repeated_windows(no_docs).collect() == []
 
