@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,12 @@ _U = np.uint64
 NULL_KEY = (1 << 63) - 1
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A row's id, or a hash of its text (null as empty) above 2**62 where it has none: rows without an id are told apart by text."""
+    h = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    return F.coalesce(F.col(id_col).cast("bigint"), h.bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62)))
+
+
 def chunked(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> tuple[DataFrame, int]:
     """(chunk int, key long, id, data binary) in doc_id ranges of about ``chunk_bytes``; the number of chunks.
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custval.llm.arrays import BYTE_VALUES, Words, binary_buffers, blocks, mix64
+from custval.llm.chunks import row_key
 
 #: words of a window that a seed reads: by (words, replaced words) sets of masks of which one agrees wherever the replaced words are
 MASKS = {(13, 2): ("111110111", "1101011111", "111011000111", "11111001011", "1110011111"),
@@ -174,7 +175,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     remove nothing: ``contaminated`` reports them.  Null and empty texts stay; an
     empty benchmark removes nothing.
     """
-    key = F.coalesce(F.col(id_col).cast("bigint"), F.xxhash64(F.col(text_col)))
+    key = row_key(id_col, text_col)
     keyed = docs.select(key.alias("key"), F.col(text_col).alias("text"))
     bad = (contaminated(keyed, benchmark, "key", "text", item_col, item_text_col).where(F.col("agreeing") >= min_words)
            .select(F.col("doc_id").alias("__bad")).distinct())

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custval.llm.chunks import NULL_KEY
+from custval.llm.chunks import NULL_KEY, row_key
 from custval.llm.components import components
 from custval.operators.persist import materialize
 
@@ -212,7 +212,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, budget: int = 2) -> DataFrame:
-    """Rows of ``docs`` whose id is the smallest of their group, all columns; rows that share an id stay or go together."""
-    groups = near_duplicates(docs, id_col, text_col, shingle, budget)
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, docs[id_col].cast("bigint").eqNullSafe(keep["__keep"]), "left_semi")
+    """Rows of ``docs`` whose id is the smallest of their group, all columns.
+
+    Rows that share an id stay or go together, and so do rows of equal text
+    without an id, which count as larger than any row with one.
+    """
+    key = row_key(id_col, text_col)
+    groups = near_duplicates(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", shingle, budget)
+    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
+    return docs.join(keep, key == keep["__keep"], "left_semi")
