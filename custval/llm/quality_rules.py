@@ -1,8 +1,7 @@
 """Quality rules: counted base rules and a calibrated hashed n-gram classifier.
 
-The classifier is a logistic regression over hashed word 1- and 2-gram and byte
-3-gram features (bytes in place of characters: in non-Latin scripts three bytes
-are one character or one and a half), fitted on a bounded sample of labelled documents; Platt scaling on
+The classifier is a logistic regression over hashed word 1- and 2-gram and character
+3-gram features, fitted on a bounded sample of labelled documents; Platt scaling on
 the margins of folds that a fit has not seen turns them into probabilities.
 All documents are scored in Arrow batches against fixed thresholds.
 """
@@ -101,9 +100,9 @@ def _parts(data: np.ndarray, offsets: np.ndarray):
             yield a + r, a + r + len(own) - 1, bytes_, own, Words(bytes_, own)
 
 
-def _weights(x: np.ndarray, y: np.ndarray, ridge: float, steps: int, rate: float) -> np.ndarray:
-    """Balanced logistic regression by accelerated gradient steps."""
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())).astype(np.float32)
+def _weights(x: np.ndarray, y: np.ndarray, use: np.ndarray, ridge: float, steps: int, rate: float) -> np.ndarray:
+    """Balanced logistic regression of the rows ``use`` by accelerated gradient steps; the others weigh nothing, so no fold is copied."""
+    weight = use * np.where(y == 1, 0.5 / max(1, (use & (y == 1)).sum()), 0.5 / max(1, (use & (y == 0)).sum())).astype(np.float32)
     w = np.zeros(x.shape[1], np.float32)
     ahead = w.copy()
     for k in range(steps):
@@ -122,7 +121,7 @@ def fit(x: np.ndarray, y: np.ndarray, fold: np.ndarray, ridge: float = 1e-4, ste
     margin = np.zeros(len(y))
     for k in np.unique(fold):
         out = fold == k
-        margin[out] = x[out] @ _weights(x[~out], y[~out], ridge, steps, rate)
+        margin[out] = (x @ _weights(x, y, ~out, ridge, steps, rate))[out]
     # Platt's targets, then Newton steps on scale and shift
     pos, neg = (y == 1).sum(), (y == 0).sum()
     target = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
@@ -134,7 +133,7 @@ def fit(x: np.ndarray, y: np.ndarray, fold: np.ndarray, ridge: float = 1e-4, ste
         ab = ab - move * min(1.0, 2.0 / max(1e-9, np.abs(move).max()))
         if np.abs(move).max() < 1e-8:
             break
-    return Model(_weights(x, y, ridge, steps, rate), float(ab[0]), float(ab[1]))
+    return Model(_weights(x, y, np.ones(len(y), bool), ridge, steps, rate), float(ab[0]), float(ab[1]))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
@@ -149,12 +148,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     sample = labelled_sample(docs, labels, sample_rows, id_col, text_col, label_col)
     rows = (sample.mapInArrow(run, "doc_id long, label int, x binary")
-            .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(3)).cast("int"))
-            .orderBy("doc_id", "x").toArrow())
+            .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(3)).cast("int")).toArrow())
     if rows.num_rows == 0:
         return None
-    x = np.stack([np.frombuffer(r, np.float16) for r in rows["x"].to_pylist()]).astype(np.float32)
-    return fit(x, rows["label"].to_numpy(), rows["fold"].to_numpy())
+    # in the order of the ids, which are distinct; straight from the batches, as the driver should hold the sample once
+    order = np.argsort(rows["doc_id"].to_numpy())
+    place = np.argsort(order)
+    label, fold = rows["label"].to_numpy()[order], rows["fold"].to_numpy()[order]
+    x, at = np.empty((rows.num_rows, WORD_DIMS + CHAR_DIMS + 1), np.float32), 0
+    for part in rows["x"].chunks:
+        data, _ = binary_buffers(part)
+        x[place[at: at + len(part)]] = data.view(np.float16).reshape(len(part), x.shape[1])
+        at += len(part)
+    del rows, data, part
+    pa.default_memory_pool().release_unused()
+    return fit(x, label, fold)
 
 
 def judge(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", limits: Thresholds = Thresholds()) -> DataFrame:
