@@ -25,12 +25,13 @@ def consumer_lines(lines: DataFrame, excluded) -> DataFrame:
     return lines.where((F.col("customer_id") > 0) & ~F.col("channel_type").isin(*excluded))
 
 
-def all_orders(lines: DataFrame, p: Params) -> DataFrame:
+def all_orders(lines: DataFrame, p: Params, last_date: bool = False) -> DataFrame:
     """Every in-scope order up to ``as_of`` with its primary department and value
     (before the positivity filter).  One scan of the lines: (customer, order, department)
     -> order, both partial+final aggregates.
 
     Primary department = most lines, then most revenue, then name ascending.
+    ``last_date`` adds the order's last line date.
     """
     base = consumer_lines(lines, p.aov_excluded).where(F.col("order_date") <= F.lit(p.as_of)).select(
         "customer_id", "order_id", "order_date",
@@ -41,13 +42,15 @@ def all_orders(lines: DataFrame, p: Params) -> DataFrame:
         F.min("order_date").alias("order_date"),
         F.count(F.lit(1)).alias("dept_lines"),
         F.sum("order_value").alias("dept_rev"),
-        F.bool_or("is_exotic").alias("dept_exotic"))
+        F.bool_or("is_exotic").alias("dept_exotic"),
+        *([F.max("order_date").alias("last_date")] if last_date else []))
     rank_key = F.struct(-F.col("dept_lines"), -F.col("dept_rev"), F.col("dept"))
     return per_dept.groupBy("customer_id", "order_id").agg(
         F.min("order_date").alias("order_date"),
         F.min_by("dept", rank_key).alias("order_department"),
         F.bool_or("dept_exotic").alias("order_is_exotic"),
-        F.sum("dept_rev").alias("order_value"))
+        F.sum("dept_rev").alias("order_value"),
+        *([F.max("last_date").alias("last_date")] if last_date else []))
 
 
 def cohort_of(orders: DataFrame, p: Params, ceiling) -> DataFrame:

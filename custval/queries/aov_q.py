@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from custval.operators.persist import materialize
 from custval.oracle import aov as osql
 from custval.params import DEFAULT as P
 from custval.plans.aov import cells as C
@@ -48,20 +53,39 @@ from custval.plans.aov import fit as FIT  # noqa: E402
 from custval.plans.aov import reports as REP  # noqa: E402
 
 _FITS: dict = {}
+_ORDERS: dict = {}
+
+
+def write_orders(spark, sf_dir) -> None:
+    """Roll the orders up and write them, for queries that need more than one fit."""
+    key = (app_key(spark), sf_dir)
+    if key not in _ORDERS:
+        _ORDERS[key] = materialize(C.all_orders(order_lines(spark, sf_dir), P, last_date=True))
+
+
+def orders_of(spark, sf_dir, p=P):
+    """All in-scope orders as of ``p``: out of the written ones if there are any and none of them has lines on both sides of the day."""
+    written = _ORDERS.get((app_key(spark), sf_dir))
+    if written is None or p.as_of > P.as_of or replace(p, as_of=P.as_of) != P:
+        return C.all_orders(order_lines(spark, sf_dir), p)
+    day = F.lit(p.as_of)
+    if p.as_of < P.as_of and not written.where((F.col("order_date") <= day) & (F.col("last_date") > day)).isEmpty():
+        return C.all_orders(order_lines(spark, sf_dir), p)
+    return written.where(F.col("order_date") <= day).drop("last_date")
 
 
 def production_fit(spark, sf_dir, p=P) -> FIT.AovFit:
     """The production fit, once per application, input folder and parameters."""
     key = (app_key(spark), sf_dir, "prod", p)
     if key not in _FITS:
-        _FITS[key] = FIT.fit(C.aov_cells(order_lines(spark, sf_dir), p), p)
+        _FITS[key] = FIT.fit(C.cell_table(orders_of(spark, sf_dir, p), p, p.join_ceiling), p)
     return _FITS[key]
 
 
 def holdout_fit(spark, sf_dir) -> FIT.AovFit:
     key = (app_key(spark), sf_dir, "holdout")
     if key not in _FITS:
-        _FITS[key] = FIT.fit(C.holdout_cells(order_lines(spark, sf_dir), P), P)
+        _FITS[key] = FIT.fit(C.cell_table(orders_of(spark, sf_dir), P, P.train_cutoff, holdout=True), P)
     return _FITS[key]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from custval.oracle import curve as oc
 from custval.oracle import pltv as op
 from custval.params import DEFAULT as P
@@ -29,8 +31,10 @@ SCORE_COLUMNS = ["customer_id", "split_rand", "order_date", "order_seq", "next_o
 
 
 def written_panel(spark, sf_dir, p=P):
-    """The panel's score columns, written once per run, so the lines are read once for curve and scored rows."""
+    """The panel's score columns, written once, so the lines are read once for curve and scored rows; one as of an earlier day is a view of it."""
     key = (app_key(spark), sf_dir, p)
+    if p.as_of < P.as_of and replace(p, as_of=P.as_of) == P:
+        return PN.as_of_view(written_panel(spark, sf_dir), p)
     if key not in _PANELS:
         _PANELS[key] = materialize(panel_all(spark, sf_dir, p).select(*SCORE_COLUMNS))
     return _PANELS[key]

@@ -7,8 +7,9 @@ from dataclasses import replace
 from custval.oracle import validate as ov
 from custval.params import DEFAULT as P
 from custval.plans.pltv import validate as V
-from custval.queries.aov_q import holdout_fit, production_fit
-from custval.queries.pltv_q import curve_and_multipliers, scored_panel, scores_table as value_scores, written_latest, written_matured
+from custval.plans.hazard import curve as CV
+from custval.queries.aov_q import holdout_fit, production_fit, write_orders
+from custval.queries.pltv_q import curve_and_multipliers, scores_table as value_scores, written_latest, written_matured
 from custval.operators.persist import materialize
 from custval.registry import app_key, register, rounded
 from custval.sources.testdata import load_inputs
@@ -59,9 +60,20 @@ _reg("val_extremes", lambda s, d: V.extremes(value_scores(s, d)), ov.extremes,
      {"max_remaining": D4, "max_total": D4})
 _reg("val_top_customers", lambda s, d: V.top_customers(value_scores(s, d)), ov.top_customers,
      {"realized_value": D4, "expected_aov": D4, "remaining_pltv": D4, "total_pltv": D4})
-_reg("val_score_stability", lambda s, d: V.score_stability(value_scores(s, d), value_scores(s, d, BEFORE)),
-     ov.score_stability, {"mean_delta": D4, "p10_delta": D4, "p50_delta": D4, "p90_delta": D4})
-_reg("val_pass_criteria",
-     lambda s, d: V.pass_criteria(production_fit(s, d), holdout_fit(s, d), frame(s, d), value_scores(s, d),
-                                  value_scores(s, d, BEFORE), scored_panel(s, d), curve_and_multipliers(s, d, PC)[0], P),
-     ov.pass_criteria)
+
+
+def score_stability(spark, sf_dir):
+    write_orders(spark, sf_dir)
+    return V.score_stability(value_scores(spark, sf_dir), value_scores(spark, sf_dir, BEFORE))
+
+
+def pass_criteria(spark, sf_dir):
+    """V11, from one panel and one rollup of the orders for its three dates."""
+    write_orders(spark, sf_dir)
+    scored = CV.with_scores(written_matured(spark, sf_dir), P)
+    return V.pass_criteria(production_fit(spark, sf_dir), holdout_fit(spark, sf_dir), frame(spark, sf_dir), value_scores(spark, sf_dir),
+                           value_scores(spark, sf_dir, BEFORE), scored, curve_and_multipliers(spark, sf_dir, PC)[0], P)
+
+
+_reg("val_score_stability", score_stability, ov.score_stability, {"mean_delta": D4, "p10_delta": D4, "p50_delta": D4, "p90_delta": D4})
+_reg("val_pass_criteria", pass_criteria, ov.pass_criteria)

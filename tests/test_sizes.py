@@ -61,3 +61,23 @@ def test_lines_dealt_into_tasks_are_the_same_lines(spark, tmp_path, monkeypatch,
     monkeypatch.setattr(joins, "OWN_PARTS", 2 if many_parts else 3)
     assert TD.lines_parts(spark, str(tmp_path)) == 30
     assert same(before, TD.order_lines(spark, str(tmp_path)))
+
+
+def test_panel_as_of_an_earlier_day_is_a_view(inputs):
+    whole = PN.cohort_panel(*inputs, P, parts=5)
+    for p in (cutoff_params(P), replace(P, as_of=P.as_of - dt.timedelta(days=30))):
+        assert same(PN.as_of_view(whole, p), PN.cohort_panel(*inputs, p))
+
+
+def test_written_orders_serve_earlier_days_unless_an_order_lies_on_both_sides(spark, inputs, monkeypatch):
+    lines = inputs[0]
+    seen = []
+    monkeypatch.setattr(aov_q, "order_lines", lambda s, d: (seen.append(d), lines)[1])
+    aov_q.write_orders(spark, "own")
+    aov_q.write_orders(spark, "own")
+    assert seen == ["own"]
+    before = replace(P, as_of=P.as_of - dt.timedelta(days=30))
+    assert same(aov_q.orders_of(spark, "own"), C.all_orders(lines, P)) and same(aov_q.orders_of(spark, "own", before), C.all_orders(lines, before))
+    assert seen == ["own"]
+    cut = cutoff_params(P)                                              # order 9000 has lines on both sides
+    assert same(aov_q.orders_of(spark, "own", cut), C.all_orders(lines, cut)) and seen == ["own"] * 2
