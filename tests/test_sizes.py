@@ -81,3 +81,13 @@ def test_written_orders_serve_earlier_days_unless_an_order_lies_on_both_sides(sp
     assert seen == ["own"]
     cut = cutoff_params(P)                                              # order 9000 has lines on both sides
     assert same(aov_q.orders_of(spark, "own", cut), C.all_orders(lines, cut)) and seen == ["own"] * 2
+
+
+def test_buckets_of_the_layout_grow_with_the_lines(spark, inputs, monkeypatch):
+    made = []
+    monkeypatch.setattr(hazard_q, "load_inputs", lambda s, d: TD.Inputs(*inputs, parts=40))
+    monkeypatch.setattr(hazard_q, "write_lines", lambda lines, name, path, buckets, grain: made.append(buckets))
+    monkeypatch.setattr(hazard_q, "read_lines", lambda *a, **k: inputs[0])
+    monkeypatch.setattr(hazard_q, "_LAYOUTS", {})
+    hazard_q.laid_out_lines(spark, "own")
+    assert made == [40]
