@@ -91,3 +91,19 @@ def test_buckets_of_the_layout_grow_with_the_lines(spark, inputs, monkeypatch):
     monkeypatch.setattr(hazard_q, "_LAYOUTS", {})
     hazard_q.laid_out_lines(spark, "own")
     assert made == [40]
+
+
+def test_increments_join_the_lines_once(spark, inputs, monkeypatch):
+    """The lines are read for the arrivals only: every update reads what was written."""
+    from pyspark.sql import functions as F
+    lines, products, customers = inputs
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        reads.add(1)
+        yield from batches
+    counting = lines.coalesce(1).mapInArrow(counted, lines.schema)
+    monkeypatch.setattr(hazard_q, "load_inputs", lambda s, d: TD.Inputs(counting, products, customers))
+    got = hazard_q.latest_order_features_incremental(spark, "own")
+    want = hazard_q.rounded(ST.latest_features(ST.state_of(PN.purchase_days(lines, products, P)), customers, P), hazard_q.DIG)
+    assert same(got, want) and reads.value == 1 and want.where(F.col("order_seq") > 3).count() > 0
