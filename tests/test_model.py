@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 import tempfile
 
 import pytest
@@ -100,6 +101,37 @@ def test_boosting_without_validation_rows_keeps_all_rounds(points):
     assert len(boosting.boost(points[0], points[1].where("false"), "y", max_rounds=3, depth=2).trees) == 3
 
 
+def test_boosting_writes_no_rows_and_frees_what_it_holds(spark, points):
+    """Rounds grow neither the checkpoints nor what is held; where the margin is taken anew does not matter."""
+    files = lambda: {f"{d}/{f}" for d, _, names in os.walk(spark.sparkContext.getCheckpointDir().removeprefix("file:")) for f in names if not f.startswith(".")}
+    held = lambda: set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    files_before, held_before = files(), held()
+    few, many = (boosting.boost(*points, "y", max_rounds=6, depth=3, step=0.3, cut_every=k) for k in (2, 100))
+    assert files() <= files_before and held() <= held_before
+    assert few.losses == pytest.approx(many.losses, abs=1e-12) and len(few.losses) == 6
+
+
+def test_a_thousand_trees_score_in_one_expression(points):
+    """As many trees as the rounds allow, on every row, against their sum."""
+    tree = boosting.boost(*points, "y", max_rounds=1, depth=2).trees[0]
+    many = boosting.Boosted([tree.copy({tree.predictionCol: f"__t{k}"}) for k in range(1000)], [1.0] + [0.05] * 999, [])
+    scored = PipelineModel(stages=many.stages()).transform(tree.transform(points[1]).withColumnRenamed(tree.getPredictionCol(), "one"))
+    want = 1 / (1 + F.exp(-2 * (1 + 0.05 * 999) * F.col("one")))
+    assert scored.agg(F.max(F.abs(want - F.col("churn_prob")))).first()[0] < 1e-9
+
+
+def test_missing_indicators_without_a_missing_value_are_left_out(spark):
+    """Two numbers, one with nulls: its indicator is a feature, the other's is not, and is still listed with importance 0."""
+    rows = [(k, None if k % 3 == 0 else float(k % 7), float(k % 5), float(k % 3 == 0)) for k in range(90)]
+    df = MD._prepare(spark.createDataFrame(rows, "k long, a double, b double, y double"), ["a", "b"])
+    assembly = MD._assembly(["a", "b"], df).fit(df)
+    assert assembly.stages[-1].getInputCols() == ["a__im", "b__im", "a__na"]
+    frame = assembly.transform(df).select("features", "y")
+    got = boosting.boost(frame, frame, "y", max_rounds=2, depth=2)
+    model = MD.HazardModel(PipelineModel(stages=[*assembly.stages, *got.stages()]), None, 0.5)
+    assert len(model.trees) == 2 and MD.feature_importance(model, ["a", "b"]) == [("a(missing)", 1.0), ("a", 0.0), ("b", 0.0), ("b(missing)", 0.0)]
+
+
 def test_ordered_means_leave_out_the_row_and_spread_a_hot_category(spark):
     """Against a plain loop; a category with most rows spans the partitions; nulls are a category; an empty table gives none."""
     rows = [(k, f"d{k}", None if k % 11 == 0 else "hot" if k % 3 else f"c{k % 40}", k % 5, int(k * 7919 % 10 < 4)) for k in range(1200)]
