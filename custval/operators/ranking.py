@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custval.operators.persist import materialize
+from custval.operators.persist import materialize, settle
 
 
 def _local_totals(ranged: DataFrame, group: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -105,17 +105,19 @@ def running_totals(df: DataFrame, order: Sequence[Column], values: Sequence[str]
         *[F.col(f"_a_{v}").alias(f"all_{v}") for v in values])
 
 
-def running_before(df: DataFrame, order: Sequence[Column], values: Sequence[str], group: Sequence[str]) -> DataFrame:
+def running_before(df: DataFrame, order: Sequence[Column], values: Sequence[str], group: Sequence[str], spent: list[DataFrame] | None = None) -> DataFrame:
     """``df`` with ``before_<value>``: the sum of each integer column over the earlier rows of the row's group.
 
     For any number of groups of any size: rows are dealt by ranges of (group,
     order), so a group with a third of all rows spans many partitions and a
     small one shares its partition.  Only a partition's first group can have
     begun before it; what it brings along is one row per partition at most.
-    ``order`` must be total within a group.
+    ``order`` must be total within a group.  ``spent`` gets the written frame that the result reads, for ``persist.discard``.
     """
     keys = [*[F.col(g) for g in group], *order]
-    ranged = materialize(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id()))
+    ranged = settle(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id()))
+    if spent is not None:
+        spent.append(ranged)
     totals = ranged.groupBy("_pid", *group).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     brought = (totals.select("_pid", *[F.col(g).alias(f"_g_{g}") for g in group], F.count(F.lit(1)).over(earlier).alias("_parts"),

@@ -47,14 +47,14 @@ def prior_of(rows: DataFrame, label: str) -> float:
     return 0.5 if rate is None else float(rate)
 
 
-def ordered_means(rows: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], prior: float) -> DataFrame:
+def ordered_means(rows: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], prior: float, spent: list[DataFrame] | None = None) -> DataFrame:
     """Per row (named by ``keys``, which must be unique) and feature: ``value``, rows and positives before it in the category, and their mean.
 
     The running sums go over ranges of (category, order): a category that a
-    third of the rows have is no task of its own.
+    third of the rows have is no task of its own.  ``spent``: see ``running_before``.
     """
     long = _melted(rows, features, [*keys, row_order(keys).alias("_order"), F.col(label).cast("bigint").alias("positives"), F.lit(1).cast("bigint").alias("n")])
-    run = running_before(long, [F.col("_order"), *[F.col(k) for k in keys]], ["positives", "n"], ["feature", "value"])
+    run = running_before(long, [F.col("_order"), *[F.col(k) for k in keys]], ["positives", "n"], ["feature", "value"], spent)
     return run.select(*keys, "feature", "value", F.col("before_n").alias("n_before"), F.col("before_positives").alias("positives_before"),
                       smoothed(F.col("before_positives"), F.col("before_n"), prior).alias("mean"))
 
@@ -66,9 +66,9 @@ def category_means(rows: DataFrame, features: Sequence[str], label: str, prior:
             .withColumn("mean", smoothed(F.col("positives"), F.col("n"), prior)))
 
 
-def with_ordered_means(rows: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], prior: float) -> DataFrame:
+def with_ordered_means(rows: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], prior: float, spent: list[DataFrame] | None = None) -> DataFrame:
     """``rows`` with a column ``<feature>__mean`` per feature, over the rows before each."""
-    wide = ordered_means(rows, features, label, keys, prior).groupBy(*keys).pivot("feature", list(features)).agg(F.first("mean"))
+    wide = ordered_means(rows, features, label, keys, prior, spent).groupBy(*keys).pivot("feature", list(features)).agg(F.first("mean"))
     return rows.join(wide.select(*keys, *[F.col(c).alias(f"{c}__mean") for c in features]), list(keys))
 
 

@@ -19,7 +19,7 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressionMode
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custval.operators.persist import materialize
+from custval.operators.persist import discard, settle
 from custval.params import Params
 from custval.plans.hazard import categories as CT
 from custval.plans.hazard.boosting import boost
@@ -122,31 +122,40 @@ def training_rows(panel: DataFrame, p: Params) -> DataFrame:
             .where(F.col("split") != "test"))
 
 
-def encoded_rows(panel: DataFrame, p: Params) -> tuple[DataFrame, DataFrame, DataFrame, float]:
-    """(FIT rows with ordered category means, VAL rows with the FIT means, the table of FIT means, the overall rate), each written once."""
+def encoded_rows(panel: DataFrame, p: Params, written: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, float]:
+    """(FIT rows with ordered category means, VAL rows with the FIT means, the table of FIT means, the overall rate), each written once.
+
+    ``written``: the panel reads written rows; otherwise those it trains on are written first, and deleted at the end.
+    """
     feats = feature_columns(panel.columns)
     cats = [c for c in CAT_COLS if c in feats]
-    train = materialize(_prepare(training_rows(panel, p), feats))
+    train = _prepare(training_rows(panel, p), feats)
+    train = train if written else settle(train)
+    spent = [] if written else [train]
     fit_rows, val_rows = train.where(F.col("split") == "fit"), train.where(F.col("split") == "val")
     prior = CT.prior_of(fit_rows, LABEL)
-    table = materialize(CT.category_means(fit_rows, cats, LABEL, prior))
-    return (materialize(CT.with_ordered_means(fit_rows, cats, LABEL, ROW_KEYS, prior)),
-            materialize(CT.with_category_means(val_rows, table, cats, prior)), table, prior)
+    table = settle(CT.category_means(fit_rows, cats, LABEL, prior))
+    fit_rows = settle(CT.with_ordered_means(fit_rows, cats, LABEL, ROW_KEYS, prior, spent))
+    val_rows = settle(CT.with_category_means(val_rows, table, cats, prior))
+    discard(*spent)
+    return fit_rows, val_rows, table, prior
 
 
-def fit_hazard_model(panel: DataFrame, p: Params, max_iter: int = 1000, patience: int = 20) -> tuple[HazardModel, list[str]]:
+def fit_hazard_model(panel: DataFrame, p: Params, max_iter: int = 1000, patience: int = 20,
+                     written: bool = False) -> tuple[HazardModel, list[str]]:
     """Train on FIT rows, keep the round with the smallest VAL loss (TEST rows never seen).
 
     Rounds go on until the loss has not fallen for ``patience`` of them (or
     ``max_iter`` is reached); each is trained once.  Category means see only
-    FIT rows, and a FIT row only those before it.
+    FIT rows, and a FIT row only those before it.  ``written``: see ``encoded_rows``.
     """
     feats = feature_columns(panel.columns)
-    fit_rows, val_rows, table, prior = encoded_rows(panel, p)
+    fit_rows, val_rows, table, prior = encoded_rows(panel, p, written)
     assembly = _assembly(feats, fit_rows).fit(fit_rows)
-    # narrow tables of features, label and margin are all that a round reads
-    fit_rows, val_rows = (materialize(assembly.transform(df).select("features", LABEL)) for df in (fit_rows, val_rows))
+    # narrow tables of features and label are all that a round reads
+    fit_rows, val_rows = (settle(assembly.transform(df).select("features", LABEL), df) for df in (fit_rows, val_rows))
     boosted = boost(fit_rows, val_rows, LABEL, max_iter, patience, MAX_DEPTH, STEP, MAX_BINS)
+    discard(fit_rows, val_rows)
     return HazardModel(PipelineModel(stages=[*assembly.stages, *boosted.stages()]), table, prior, boosted.losses), feats
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from custval.params import DEFAULT as P
-from custval.operators.persist import materialize
+from custval.operators.persist import materialize, settle, shuffles_removed
 from custval.oracle import model as om
 from custval.plans.hazard import categories as CT
 from custval.plans.hazard import curve as CV
@@ -20,12 +20,21 @@ from custval.sources.testdata import load_inputs
 
 PC = V.cutoff_params(P)
 _MODELS: dict = {}
+_PANELS: dict = {}
+
+
+def written_panel(spark, sf_dir):
+    """The matured panel, written once per application and input: training and TEST rows are cuts of it."""
+    key = (app_key(spark), sf_dir)
+    if key not in _PANELS:
+        _PANELS[key] = settle(matured_panel(spark, sf_dir))
+    return _PANELS[key]
 
 
 def trained(spark, sf_dir):
     key = (app_key(spark), sf_dir)
     if key not in _MODELS:
-        _MODELS[key] = MD.fit_hazard_model(matured_panel(spark, sf_dir), P)
+        _MODELS[key] = MD.fit_hazard_model(written_panel(spark, sf_dir), P, written=True)
     return _MODELS[key]
 
 
@@ -59,9 +68,9 @@ def model_scored(spark, sf_dir):
     key = (app_key(spark), sf_dir)
     if key not in _TEST_ROWS:
         model, feats = trained(spark, sf_dir)
-        frame = MD.model_frame(matured_panel(spark, sf_dir), keep=("customer_id", "order_date", "split_rand"))
+        frame = MD.model_frame(written_panel(spark, sf_dir), keep=("customer_id", "order_date", "split_rand"))
         test = frame.where(CV.split_of(F.col("split_rand"), P) == "test")
-        _TEST_ROWS[key] = materialize(MD.predict(model, test, feats).select("customer_id", "order_date", "order_seq", "churned_400d", "churn_prob"))
+        _TEST_ROWS[key] = settle(MD.predict(model, test, feats).select("customer_id", "order_date", "order_seq", "churned_400d", "churn_prob"))
     return _TEST_ROWS[key]
 
 
